@@ -147,3 +147,21 @@ def dispatch_by_extension(paths: list[str]) -> dict[str, list[str]]:
         else:
             out["skipped"].append(p)
     return out
+
+
+def project_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Project onto ``schema`` by case-insensitive column name: missing
+    columns become NULL, extra columns are dropped, differing types are
+    ``try_cast`` (a value that does not fit becomes NULL, the job goes on).
+    """
+    by_lower = {c.lower(): c for c in df.columns}
+    cols: list[Column] = []
+    for f in schema.fields:
+        src = by_lower.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif df.schema[src].dataType == f.dataType:
+            cols.append(F.col(f"`{src}`").alias(f.name))
+        else:
+            cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
+    return df.select(*cols)

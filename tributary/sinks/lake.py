@@ -37,7 +37,7 @@ def write_parquet(
     path: str,
     partition_cols: list[str] | tuple[str, ...] | None = None,
     mode: str = "overwrite_partitions",
-    cluster_by_partition: bool = False,
+    rebalance: bool = True,
 ) -> dict:
     """K2: Parquet write, plain or partitioned.
 
@@ -46,17 +46,18 @@ def write_parquet(
     The row count comes from an ``Observation`` on the write itself, not a
     second scan (F15).
 
-    By default the writer does not shuffle: each task writes the partitions
-    its rows fall in.  ``cluster_by_partition`` hash-repartitions by the
-    partition columns first (fewer, larger files) — only sensible when no
-    single partition value dominates; AQE splits skewed shuffle partitions
-    but a single value still lands in one output file set per task.
+    A partitioned write is preceded by a ``REBALANCE`` on the partition
+    columns: rows of one day meet in few tasks (few, large files instead of
+    one small file per task and day), AQE coalesces small days together and
+    splits a day that holds a large share of the rows into several tasks by
+    size.  ``rebalance=False`` writes straight from the input partitions
+    (no shuffle) — right when each input task already holds one day.
     """
     cols = list(partition_cols or [])
     obs = Observation("write_parquet")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if cols and cluster_by_partition:
-        out = out.repartition(*[F.col(c) for c in cols])
+    if cols and rebalance:
+        out = out.hint("rebalance", *cols)
     writer = out.write
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic" if cols else "static")
@@ -89,10 +90,11 @@ def write_to_raw_layer(df: DataFrame, root: str, source: str, execution_date=Non
 
 def write_dated(df: DataFrame, root: str, source: str, date_col: str, layer: str | None = "raw") -> dict:
     """Write rows to the day of their own ``date_col`` (K19 and K6): one job
-    for all days, each day replaced as a unit."""
-    return write_parquet(
-        df.select("*", *date_parts(F.col(date_col))), layer_path(root, source, layer), PARTITION_COLS,
-    )
+    for all days, each day replaced as a unit.  Existing ``year/month/day``
+    columns are recomputed from ``date_col``."""
+    day = F.to_date(F.col(date_col))
+    rest = df.drop(*PARTITION_COLS)
+    return write_parquet(rest.select("*", *date_parts(day)), layer_path(root, source, layer), PARTITION_COLS)
 
 
 def read_days(spark, path: str, start=None, end=None) -> DataFrame:

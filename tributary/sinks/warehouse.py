@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.operators.columns import project_to_schema
 from tributary.schemas import LAYERS, RAW_TABLES
 from tributary.sinks.lake import layer_path, read_day
 
@@ -72,20 +73,11 @@ class Warehouse:
         Returns ``(projected, dropped_extra_columns, null_filled_columns)``.
         """
         target = self.spark.table(table).schema
-        by_lower = {c.lower(): c for c in df.columns}
-        cols, filled = [], []
-        for f in target.fields:
-            src = by_lower.get(f.name.lower())
-            if src is None:
-                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-                filled.append(f.name)
-            elif df.schema[src].dataType == f.dataType:
-                cols.append(F.col(f"`{src}`").alias(f.name))
-            else:
-                cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
+        present = {c.lower() for c in df.columns}
+        filled = [f.name for f in target.fields if f.name.lower() not in present]
         wanted = {f.name.lower() for f in target.fields}
         extra = [c for c in df.columns if c.lower() not in wanted]
-        return df.select(*cols), extra, filled
+        return project_to_schema(df, target), extra, filled
 
     def cast_losses(self, df: DataFrame, table: str) -> DataFrame:
         """Per column, source values that are non-NULL but become NULL in the
