@@ -90,7 +90,7 @@ def as_of_timestamp(as_of=None) -> Column:
     ``current_timestamp()`` converted from the session zone to UTC.
     """
     if as_of is None:
-        return F.convert_timezone(F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+        return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     if isinstance(as_of, _dt.datetime):
         return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
     if isinstance(as_of, _dt.date):

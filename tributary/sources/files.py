@@ -144,14 +144,19 @@ def _make_sniffer(limit: int):
     """
 
     def open_head(path: str) -> bytes:
+        from urllib.parse import unquote
+
         import pyarrow.fs as pafs
 
-        uri = path
-        if uri.startswith("file:") and not uri.startswith("file://"):
-            uri = "file://" + uri[len("file:"):]
-        if "://" not in uri:
-            uri = "file://" + uri
-        fs, inner = pafs.FileSystem.from_uri(uri)
+        if path.startswith("file:"):
+            local = path[len("file:"):]
+            while local.startswith("//"):
+                local = local[1:]
+            fs, inner = pafs.LocalFileSystem(), unquote(local) if "%" in local else local
+        elif "://" not in path:
+            fs, inner = pafs.LocalFileSystem(), path
+        else:
+            fs, inner = pafs.FileSystem.from_uri(path)
         out = b""
         with fs.open_input_stream(inner) as fh:
             while len(out) < limit:
