@@ -28,8 +28,15 @@ log = logging.getLogger(__name__)
 
 CHECK_COLUMNS = ("check_order", "check", "passed", "metric", "detail", "message")
 
-# Check names and their order inside the suite.
+# Check names (in suite order) and the report messages.
 CHECK_ORDER = ("row_count", "required_columns", "no_nulls", "no_duplicates")
+MSG_ROW_COUNT = "Row count: %d (min: {min_rows})"
+MSG_MISSING = "Missing columns: "
+MSG_ALL_PRESENT = "All required columns present"
+MSG_NULLS = "Nulls found in: "
+MSG_NO_NULLS = "No nulls in critical columns"
+MSG_DUPLICATES = "Found %d duplicates"
+MSG_NO_DUPLICATES = "No duplicates"
 
 
 def null_indicator(df: DataFrame, column: str) -> Column:
@@ -78,14 +85,14 @@ def _row_count_check(order: int, min_rows: int) -> Column:
     return _check_row(
         order, "row_count", n >= F.lit(min_rows), n,
         F.lit(f"expected_min={min_rows}"),
-        F.format_string(f"Row count: %d (min: {min_rows})", n),
+        F.format_string(MSG_ROW_COUNT.format(min_rows=min_rows), n),
     )
 
 
 def _required_check(order: int, present: list[str], required: list[str]) -> Column:
     missing = [c for c in required if c not in present]  # U2: list difference, no job
     detail = ",".join(missing)
-    msg = f"Missing columns: {detail}" if missing else "All required columns present"
+    msg = MSG_MISSING + detail if missing else MSG_ALL_PRESENT
     return _check_row(order, "required_columns", F.lit(not missing), F.lit(len(missing)), F.lit(detail), F.lit(msg))
 
 
@@ -100,7 +107,7 @@ def _nulls_check(order: int, null_cols: list[str]) -> Column:
     detail = F.concat_ws(",", *parts) if parts else F.lit("")
     return _check_row(
         order, "no_nulls", total == 0, total, detail,
-        F.when(total == 0, F.lit("No nulls in critical columns")).otherwise(F.concat(F.lit("Nulls found in: "), detail)),
+        F.when(total == 0, F.lit(MSG_NO_NULLS)).otherwise(F.concat(F.lit(MSG_NULLS), detail)),
     )
 
 
@@ -108,7 +115,7 @@ def _dup_check(order: int, unique_cols: list[str]) -> Column:
     dups = F.col("_rows") - F.col("_groups")
     return _check_row(
         order, "no_duplicates", dups == 0, dups, F.lit(",".join(unique_cols)),
-        F.when(dups == 0, F.lit("No duplicates")).otherwise(F.format_string("Found %d duplicates", dups)),
+        F.when(dups == 0, F.lit(MSG_NO_DUPLICATES)).otherwise(F.format_string(MSG_DUPLICATES, dups)),
     )
 
 

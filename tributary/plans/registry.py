@@ -23,6 +23,7 @@ from tributary.operators.union import union_by_name
 from tributary.plans import backfill, models, standins
 from tributary.plans.standins import table
 from tributary.sources.incremental import extract_incremental
+from tributary.schemas import SOURCE_SYSTEMS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -222,7 +223,7 @@ from orders
 def q_metadata_stamp(spark, sf):
     """Metadata stamp with the batch row count on every row."""
     o = table(spark, sf, "orders").select("o_orderkey")
-    return stamp_metadata(o, "postgres_web_forms", None, as_of=AS_OF_STAMP)
+    return stamp_metadata(o, SOURCE_SYSTEMS["web_forms"], None, as_of=AS_OF_STAMP)
 
 
 @register("json_field", """
@@ -298,7 +299,7 @@ def q_dated_union(spark, sf):
     ev = table(spark, sf, "events").select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd").alias("form_date"),
-        F.lit("postgres_web_forms").alias("_source_system"),
+        F.lit(SOURCE_SYSTEMS["web_forms"]).alias("_source_system"),
         F.concat(F.lit("postgres:public.web_form_request_"), F.date_format("ts", "yyyy_MM_dd")).alias("_source_location"),
     )
     return with_row_count(ev, count_by="form_date")

@@ -72,3 +72,12 @@ COMPLAINT_COLUMNS = (
     "complaint_id", "source_system", "customer_id", "agent_id", "category",
     "resolution_status", "opened_at", "closed_at", "channel",
 )
+
+# Fixed values: ``_source_system`` stamped by each extractor.
+SOURCE_SYSTEMS = {
+    "customers": "s3_customers",
+    "call_logs": "s3_call_logs",
+    "social_media": "s3_social_media",
+    "agents": "google_sheets_agents",
+    "web_forms": "postgres_web_forms",
+}

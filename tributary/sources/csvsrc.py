@@ -25,6 +25,7 @@ from tributary.operators.columns import add_pandas_index_names, clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
 from tributary.sources.files import first_match, list_objects, sniff_files
+from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
 
@@ -89,7 +90,7 @@ def extract_customers(spark: SparkSession, root: str, key: str | None = None, as
             raise FileNotFoundError("no customer CSV files found")
         path = hit[0]["path"]
     df = clean_headers(read_csv_files(spark, [path]), "light")
-    return stamp_metadata(df, "s3_customers", path, as_of=as_of)
+    return stamp_metadata(df, SOURCE_SYSTEMS["customers"], path, as_of=as_of)
 
 
 def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=None) -> DataFrame:
@@ -103,7 +104,7 @@ def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=No
         raise FileNotFoundError("no call log CSV files found")
     df = clean_headers(read_csv_files(spark, files), "light")
     location = f"{root.rstrip('/')}/{prefix}" if prefix else f"{root.rstrip('/')}/"
-    return stamp_metadata(df, "s3_call_logs", location, as_of=as_of)
+    return stamp_metadata(df, SOURCE_SYSTEMS["call_logs"], location, as_of=as_of)
 
 
 def convert_csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str | None = None) -> str:

@@ -32,6 +32,7 @@ from tributary.operators.columns import clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
 from tributary.sources.files import list_objects, sniff_files
+from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
 
@@ -145,4 +146,4 @@ def extract_social_media(spark: SparkSession, root: str, prefix: str = "", as_of
         raise FileNotFoundError("no social media JSON files found")
     df = clean_headers(read_json_files(spark, files, **kw), "light")
     location = f"{root.rstrip('/')}/{prefix}" if prefix else f"{root.rstrip('/')}/"
-    return stamp_metadata(df, "s3_social_media", location, as_of=as_of)
+    return stamp_metadata(df, SOURCE_SYSTEMS["social_media"], location, as_of=as_of)

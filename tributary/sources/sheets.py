@@ -14,6 +14,7 @@ from tributary.operators.columns import clean_sheet
 from tributary.operators.metadata import stamp_metadata
 from tributary.sources.csvsrc import read_csv_files
 from tributary.sources.files import list_objects
+from tributary.schemas import SOURCE_SYSTEMS
 
 
 def _tabs(spark: SparkSession, spreadsheet_dir: str) -> list[tuple[str, list[str]]]:
@@ -53,4 +54,4 @@ def extract_agents(spark: SparkSession, spreadsheet_dir: str, worksheet_name: st
     """The agents tab, cleaned (P3) and stamped."""
     df = clean_sheet(read_worksheet(spark, spreadsheet_dir, worksheet_name))
     location = f"spreadsheet:{spreadsheet_dir}/worksheet:{worksheet_name}"
-    return stamp_metadata(df, "google_sheets_agents", location, as_of=as_of)
+    return stamp_metadata(df, SOURCE_SYSTEMS["agents"], location, as_of=as_of)
