@@ -133,22 +133,20 @@ def q_json_landing(spark, sf):
 
 
 @register("partitioned_rewrite", """
-select cast(o_orderkey as varchar) as form_id, o_orderpriority as complaint_type,
-       cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month,
-       cast(day(o_orderdate) as int) as day
-from orders
+select event_id, user_id, event_type, cast(year(ts) as int) as year, cast(month(ts) as int) as month,
+       cast(day(ts) as int) as day
+from events
 """)
 def q_partitioned_rewrite(spark, sf):
-    """Web forms written to their own days, then the first
-    year re-written: dynamic overwrite replaces those days only, nothing is
+    """Events written to their own days, then the first week
+    written again: dynamic overwrite replaces those days only, nothing is
     duplicated or lost."""
     base = scratch_path(spark, "rewrite")
-    forms = standins.web_forms_raw(spark, sf)
-    write_dated(forms, base, "web_forms", "submission_date")
-    first_year = forms.where(F.year("submission_date") == F.lit(1995))
-    write_dated(first_year, base, "web_forms", "submission_date")
-    back = spark.read.parquet(layer_path(base, "web_forms", "raw"))
-    return back.select("form_id", "complaint_type", "year", "month", "day")
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    write_dated(ev, base, "events", "ts")
+    write_dated(ev.where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")), base, "events", "ts")
+    back = spark.read.parquet(layer_path(base, "events", "raw"))
+    return back.select("event_id", "user_id", "event_type", "year", "month", "day")
 
 
 @register("static_layer_load", """
@@ -251,8 +249,10 @@ def q_web_forms_extract(spark, sf):
         F.col("event_id").alias("Form ID"), F.col("user_id").alias("Customer ID"),
         F.col("event_type").alias("Complaint Type"), F.date_format("ts", "yyyy_MM_dd").alias("d"))
     days = [r["d"] for r in ev.select("d").distinct().orderBy("d").collect()]  # fixture setup: one table per day
-    for d in days:
-        jdbc.write_table(ev.where(F.col("d") == d).drop("d"), src, f"web_form_request_{d}")
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=8) as pool:  # concurrent Spark jobs, one per table
+        list(pool.map(lambda d: jdbc.write_table(ev.where(F.col("d") == d).drop("d"), src,
+                                                 f"web_form_request_{d}"), days))
     jdbc.write_table(ev.limit(3).drop("d"), src, "web_form_request_backup")
     extracted = src.extract_dated_tables(spark, key="Form ID", as_of=AS_OF_STAMP)
     base = scratch_path(spark, "web-forms")
