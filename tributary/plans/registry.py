@@ -302,7 +302,7 @@ def q_dated_union(spark, sf):
         F.lit(SOURCE_SYSTEMS["web_forms"]).alias("_source_system"),
         F.concat(F.lit("postgres:public.web_form_request_"), F.date_format("ts", "yyyy_MM_dd")).alias("_source_location"),
     )
-    return with_row_count(ev, count_by="form_date")
+    return with_row_count(ev, count_by="form_date", bounded=True)  # one row per day
 
 
 @register("union_by_name", """

@@ -49,6 +49,12 @@ _ORDER_B = ["call_end_time", "ResolutionStatus", "Call_ID", "COMPLAINT_catego ry
             "call_start_time", "Unnamed: 0", "callLogsGenerationDate"]  # agent column absent
 
 
+def _warehouse(spark, base: str) -> Warehouse:
+    """A catalog namespace of its own for each round trip (no collisions
+    between runs sharing a session)."""
+    return Warehouse(spark, f"{base}/warehouse", namespace=f"rt{base.rsplit('-', 1)[-1]}_")
+
+
 # CSV output keeps microseconds (the writer's default drops them).
 _CSV_OUT = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -73,11 +79,11 @@ def q_csv_landing(spark, sf):
     _write_call_log_csvs(spark, sf, landing)
     files = [r["path"] for r in list_objects(spark, landing, suffix=".csv").select("path").collect()]
     ingest(spark, files, f"{base}/lake", "call_logs", incremental=True, as_of="2024-02-01")
-    wh = Warehouse(spark, f"{base}/warehouse")
+    wh = _warehouse(spark, base)
     wh.setup(("raw",))
-    wh.create_table("`raw`.`call_logs`", CALL_LOGS)
-    wh.load_parquet(f"{base}/lake/call_logs", "`raw`.`call_logs`", mode="overwrite")
-    return spark.table("`raw`.`call_logs`")
+    wh.create_table(wh.table_name("raw", "call_logs"), CALL_LOGS)
+    wh.load_parquet(f"{base}/lake/call_logs", wh.table_name("raw", "call_logs"), mode="overwrite")
+    return wh.source("raw", "call_logs")
 
 
 @register("csv_landing_days", """
@@ -161,11 +167,11 @@ def q_static_layer_load(spark, sf):
     from tributary.sinks.lake import write_static
     write_static(standins.agents(spark, sf), base, "agents")
     write_static(standins.agents(spark, sf), base, "agents")  # re-run: still one copy
-    wh = Warehouse(spark, f"{base}/warehouse")
+    wh = _warehouse(spark, base)
     wh.setup(("raw",))
     path = layer_path(base, "agents", "raw")
-    wh.create_table_like(spark.read.parquet(path), "`raw`.`agents_static`")
-    wh.load_parquet(path, "`raw`.`agents_static`", mode="overwrite")
+    wh.create_table_like(spark.read.parquet(path), wh.table_name("raw", "agents_static"))
+    wh.load_parquet(path, wh.table_name("raw", "agents_static"), mode="overwrite")
     return wh.source("raw", "agents_static")
 
 
@@ -193,11 +199,11 @@ def q_by_name_load(spark, sf):
         .otherwise(F.date_format("submission_date", "yyyy-MM-dd HH:mm:ss")).alias("Submission_Date"),
         "year", "month", "day", F.lit("x").alias("extra_col"),
     )
-    wh = Warehouse(spark, f"{base}/warehouse")
+    wh = _warehouse(spark, base)
     wh.setup(("raw",))
     from tributary.schemas import WEB_FORMS
-    wh.create_table("`raw`.`web_forms`", WEB_FORMS)
-    wh.load_by_name(messy, "`raw`.`web_forms`", mode="overwrite")
+    wh.create_table(wh.table_name("raw", "web_forms"), WEB_FORMS)
+    wh.load_by_name(messy, wh.table_name("raw", "web_forms"), mode="overwrite")
     return wh.source("raw", "web_forms")
 
 

@@ -9,6 +9,7 @@ written to its own partition; nothing is taken from a first row (Z7).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def layer_path(root: str, dataset: str, layer: str | None = "raw") -> str:
 def write_static(df: DataFrame, root: str, table: str, layer: str | None = "raw") -> dict:
     """K1: overwrite a whole reference dataset at ``<root>/<layer>/<table>``."""
     path = layer_path(root, table, layer)
-    obs = Observation(f"static_{table}")
+    obs = Observation(f"static_{table}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return {"status": "success", "path": path, "rows": obs.get["rows"]}
 
@@ -54,7 +55,7 @@ def write_parquet(
     (no shuffle) — right when each input task already holds one day.
     """
     cols = list(partition_cols or [])
-    obs = Observation("write_parquet")
+    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if cols and rebalance:
         out = out.hint("rebalance", *cols)

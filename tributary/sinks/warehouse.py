@@ -28,22 +28,34 @@ def _ddl_columns(schema: T.StructType) -> str:
 
 
 class Warehouse:
-    """Thin holder of a session and an optional table-location root.
+    """Thin holder of a session, an optional table-location root and an
+    optional database-name prefix.
 
     ``location_root`` puts every table under one shared folder (tests use a
     scratch folder under the checkpoint root); without it tables are
-    managed under ``spark.sql.warehouse.dir``.
+    managed under ``spark.sql.warehouse.dir``.  ``namespace`` prefixes the
+    layer databases (``<ns>raw``, ``<ns>silver``, ``<ns>gold``) so separate
+    environments or runs share one catalog without colliding.
     """
 
-    def __init__(self, spark: SparkSession, location_root: str | None = None):
+    def __init__(self, spark: SparkSession, location_root: str | None = None, namespace: str = ""):
         self.spark = spark
         self.location_root = location_root.rstrip("/") if location_root else None
+        self.namespace = namespace
+
+    def db(self, layer: str) -> str:
+        """Database name of a layer."""
+        return f"{self.namespace}{layer}"
+
+    def table_name(self, layer: str, table: str) -> str:
+        return f"`{self.db(layer)}`.`{table}`"
 
     # K10 --------------------------------------------------------------
     def setup(self, layers: tuple[str, ...] = LAYERS) -> None:
         """Create the layer databases; Parquet + Snappy is the table format."""
         self.spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
-        for db in layers:
+        for layer in layers:
+            db = self.db(layer)
             if self.location_root:
                 self.spark.sql(
                     f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.location_root}/{db}.db'"
@@ -59,11 +71,11 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {table} ({_ddl_columns(schema)}) USING parquet{part}"
         )
 
-    def create_raw_tables(self, db: str = "raw") -> list[str]:
+    def create_raw_tables(self, layer: str = "raw") -> list[str]:
         made = []
         for name, schema in RAW_TABLES.items():
-            self.create_table(f"`{db}`.`{name}`", schema)
-            made.append(f"{db}.{name}")
+            self.create_table(self.table_name(layer, name), schema)
+            made.append(f"{self.db(layer)}.{name}")
         return made
 
     # K11, K12 ---------------------------------------------------------
@@ -118,15 +130,15 @@ class Warehouse:
         """Parquet files (a file or a folder) into a table."""
         return self.load_by_name(self.spark.read.parquet(path), table, mode)
 
-    def load_raw_layer(self, root: str, source: str, db: str = "raw", execution_date=None,
+    def load_raw_layer(self, root: str, source: str, layer: str = "raw", execution_date=None,
                        mode: str | None = None) -> dict:
         """``<root>/raw/<source>`` (one day when a date is given) into
         ``<db>.raw_<source>``.  A dated load replaces that day; an undated
         load replaces the table (Z13: re-runs do not duplicate)."""
         path = layer_path(root, source, "raw")
-        table = f"`{db}`.`raw_{source}`"
+        table = self.table_name(layer, f"raw_{source}")
         df = read_day(self.spark, path, execution_date) if execution_date else self.spark.read.parquet(path)
-        if not self.spark.catalog.tableExists(f"{db}.raw_{source}"):
+        if not self.spark.catalog.tableExists(f"{self.db(layer)}.raw_{source}"):
             self.create_table_like(df.limit(0), table, partitioned_by=["year", "month", "day"]
                                    if {"year", "month", "day"} <= set(df.columns) else None)
         return self.load_by_name(df, table, mode or "overwrite")
@@ -146,6 +158,6 @@ class Warehouse:
         """Warehouse SQL as a DataFrame."""
         return self.spark.sql(text)
 
-    def source(self, db: str, table: str) -> DataFrame:
+    def source(self, layer: str, table: str) -> DataFrame:
         """A declared source ``source('raw', t)``."""
-        return self.spark.table(f"`{db}`.`{table}`")
+        return self.spark.table(self.table_name(layer, table))

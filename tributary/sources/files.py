@@ -156,6 +156,10 @@ def _make_sniffer(limit: int):
         elif "://" not in path:
             fs, inner = pafs.LocalFileSystem(), path
         else:
+            # Hadoop scheme names -> Arrow's (s3a/s3n -> s3, abfss -> abfs)
+            for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://"), ("abfss://", "abfs://")):
+                if path.startswith(hadoop):
+                    path = arrow + path[len(hadoop):]
             fs, inner = pafs.FileSystem.from_uri(path)
         out = b""
         with fs.open_input_stream(inner) as fh:
