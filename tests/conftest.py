@@ -39,7 +39,14 @@ def write(path, text):
 
 
 def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as ``df.explain()`` prints it."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 SF001 = "/root/testdata/sf0.001"

@@ -63,3 +63,28 @@ def test_retention_tiers(spark):  # R1
     tiers = [r.tier for r in retention_tiers(df, "d", "2025-01-05").orderBy("d").collect()]
     assert tiers == ["expired", "archive", "standard"]
     assert expired_partitions(df.selectExpr("d", "year(d) as year"), ["year"], "d", "2025-01-05").count() == 1
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@given(st.lists(st.dictionaries(st.sampled_from(["a", "b", "c"]), st.integers(0, 9), min_size=1), min_size=1,
+                max_size=4))
+@settings(max_examples=8, deadline=None)
+def test_union_by_name_matches_python_model(spark, frames):  # U1 property
+    dfs = []
+    for d in frames:
+        cols = sorted(d)
+        dfs.append(spark.createDataFrame([tuple(d[c] for c in cols)], ", ".join(f"{c} int" for c in cols)))
+    out = union_by_name(dfs)
+    order = []
+    for d in frames:
+        for c in sorted(d):
+            if c not in order:
+                order.append(c)
+    assert out.columns == order
+    key = lambda t: tuple((v is None, v or 0) for v in t)
+    got = sorted((tuple(r) for r in out.collect()), key=key)
+    want = sorted((tuple(d.get(c) for c in order) for d in frames), key=key)
+    assert got == want

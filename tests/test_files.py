@@ -134,3 +134,12 @@ def test_channel_extractors(spark, tmp):  # S6, S7, S8
     assert sorted(r.call_id for r in cl.collect()) == ["7", "8"]
     sm = jsonsrc.extract_social_media(spark, f"{tmp}/src")
     assert sm.select("complaint_id", "_source_system").collect()[0] == ("s1", "s3_social_media")
+
+
+def test_verify_landing(spark, tmp):  # K16, A8, L5, X20
+    for i in range(6):
+        write(f"{tmp}/lake/call_logs/day={i}/part.parquet", "x" * 1024)
+    res = files.verify_landing(spark, f"{tmp}/lake")
+    assert res["all_present"] is False  # agents/ is empty
+    assert [r.rel_path for r in res["sample"].collect()][0] == "call_logs/day=0/part.parquet"
+    assert res["sample"].count() == 5 and abs(res["sample"].first().size_mb - 1 / 1024) < 1e-9

@@ -97,3 +97,12 @@ def test_materialize_and_schema_name(spark, tmp):  # K17, K18, M1
     spark.range(3).withColumnRenamed("id", "agent_id").write.mode("overwrite").saveAsTable("raw.agents_m")
     name = models.materialize(models.stg_passthrough(spark, "raw.agents_m"), "stg_agents_m", "silver")
     assert name == "silver.stg_agents_m" and spark.table(name).count() == 3
+
+
+def test_warehouse_sql_and_rows(spark, tmp):  # S22, K12
+    wh = Warehouse(spark, f"{tmp}/wh", namespace="s22_")
+    wh.setup(("raw",))
+    wh.create_table(wh.table_name("raw", "t"), spark.range(1).schema)
+    res = wh.load_by_name(spark.range(5), wh.table_name("raw", "t"), mode="append")
+    assert res["rows"] == 5
+    assert wh.sql(f"select count(*) as n from {wh.table_name('raw', 't')}").first().n == 5

@@ -302,3 +302,42 @@ def q_sheet_agents(spark, sf):
     reference.load_reference(df, f"{base}/lake", "agents", reference.AGENT_CHECKS, execution_date="2025-12-01",
                              on_fail="warn", as_of=AS_OF_STAMP)
     return spark.read.parquet(layer_path(f"{base}/lake", "agents", "raw")).drop("_source_location")
+
+
+@register("stg_agents", """
+select cast(s_suppkey as varchar) as agent_id, s_name as name, cast(s_acctbal as varchar) as experience,
+       cast(s_nationkey as varchar) as state
+from supplier
+""")
+def q_stg_agents(spark, sf):
+    """Agents loaded by name into the raw table,
+    staged into silver (key renamed to agent_id) and read back."""
+    from tributary.plans import models
+    from tributary.schemas import AGENTS
+    base = scratch_path(spark, "stg-agents")
+    wh = _warehouse(spark, base)
+    wh.setup()
+    wh.create_table(wh.table_name("raw", "agents"), AGENTS)
+    wh.load_by_name(standins.agents(spark, sf), wh.table_name("raw", "agents"), mode="overwrite")
+    models.materialize(models.stg_agents(wh.source("raw", "agents")), "stg_agents",
+                       models.schema_name(" " + wh.db("silver") + " ", "default"))
+    return wh.source("silver", "stg_agents")
+
+
+@register("stg_customers", """
+select cast(c_custkey as varchar) as customer_id, c_name as name, null::varchar as gender,
+       null::varchar as date_of_birth, null::varchar as signup_date, c_name || '@X.COM' as email,
+       cast(c_nationkey as varchar) as address
+from customer
+""")
+def q_stg_customers(spark, sf):
+    """M2: customers loaded by name into raw, passed through to silver."""
+    from tributary.plans import models
+    from tributary.schemas import CUSTOMERS
+    base = scratch_path(spark, "stg-customers")
+    wh = _warehouse(spark, base)
+    wh.setup()
+    wh.create_table(wh.table_name("raw", "customers"), CUSTOMERS)
+    wh.load_by_name(standins.customers(spark, sf), wh.table_name("raw", "customers"), mode="overwrite")
+    models.materialize(models.stg_passthrough(spark, f"{wh.db('raw')}.customers"), "stg_customers", wh.db("silver"))
+    return wh.source("silver", "stg_customers")

@@ -11,8 +11,9 @@ position into the projected order.
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,8 +123,9 @@ class Warehouse:
             log.info("load %s: ignoring columns not in the table: %s", table, extra)
         if mode not in ("append", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}")
-        projected.write.insertInto(table, overwrite=(mode == "overwrite"))
-        return {"status": "success", "table": table, "ignored": extra, "null_filled": filled}
+        obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+        projected.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=(mode == "overwrite"))
+        return {"status": "success", "table": table, "rows": obs.get["rows"], "ignored": extra, "null_filled": filled}
 
     # K13, K14 ---------------------------------------------------------
     def load_parquet(self, path: str, table: str, mode: str = "overwrite") -> dict:

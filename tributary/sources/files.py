@@ -129,6 +129,35 @@ def first_objects(listing: DataFrame, prefix: str, n: int = 5) -> DataFrame:
     return listing.where(F.col("rel_path").startswith(prefix)).orderBy("rel_path").limit(n)
 
 
+# The prefixes checked before a warehouse load, and the one
+# whose first objects are listed.
+LANDING_PREFIXES = ("agents", "call_logs")
+SAMPLED_PREFIX = "call_logs"
+
+
+def verify_landing(spark: SparkSession, root: str, prefixes=LANDING_PREFIXES, sample_prefix: str = SAMPLED_PREFIX,
+                   n: int = 5) -> dict:
+    """Before loading, count objects and bytes per prefix (A8), warn on
+    empty prefixes, and list the first ``n`` objects of one prefix (L5)
+    with their size in MB (X20).  One listing, two small aggregates."""
+    import logging
+
+    from tributary.functions.text import bytes_to_mb
+
+    log = logging.getLogger(__name__)
+    listing = list_objects(spark, root)
+    summary = objects_by_prefix(listing, list(prefixes))
+    rows = summary.collect()  # one row per prefix
+    for r in rows:
+        if r["empty"]:
+            log.warning("No objects found in %s/", r["prefix"])
+        else:
+            log.info("Found %d objects in %s/", r["objects"], r["prefix"])
+    sample = first_objects(listing, sample_prefix, n).select(
+        "rel_path", "length", bytes_to_mb("length").alias("size_mb"))
+    return {"summary": summary, "sample": sample, "all_present": all(not r["empty"] for r in rows)}
+
+
 # ---------------------------------------------------------------------------
 # distributed sniffing of file heads
 # ---------------------------------------------------------------------------
