@@ -143,3 +143,15 @@ def test_verify_landing(spark, tmp):  # K16, A8, L5, X20
     assert res["all_present"] is False  # agents/ is empty
     assert [r.rel_path for r in res["sample"].collect()][0] == "call_logs/day=0/part.parquet"
     assert res["sample"].count() == 5 and abs(res["sample"].first().size_mb - 1 / 1024) < 1e-9
+
+
+def test_sniff_fallback_through_spark(spark, tmp, monkeypatch):
+    a = write(f"{tmp}/a.csv", "a,b\n1,2\n")
+    j = write(f"{tmp}/j.json", '\n  [{"a": 1}]')
+
+    def boom(*args, **kwargs):
+        raise RuntimeError("store not reachable from Python")
+
+    monkeypatch.setattr(files, "sniff_files", boom)
+    heads = {r["path"]: r for r in files.sniff_heads(spark, [a, j])}
+    assert heads[a]["first_line"] == "a,b" and heads[j]["first_char"] == "["

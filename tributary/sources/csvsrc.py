@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tributary.operators.columns import add_pandas_index_names, clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
-from tributary.sources.files import first_match, list_objects, sniff_files
+from tributary.sources.files import first_match, list_objects, sniff_heads
 from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
@@ -46,7 +46,7 @@ def parse_header(line: str) -> list[str]:
 
 def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files grouped by their exact header (empty files are skipped)."""
-    sniffed = sniff_files(spark, paths).collect()  # one small row per file
+    sniffed = sniff_heads(spark, paths)  # one small row per file
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for r in sorted(sniffed, key=lambda r: r["path"]):
         if not r["first_line"]:

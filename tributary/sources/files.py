@@ -217,6 +217,35 @@ def _make_sniffer(limit: int):
     return sniff
 
 
+def sniff_heads(spark: SparkSession, paths: list[str], head_bytes: int = 1 << 20, threads: int = 16) -> list[dict]:
+    """``sniff_files`` collected (one small row per file).
+
+    If the Python-side reader cannot open the store (e.g. credentials that
+    only the Hadoop configuration holds), each file's first line is read by
+    Spark's own text source instead: a limit-1 scan per file (only the
+    file's first lines are read), submitted from a thread pool.
+    """
+    try:
+        return [r.asDict() for r in sniff_files(spark, paths, head_bytes).collect()]
+    except Exception as exc:  # fall back to JVM-side reads
+        import logging
+        from concurrent.futures import ThreadPoolExecutor
+
+        logging.getLogger(__name__).warning("Python-side sniff failed (%s); reading heads through Spark",
+                                            str(exc).splitlines()[0][:200])
+
+        def head(p: str) -> dict:
+            lines = spark.read.text(p).where(F.length(F.trim("value")) > 0).limit(1).collect()
+            first = lines[0]["value"] if lines else None
+            allrows = spark.read.text(p).limit(1).collect()
+            line = allrows[0]["value"] if allrows else None
+            return {"path": p, "size": None, "first_line": line,
+                    "first_char": first.lstrip()[:1] if first else None}
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            return list(pool.map(head, paths))
+
+
 def sniff_files(spark: SparkSession, paths: list[str] | DataFrame, head_bytes: int = 1 << 20) -> DataFrame:
     """First line and first non-blank character of each file, read in
     parallel tasks (Arrow batches, at most ``head_bytes`` per file)."""

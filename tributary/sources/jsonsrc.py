@@ -31,7 +31,7 @@ from tributary.functions.jsonfn import flatten
 from tributary.operators.columns import clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
-from tributary.sources.files import list_objects, sniff_files
+from tributary.sources.files import list_objects, sniff_heads
 from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
@@ -66,10 +66,13 @@ def _variant_schema(df: DataFrame, col: str) -> T.DataType | None:
     return T.DataType.fromDDL(ddl) if ddl.upper().startswith("STRUCT<") else T.StringType()
 
 
-def _records_from_objects(spark: SparkSession, files: list[str], flatten_nested: bool) -> DataFrame:
-    """Object files whose values are records."""
+def _records_from_objects(spark: SparkSession, files: list[str], flatten_nested: bool,
+                          schema: T.StructType | None = None) -> DataFrame:
+    """Object files whose values are records.  Without ``schema`` the
+    records' merged schema is inferred first (one extra pass, as Spark's own
+    JSON inference does)."""
     recs = _explode(_documents(spark, files), "doc").select("_file", F.col("value").alias("rec"))
-    schema = _variant_schema(recs, "rec")
+    schema = schema or _variant_schema(recs, "rec")
     if not isinstance(schema, T.StructType):
         return recs.select("_file", F.col("rec").cast("string").alias("value"))
     typed = recs.select("_file", F.col("rec").cast(_text_struct(schema)).alias("r")).select("_file", "r.*")
@@ -94,7 +97,7 @@ def _records_from_columns(spark: SparkSession, files: list[str]) -> DataFrame:
 
 def read_json_files(
     spark: SparkSession, paths: list[str], object_orient: str = "index", flatten_nested: bool = True,
-    with_file: bool = False,
+    with_file: bool = False, record_schema: T.StructType | None = None,
 ) -> DataFrame:
     """Many JSON files of any of the three shapes, appended by name.
 
@@ -103,7 +106,7 @@ def read_json_files(
     """
     if not paths:
         raise FileNotFoundError("no JSON files given")
-    sniffed = sniff_files(spark, paths).select("path", "first_char").collect()  # one row per file
+    sniffed = sniff_heads(spark, paths)  # one small row per file
     arrays = sorted(r["path"] for r in sniffed if r["first_char"] == "[")
     objects = sorted(r["path"] for r in sniffed if r["first_char"] == "{")
     scalars = sorted(r["path"] for r in sniffed if r["first_char"] not in (None, "[", "{"))
@@ -118,7 +121,7 @@ def read_json_files(
         )
     if objects:
         if object_orient == "index":
-            frames.append(_records_from_objects(spark, objects, flatten_nested))
+            frames.append(_records_from_objects(spark, objects, flatten_nested, record_schema))
         elif object_orient == "columns":
             frames.append(_records_from_columns(spark, objects))
         else:
