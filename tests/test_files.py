@@ -155,3 +155,12 @@ def test_sniff_fallback_through_spark(spark, tmp, monkeypatch):
     monkeypatch.setattr(files, "sniff_files", boom)
     heads = {r["path"]: r for r in files.sniff_heads(spark, [a, j])}
     assert heads[a]["first_line"] == "a,b" and heads[j]["first_char"] == "["
+
+
+def test_suffix_case_rules(spark, tmp):  # S5-S9 case-sensitive suffix, S10 not
+    for n in ("call_a.csv", "call_b.CSV", "x.json"):
+        write(f"{tmp}/in/{n}", "Call ID\n1\n")
+    assert [os.path.basename(p) for p in files.extract_csv_files(spark, f"{tmp}/in")] == ["call_a.csv"]
+    assert len(files.extract_csv_files(spark, f"{tmp}/in", name_contains="CALL")) == 1
+    assert csvsrc.extract_call_logs(spark, f"{tmp}/in").count() == 1
+    assert len(files.fetch_files(spark, f"{tmp}/in")) == 3

@@ -85,7 +85,9 @@ def extract_customers(spark: SparkSession, root: str, key: str | None = None, as
     if key:
         path = f"{root.rstrip('/')}/{key}"
     else:
-        hit = first_match(list_objects(spark, root, suffix=".csv", ignore_case=True), ["customers"]).collect()
+        # suffix match is case-sensitive (S5); the name match is not
+        listing = list_objects(spark, root, suffix=".csv", ignore_case=False)
+        hit = first_match(listing, ["customers"]).collect()
         if not hit:
             raise FileNotFoundError("no customer CSV files found")
         path = hit[0]["path"]
@@ -96,7 +98,7 @@ def extract_customers(spark: SparkSession, root: str, key: str | None = None, as
 def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=None) -> DataFrame:
     """Every ``.csv`` under the prefix whose path contains ``call`` or
     ``logs``; union by name; light clean; stamp."""
-    listing = list_objects(spark, root, prefix=prefix, suffix=".csv", ignore_case=True)
+    listing = list_objects(spark, root, prefix=prefix, suffix=".csv", ignore_case=False)  # suffix match is case-sensitive (S5)
     from tributary.functions.text import path_predicate
     files = [r["path"] for r in listing.where(path_predicate(F.col("path"), contains_any=["call", "logs"]))
              .select("path").orderBy("path").collect()]

@@ -76,16 +76,21 @@ def _regex_escape(s: str) -> str:
 
 def find_files(
     spark: SparkSession, directory: str, extensions: tuple[str, ...] = (".csv",),
-    name_contains: str | list[str] | None = None, recursive: bool = False,
+    name_contains: str | list[str] | None = None, recursive: bool = False, ignore_case: bool = True,
 ) -> list[str]:
-    """Files in ``directory`` with one of ``extensions`` (case
-    ignored), optionally whose name contains any of ``name_contains`` (case
-    ignored).  Raises ``FileNotFoundError`` when the folder is missing or
-    nothing matches.  Returns sorted paths: a file list is metadata, the
-    same list Spark's own file index keeps on the driver.
+    """Files in ``directory`` with one of ``extensions`` (case ignored
+    unless ``ignore_case=False``), optionally whose name contains any of
+    ``name_contains`` (case always ignored).  Raises ``FileNotFoundError``
+    when the folder is missing or nothing matches.  Returns sorted paths: a
+    file list is metadata, the same list Spark's own file index keeps on the
+    driver.
     """
     listing = list_objects(spark, directory, recursive=recursive)
-    listing = listing.where(F.col("extension").isin([e.lower() for e in extensions]))
+    if ignore_case:
+        listing = listing.where(F.col("extension").isin([e.lower() for e in extensions]))
+    else:
+        listing = listing.where(F.element_at(F.split(F.col("name"), r"\."), -1).isin([e.lstrip(".") for e in extensions])
+                                & F.col("name").contains("."))
     if name_contains:
         subs = [name_contains] if isinstance(name_contains, str) else list(name_contains)
         listing = listing.where(path_predicate(F.col("name"), contains_any=subs))
@@ -95,6 +100,12 @@ def find_files(
     return paths
 
 
+def extract_csv_files(spark: SparkSession, directory: str, name_contains: str | None = None) -> list[str]:
+    """``*.csv`` files of a folder (suffix case-sensitive), optionally
+    whose name contains a substring (any case)."""
+    return find_files(spark, directory, (".csv",), name_contains, ignore_case=False)
+
+
 def fetch_files(spark: SparkSession, directory: str) -> list[str]:
     """CSV and JSON files in a folder, extension case ignored."""
     return find_files(spark, directory, extensions=(".csv", ".json"))

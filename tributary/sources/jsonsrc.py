@@ -142,7 +142,7 @@ def read_json(spark: SparkSession, path: str | list[str], **kw) -> DataFrame:
 def extract_social_media(spark: SparkSession, root: str, prefix: str = "", as_of=None, **kw) -> DataFrame:
     """Every ``.json`` under the prefix whose path contains ``social``;
     union; light header clean; stamp ``s3_social_media``."""
-    listing = list_objects(spark, root, prefix=prefix, suffix=".json", ignore_case=True)
+    listing = list_objects(spark, root, prefix=prefix, suffix=".json", ignore_case=False)  # suffix match is case-sensitive (S5)
     files = [r["path"] for r in listing.where(F.lower("path").contains("social")).select("path")
              .orderBy("path").collect()]
     if not files:
