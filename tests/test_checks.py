@@ -1,4 +1,3 @@
-from conftest import SF001
 from tributary.operators import checks as D
 from tributary.operators.retention import expired_partitions, retention_tiers
 from tributary.operators.union import union_by_name

@@ -1,9 +1,6 @@
-import math
-
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tributary.functions.text import clean_email, path_predicate, strip_ws
 from tributary.operators import columns as C

@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import write
 from tributary.operators.columns import HeaderCollisionError, clean_headers

@@ -2,7 +2,6 @@
 
 import os
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF01, plan_text

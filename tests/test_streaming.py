@@ -1,5 +1,3 @@
-import os
-
 from conftest import write
 from tributary.streaming.landing import land_csv_stream
 

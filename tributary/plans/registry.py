@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import date_parts
 from tributary.functions.jsonfn import flatten, json_field
-from tributary.functions.text import strip_ws
 from tributary.operators import checks, quality
 from tributary.operators.columns import clean_email_column, clean_headers, clean_sheet, read_projection
 from tributary.operators.metadata import stamp_metadata, with_row_count
