@@ -105,3 +105,16 @@ def test_warehouse_sql_and_rows(spark, tmp):  # S22, K12
     res = wh.load_by_name(spark.range(5), wh.table_name("raw", "t"), mode="append")
     assert res["rows"] == 5
     assert wh.sql(f"select count(*) as n from {wh.table_name('raw', 't')}").first().n == 5
+
+
+def test_incremental_watermarks(spark, tmp):  # S17
+    from tributary.sources.incremental import extract_incremental, high_water_mark, watermark_from_audit
+    audit.save_audit(audit.audit_record(spark, "calls", "2025-11-20", 3), tmp)
+    audit.save_audit(audit.audit_record(spark, "calls", "2025-11-22", 3), tmp)
+    audit.save_audit(audit.audit_record(spark, "other", "2025-12-01", 3), tmp)
+    last = watermark_from_audit(spark, tmp, "calls")
+    assert last == "2025-11-22"
+    df = spark.createDataFrame([(dt.date(2025, 11, 22),), (dt.date(2025, 11, 23),)], "d date")
+    assert extract_incremental(df, "d", last).count() == 1  # strict >
+    assert extract_incremental(df, "d", last, inclusive=True).count() == 2
+    assert high_water_mark(df, "d") == dt.date(2025, 11, 23)

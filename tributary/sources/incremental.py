@@ -46,3 +46,13 @@ def high_water_mark(df: DataFrame, date_column: str):
     empty) — the next run's ``last_value``.  One aggregate; on Parquet the
     max is computed from the column only."""
     return df.agg(F.max(F.col(f"`{date_column}`")).alias("hwm")).first()["hwm"]
+
+
+def watermark_from_audit(spark, root: str, source: str):
+    """The last execution date recorded for ``source`` in the audit table
+    (K7), or ``None`` — the ``last_value`` of the next incremental read when
+    the target itself is not at hand.  Reads only that source's partition."""
+    from tributary.sinks.audit import read_audit
+
+    audit = read_audit(spark, root).where(F.col("source") == source)
+    return audit.agg(F.max("execution_date").alias("last")).first()["last"]
