@@ -45,8 +45,10 @@ def backfill(source: DataFrame, date_col: str, start, end, target_path: str, pre
     """Write every missing day of ``[start, end]`` from ``source`` in one
     job.  ``present`` defaults to the days already in ``target_path``.
 
-    The work list is bounded by the range length, so it is broadcast to
-    filter the source (a semi join, no shuffle of the source).
+    The work list is computed first (at most one row per day of the range,
+    so collecting it is bounded) and becomes a plain ``IN`` filter on the
+    source: it can prune source partitions and row groups, and the write
+    never reads the folder it overwrites.
     """
     spark = source.sparkSession
     if present is None:
@@ -56,6 +58,8 @@ def backfill(source: DataFrame, date_col: str, start, end, target_path: str, pre
                 F.make_date("year", "month", "day").alias("day")).distinct()
         except Exception:  # nothing written yet
             present = spark.createDataFrame([], "day date")
-    todo = missing_days(present, start, end)
-    rows = source.join(F.broadcast(todo), F.col(date_col).cast("date") == todo["day"], "left_semi")
+    todo = [r["day"] for r in missing_days(present, start, end).collect()]
+    if not todo:
+        return {"status": "nothing to do", "path": target_path, "rows": 0}
+    rows = source.where(F.to_date(F.col(date_col)).isin(todo))
     return write_parquet(rows.select("*", *date_parts(F.col(date_col))), target_path, PARTITION_COLS)
