@@ -11,6 +11,8 @@ group files by header and the JSON reader by top-level shape.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def list_objects(
             raise FileNotFoundError(f"{root} does not exist") from exc
         raise
     base = _norm_root(root)
-    rel = F.regexp_replace(_norm(F.col("path")), "^" + _regex_escape(base) + "/?", "")
+    rel = F.regexp_replace(_norm(F.col("path")), "^" + re.escape(base) + "/?", "")
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     out = raw.select(
         "path",
@@ -69,11 +71,6 @@ def list_objects(
     return out
 
 
-def _regex_escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
 def find_files(
     spark: SparkSession, directory: str, extensions: tuple[str, ...] = (".csv",),
     name_contains: str | list[str] | None = None, recursive: bool = False, ignore_case: bool = True,
