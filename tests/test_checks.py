@@ -87,3 +87,13 @@ def test_union_by_name_matches_python_model(spark, frames):  # U1 property
     got = sorted((tuple(r) for r in out.collect()), key=key)
     want = sorted((tuple(d.get(c) for c in order) for d in frames), key=key)
     assert got == want
+
+
+def test_union_numeric_widening(spark):
+    from decimal import Decimal
+    a = spark.createDataFrame([(1,)], "v int")
+    b = spark.createDataFrame([(Decimal("1.25"),)], "v decimal(10,2)")
+    c = spark.createDataFrame([(5,)], "v bigint")
+    assert dict(union_by_name([a, b]).dtypes)["v"] == "decimal(38,2)"
+    assert dict(union_by_name([a, c]).dtypes)["v"] == "bigint"
+    assert sorted(float(r.v) for r in union_by_name([a, b]).collect()) == [1.0, 1.25]

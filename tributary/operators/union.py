@@ -16,6 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _wider_numeric(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Integers widen to the larger integer; any float gives double; a
+    decimal with integers stays decimal (no precision lost to double)."""
+    if isinstance(a, (T.FloatType, T.DoubleType)) or isinstance(b, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
+        scale = max(getattr(a, "scale", 0), getattr(b, "scale", 0))
+        return T.DecimalType(38, min(scale, 18))
+    order = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    rank = {t: i for i, t in enumerate(order)}
+    return a if rank.get(type(a), 3) >= rank.get(type(b), 3) else b
+
+
 def _common_types(frames: list[DataFrame]) -> dict[str, T.DataType]:
     seen: dict[str, T.DataType] = {}
     for df in frames:
@@ -24,9 +37,7 @@ def _common_types(frames: list[DataFrame]) -> dict[str, T.DataType]:
             if prev is None or prev == f.dataType:
                 seen[f.name] = f.dataType
             elif isinstance(prev, T.NumericType) and isinstance(f.dataType, T.NumericType):
-                seen[f.name] = T.DoubleType() if T.DoubleType() in (prev, f.dataType) or \
-                    isinstance(prev, (T.FloatType, T.DecimalType)) or \
-                    isinstance(f.dataType, (T.FloatType, T.DecimalType)) else T.LongType()
+                seen[f.name] = _wider_numeric(prev, f.dataType)
             else:
                 seen[f.name] = T.StringType()
     return seen
