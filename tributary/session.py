@@ -58,23 +58,38 @@ def build_session(
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set only when the session has none (tests, local runs); a cluster
-    configures it to a shared file system so lineage cuts and staged tables
-    survive the loss of any executor.
+    Read from the session.  Only a local session (tests, a laptop) gets a
+    temporary folder of its own when the setting is absent; on a cluster a
+    machine-local folder would be invisible to the executors, so a missing
+    setting is an error there.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = None
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext handle (e.g. a remote session)
+        current = None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/object store) "
+                               "for lineage cuts and staged tables")
         configured = tempfile.mkdtemp(prefix="tributary-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    try:
+        spark.sparkContext.setCheckpointDir(configured)
+        return spark.sparkContext.getCheckpointDir() or configured
+    except Exception:
+        return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -261,6 +261,9 @@ def sniff_files(spark: SparkSession, paths: list[str] | DataFrame, head_bytes: i
         df = paths.select("path")
     else:
         df = spark.createDataFrame([(p,) for p in paths], "path string")
-    n = spark.sparkContext.defaultParallelism
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext handle (e.g. a remote session)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     df = df.repartition(max(1, n), "path")
     return df.mapInPandas(_make_sniffer(head_bytes), SNIFF_SCHEMA)
