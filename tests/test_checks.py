@@ -97,3 +97,18 @@ def test_union_numeric_widening(spark):
     assert dict(union_by_name([a, b]).dtypes)["v"] == "decimal(38,2)"
     assert dict(union_by_name([a, c]).dtypes)["v"] == "bigint"
     assert sorted(float(r.v) for r in union_by_name([a, b]).collect()) == [1.0, 1.25]
+
+
+def test_profile_is_one_pass(spark):  # A1+A3+D5+D6+D10 fused
+    from conftest import plan_text
+    df = spark.createDataFrame([("1", 5.0), ("x", None), (None, float("nan"))], "a string, v double")
+    p = D.profile(df, min_rows=2, not_null=["a", "v"], completeness_of=["v"], expected_types={"a": "int"},
+                  rules={"v_pos": "v > 0"})
+    got = {(r.metric, r.subject): (r.value, r.passed) for r in p.collect()}
+    assert got[("row_count", "*")] == (3.0, True)
+    assert got[("null_count", "a")] == (1.0, False) and got[("null_count", "v")] == (2.0, False)
+    assert abs(got[("completeness", "v")][0] - 1 / 3) < 1e-12
+    assert got[("bad_type_values", "a")] == (1.0, False)
+    assert got[("rule_violations", "v_pos")] == (0.0, True)  # NULL is not a violation; NaN > 0 holds in Spark
+    text = plan_text(p)
+    assert "Exchange hashpartitioning" not in text and text.count("Scan ExistingRDD") + text.count("Scan") >= 1

@@ -205,3 +205,61 @@ def business_rules(df: DataFrame, rules: dict[str, str | Column]) -> DataFrame:
         for i, n in enumerate(names)
     ]
     return one.select(F.inline(F.array(*rows)))
+
+
+def profile(
+    df: DataFrame,
+    min_rows: int | None = None,
+    not_null: list[str] | None = None,
+    completeness_of: list[str] | None = None,
+    expected_types: dict[str, str] | None = None,
+    rules: dict[str, str | Column] | None = None,
+) -> DataFrame:
+    """A1 + A3 + D5 + D6 + D10 fused into ONE aggregate over ``df``.
+
+    Every requested metric is a column of a single global aggregate (no
+    shuffle of data: partial aggregates per task, one row each to the
+    final step), then unpivoted.  Output, one row per metric:
+    ``metric, subject, value (double), passed (boolean)``.
+
+    * ``row_count`` / ``*``: rows; passed when ``>= min_rows``.
+    * ``null_count`` / column: NULL (or NaN) values; passed when 0.
+    * ``completeness`` / column: non-NULL share; passed when 1.
+    * ``bad_type_values`` / column: text values that do not cast to the
+      expected type; passed when 0 (types already equal count 0).
+    * ``rule_violations`` / rule: rows where the rule is FALSE; passed when 0.
+    """
+    aggs: list[Column] = [F.count(F.lit(1)).cast("long").alias("__rows")]
+    plan: list[tuple[str, str, str]] = [("row_count", "*", "__rows")]
+    for i, c in enumerate(not_null or []):
+        aggs.append(F.coalesce(F.sum(null_indicator(df, c)), F.lit(0)).cast("long").alias(f"__n{i}"))
+        plan.append(("null_count", c, f"__n{i}"))
+    for i, c in enumerate(completeness_of or []):
+        aggs.append(F.coalesce(F.sum(1 - null_indicator(df, c)), F.lit(0)).cast("long").alias(f"__c{i}"))
+        plan.append(("completeness", c, f"__c{i}"))
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    for i, (c, want) in enumerate((expected_types or {}).items()):
+        if isinstance(actual.get(c), T.StringType) and want != "string":
+            bad = F.sum(F.when(_q(c).isNotNull() & _q(c).try_cast(want).isNull(), 1).otherwise(0))
+        else:
+            bad = F.lit(0)
+        aggs.append(F.coalesce(bad, F.lit(0)).cast("long").alias(f"__t{i}"))
+        plan.append(("bad_type_values", c, f"__t{i}"))
+    for i, (name, expr) in enumerate((rules or {}).items()):
+        cond = F.expr(expr) if isinstance(expr, str) else expr
+        aggs.append(F.coalesce(F.sum(F.when(~cond, 1).otherwise(0)), F.lit(0)).cast("long").alias(f"__r{i}"))
+        plan.append(("rule_violations", name, f"__r{i}"))
+    one = df.agg(*aggs)
+    rows = []
+    for metric, subject, col in plan:
+        v = F.col(col)
+        if metric == "row_count":
+            value, ok = v.cast("double"), (v >= F.lit(min_rows if min_rows is not None else 0))
+        elif metric == "completeness":
+            value = (v / F.col("__rows")).cast("double")
+            ok = v == F.col("__rows")
+        else:
+            value, ok = v.cast("double"), v == 0
+        rows.append(F.struct(F.lit(metric).alias("metric"), F.lit(subject).alias("subject"),
+                             value.alias("value"), ok.alias("passed")))
+    return one.select(F.inline(F.array(*rows)))

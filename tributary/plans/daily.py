@@ -25,6 +25,7 @@ from tributary.operators import checks
 from tributary.plans import models, reference
 from tributary.plans.landing import ingest
 from tributary.schemas import CALL_LOGS, CUSTOMERS, AGENTS, RESOLUTION_STATES, SOCIAL_MEDIA, WEB_FORMS
+from tributary.sinks.audit import audit_record, save_audit
 from tributary.sinks.lake import PARTITION_COLS, layer_path, read_day
 from tributary.sinks.warehouse import Warehouse
 from tributary.sources.files import fetch_files
@@ -79,7 +80,12 @@ def _land_customers(spark, src: Sources, lake: str, wh: Warehouse, ds, as_of) ->
 def _land_daily_files(spark, folder: str, lake: str, dataset: str, wh: Warehouse, ds, as_of) -> dict:
     res = ingest(spark, fetch_files(spark, folder), lake, dataset, incremental=True, as_of=as_of or ds)
     day = read_day(spark, layer_path(lake, dataset, None), ds)
-    wh.load_by_name(day, wh.table_name("raw", dataset), mode="overwrite")  # replaces that day only
+    table = wh.table_name("raw", dataset)
+    losses = {r["column"]: r["lost_values"] for r in wh.cast_losses(day, table).collect()}  # one row per column
+    loaded = wh.load_by_name(day, table, mode="overwrite")  # replaces that day only
+    save_audit(audit_record(spark, dataset, ds, loaded["rows"], "success", None, as_of,
+                            details={"cast_losses": losses, "ignored_columns": loaded["ignored"]}), lake)
+    res["loaded_rows"], res["cast_losses"] = loaded["rows"], losses
     return res
 
 

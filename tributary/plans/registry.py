@@ -452,6 +452,29 @@ def q_business_rules(spark, sf):
     })
 
 
+@register("dq_profile", """
+with e as (select nullif(event_type, 'error') as event_type, value, props from events),
+m as (select count(*) as r,
+             sum(case when event_type is null then 1 else 0 end) as n0,
+             sum(case when value is null or isnan(value) then 1 else 0 end) as n1,
+             count(event_type) as c0,
+             sum(case when props is not null and try_cast(props as int) is null then 1 else 0 end) as t0,
+             sum(case when not (value < 50) then 1 else 0 end) as r0
+      from e)
+select 'row_count' as metric, '*' as subject, r::double as value, r >= 1 as passed from m
+union all select 'null_count', 'event_type', n0::double, n0 = 0 from m
+union all select 'null_count', 'value', n1::double, n1 = 0 from m
+union all select 'completeness', 'event_type', c0 / r, c0 = r from m
+union all select 'bad_type_values', 'props', t0::double, t0 = 0 from m
+union all select 'rule_violations', 'value_below_50', r0::double, r0 = 0 from m
+""")
+def q_dq_profile(spark, sf):
+    """A1 + A3 + D5 + D6 + D10 fused: one aggregate over events."""
+    return checks.profile(_events_with_null_types(spark, sf), min_rows=1, not_null=["event_type", "value"],
+                          completeness_of=["event_type"], expected_types={"props": "int"},
+                          rules={"value_below_50": "value < 50"})
+
+
 # ---------------------------------------------------------------------------
 # M: models
 # ---------------------------------------------------------------------------
