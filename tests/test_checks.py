@@ -112,3 +112,14 @@ def test_profile_is_one_pass(spark):  # A1+A3+D5+D6+D10 fused
     assert got[("rule_violations", "v_pos")] == (0.0, True)  # NULL is not a violation; NaN > 0 holds in Spark
     text = plan_text(p)
     assert "Exchange hashpartitioning" not in text and text.count("Scan ExistingRDD") + text.count("Scan") >= 1
+
+
+def test_consistency_null_keys_meet_and_no_extra_shuffle(spark):
+    from conftest import plan_text
+    a = spark.createDataFrame([(None,), (1,)], "k int")
+    b = spark.createDataFrame([(None,), (None,)], "k int")
+    out = D.cross_source_consistency(a, "k", b, "k", "a", "b")
+    text = plan_text(out)  # before execution: the plan is printed once
+    assert text.count("Exchange hashpartitioning") == 2  # the join reuses the aggregates' partitioning
+    got = {r.key: (r.n_a, r.n_b, r.status) for r in out.collect()}
+    assert got == {None: (1, 2, "both"), 1: (1, None, "only_a")}

@@ -158,11 +158,16 @@ def cross_source_consistency(
     data is.  Output: ``key, n_<left>, n_<right>, status`` with status
     ``both`` / ``only_<left>`` / ``only_<right>``.
     """
-    a = left.groupBy(_q(left_key).alias("__k")).agg(F.count(F.lit(1)).cast("long").alias(f"n_{left_name}"))
-    b = right.groupBy(_q(right_key).alias("__k")).agg(F.count(F.lit(1)).cast("long").alias(f"n_{right_name}"))
-    j = a.join(b, a["__k"].eqNullSafe(b["__k"]), "full")
+    # Grouping and joining on struct(key): struct equality treats NULL fields
+    # as equal (NULL keys meet), and the join reuses the hash partitioning
+    # the two aggregates already have — no further exchange.
+    a = left.groupBy(F.struct(_q(left_key).alias("k")).alias("__k")).agg(
+        F.count(F.lit(1)).cast("long").alias(f"n_{left_name}"))
+    b = right.groupBy(F.struct(_q(right_key).alias("k")).alias("__k")).agg(
+        F.count(F.lit(1)).cast("long").alias(f"n_{right_name}"))
+    j = a.join(b, a["__k"] == b["__k"], "full")
     return j.select(
-        F.coalesce(a["__k"], b["__k"]).alias("key"),
+        F.coalesce(a["__k"], b["__k"]).getField("k").alias("key"),
         F.col(f"n_{left_name}"),
         F.col(f"n_{right_name}"),
         F.when(a["__k"].isNotNull() & b["__k"].isNotNull(), F.lit("both"))

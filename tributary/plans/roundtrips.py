@@ -280,9 +280,9 @@ def q_stream_landing(spark, sf):
     ckpt, target = f"{base}/checkpoint", f"{base}/lake/call_logs"
     land_csv_stream(spark, f"{base}/landing", target, ckpt, as_of="2024-02-01")
     land_csv_stream(spark, f"{base}/landing", target, ckpt, as_of="2024-02-01")
-    return project_to_schema(spark.read.parquet(target), CALL_LOGS).join(
-        spark.read.parquet(target).select(F.col("call_id").alias("__id"), "year", "month", "day"),
-        F.col("call_id") == F.col("__id")).drop("__id")
+    from pyspark.sql import types as T
+    with_days = T.StructType(CALL_LOGS.fields + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
+    return project_to_schema(spark.read.parquet(target), with_days)
 
 
 @register("sheet_agents", """
