@@ -610,6 +610,21 @@ def q_retention(spark, sf):
     return retention_tiers(o, "o_orderdate", AS_OF_ORDERS).drop("o_orderdate")
 
 
+@register("expired_partitions", """
+select distinct cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month,
+       cast(o_orderdate as date) as partition_date
+from orders
+where date_diff('day', cast(o_orderdate as date), date '2001-08-02') >= 365
+""")
+def q_expired_partitions(spark, sf):
+    """Dated partitions past the expiry age (report only)."""
+    from tributary.operators.retention import expired_partitions
+    o = table(spark, sf, "orders").select(
+        F.year("o_orderdate").cast("int").alias("year"), F.month("o_orderdate").cast("int").alias("month"),
+        "o_orderdate")
+    return expired_partitions(o, ["year", "month"], "o_orderdate", AS_OF_ORDERS)
+
+
 @register("backfill", """
 select d::date as missing_day
 from generate_series(date '2024-01-01', date '2024-02-03', interval 1 day) as t(d)

@@ -341,3 +341,125 @@ def q_stg_customers(spark, sf):
     wh.load_by_name(standins.customers(spark, sf), wh.table_name("raw", "customers"), mode="overwrite")
     models.materialize(models.stg_passthrough(spark, f"{wh.db('raw')}.customers"), "stg_customers", wh.db("silver"))
     return wh.source("silver", "stg_customers")
+
+
+# ---------------------------------------------------------------------------
+# more sinks and landing variants
+# ---------------------------------------------------------------------------
+
+_CUSTOMERS_SQL = """
+select cast(c_custkey as varchar) as customer_id, c_name as name, null::varchar as gender,
+       null::varchar as date_of_birth, null::varchar as signup_date, c_name || '@X.COM' as email,
+       cast(c_nationkey as varchar) as address
+from customer
+"""
+
+# Raw header spellings of the two customer file layouts.
+_CUSTOMER_HEADERS = {"customer_id": "Customer ID", "name": "Name", "gender": "Gender",
+                     "date_of_birth": "Date Of Birth", "signup_date": "Signup Date", "email": "EMAIL",
+                     "address": "Address"}
+
+
+@register("static_ingest", _CUSTOMERS_SQL)
+def q_static_ingest(spark, sf):
+    """Customers as CSV files in two header layouts (split by
+    market segment) plus a text note; the static ingest skips the note,
+    unions by name and replaces the dataset."""
+    base = scratch_path(spark, "static-ingest")
+    cust = standins.customers(spark, sf).join(
+        table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), "c_mktsegment"),
+        "customer_id")
+    named = cust.select(*[F.col(k).alias(v) for k, v in _CUSTOMER_HEADERS.items()], "c_mktsegment")
+    first = F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE")
+    named.where(first).drop("c_mktsegment").write.options(**_CSV_OUT).mode("overwrite").csv(f"{base}/src/a")
+    named.where(~first).select("EMAIL", "Address", "Name", "Customer ID", "Gender", "Signup Date", "Date Of Birth") \
+        .write.options(**_CSV_OUT).mode("overwrite").csv(f"{base}/src/b")
+    table(spark, sf, "customer").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.concat(F.lit("rows: "), F.col("n").cast("string"))).write.mode("overwrite").text(f"{base}/src/notes")
+    files = [r["path"] for r in list_objects(spark, f"{base}/src").where(~F.col("name").startswith("_"))
+             .where(~F.col("name").startswith(".")).select("path").collect()]
+    ingest(spark, files, f"{base}/lake", "customers")
+    return spark.read.parquet(f"{base}/lake/customers")
+
+
+_CALLS_DAY_SQL = _RAW_CALLS_SQL.replace(
+    "from events where", ", 2024::int as year, 1::int as month, 10::int as day from events where") + \
+    " and cast(ts as date) = date '2024-01-10'"
+
+
+@register("explicit_date_ingest", _CALLS_DAY_SQL)
+def q_explicit_date_ingest(spark, sf):
+    """Landing with an explicit execution date takes only that day's
+    (or undated) files."""
+    base = scratch_path(spark, "k5")
+    _write_call_log_csvs(spark, sf, f"{base}/src")
+    files = [r["path"] for r in list_objects(spark, f"{base}/src", suffix=".csv").select("path").collect()]
+    ingest(spark, files, f"{base}/lake", "call_logs", incremental=True, execution_date="2024-01-10")
+    landed = spark.read.parquet(f"{base}/lake/call_logs")
+    from pyspark.sql import types as T
+    with_days = T.StructType(CALL_LOGS.fields + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
+    return project_to_schema(landed, with_days)
+
+
+@register("explicit_date_ingest_all", _RAW_CALLS_SQL.replace(
+    "from events where", ", 2024::int as year, 1::int as month, 10::int as day from events where"))
+def q_explicit_date_ingest_all(spark, sf):
+    """K5 as the reference does it (``all_files=True``): every file lands on
+    the execution date."""
+    base = scratch_path(spark, "k5-all")
+    _write_call_log_csvs(spark, sf, f"{base}/src")
+    files = [r["path"] for r in list_objects(spark, f"{base}/src", suffix=".csv").select("path").collect()]
+    ingest(spark, files, f"{base}/lake", "call_logs", incremental=True, execution_date="2024-01-10", all_files=True)
+    landed = spark.read.parquet(f"{base}/lake/call_logs")
+    from pyspark.sql import types as T
+    with_days = T.StructType(CALL_LOGS.fields + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
+    return project_to_schema(landed, with_days)
+
+
+@register("raw_layer_load", """
+select cast(s_suppkey as varchar) as id, s_name as name, cast(s_acctbal as varchar) as experience,
+       cast(s_nationkey as varchar) as state, 2025::int as year, 12::int as month, 1::int as day
+from supplier
+""")
+def q_raw_layer_load(spark, sf):
+    """A dated raw-layer write, then that day's partition loaded
+    into the warehouse table raw_<source> (re-run replaces the day)."""
+    from tributary.sinks.lake import write_to_raw_layer
+    base = scratch_path(spark, "k14")
+    write_to_raw_layer(standins.agents(spark, sf), base, "agents", "2025-12-01")
+    wh = _warehouse(spark, base)
+    wh.setup(("raw",))
+    wh.load_raw_layer(base, "agents", execution_date="2025-12-01")
+    wh.load_raw_layer(base, "agents", execution_date="2025-12-01")
+    return wh.source("raw", "raw_agents")
+
+
+@register("csv_to_parquet", _CUSTOMERS_SQL)
+def q_csv_to_parquet(spark, sf):
+    """K8: a CSV export (a folder of part files, messy headers) converted to
+    Snappy Parquet with the light header clean."""
+    base = scratch_path(spark, "k8")
+    cust = standins.customers(spark, sf)
+    cust.select(*[F.col(k).alias(v) for k, v in _CUSTOMER_HEADERS.items()]) \
+        .write.options(**_CSV_OUT).mode("overwrite").csv(f"{base}/customers.csv")
+    from tributary.sources.csvsrc import convert_csv_to_parquet
+    out = convert_csv_to_parquet(spark, f"{base}/customers.csv")
+    return spark.read.parquet(out).select(*[F.col(v.lower().replace(" ", "_")).alias(k)
+                                           for k, v in _CUSTOMER_HEADERS.items()])
+
+
+@register("backfill_write", """
+select event_id, event_type, cast(year(ts) as int) as year, cast(month(ts) as int) as month,
+       cast(day(ts) as int) as day
+from events
+""")
+def q_backfill_write(spark, sf):
+    """The first ten days landed, then one backfill job writes every
+    missing day of the window."""
+    from tributary.plans.backfill import backfill
+    base = scratch_path(spark, "t2")
+    ev = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    target = layer_path(base, "events", "raw")
+    write_dated(ev.where(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz")), base, "events", "ts")
+    backfill(ev, "ts", "2024-01-01", "2024-01-30", target)
+    return spark.read.parquet(target).select("event_id", "event_type", "year", "month", "day")

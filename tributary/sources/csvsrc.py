@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tributary.operators.columns import add_pandas_index_names, clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
-from tributary.sources.files import first_match, list_objects, sniff_heads
+from tributary.sources.files import expand_paths, first_match, list_objects, sniff_heads
 from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
@@ -111,10 +111,13 @@ def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=No
 
 def convert_csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str | None = None) -> str:
     """K8: CSV -> light header clean -> Snappy Parquet (beside the input by
-    default: ``x.csv`` -> ``x.parquet`` folder)."""
+    default: ``x.csv`` -> ``x.parquet`` folder).  ``csv_path`` may be a file
+    or a folder of CSV part files."""
     if parquet_path is None:
-        base = csv_path[:-4] if csv_path.lower().endswith(".csv") else csv_path
+        base = csv_path.rstrip("/")
+        base = base[:-4] if base.lower().endswith(".csv") else base
         parquet_path = base + ".parquet"
-    df = clean_headers(read_csv_files(spark, [csv_path]), "light")
+    files = expand_paths(spark, [csv_path], (".csv",))
+    df = clean_headers(read_csv_files(spark, files), "light")
     df.write.mode("overwrite").option("compression", "snappy").parquet(parquet_path)
     return parquet_path

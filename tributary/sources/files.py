@@ -71,6 +71,19 @@ def list_objects(
     return out
 
 
+def expand_paths(spark: SparkSession, paths: list[str], extensions: tuple[str, ...] | None = None) -> list[str]:
+    """Files behind a list of file and/or folder paths (folders are listed
+    recursively), optionally only those with one of ``extensions`` (case
+    ignored).  One listing job; content is never read."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+               .select("path"))
+    out = sorted(r["path"] for r in listing.collect())  # one row per file
+    if extensions:
+        exts = tuple(e.lower() for e in extensions)
+        out = [p for p in out if p.lower().endswith(exts)]
+    return out
+
+
 def find_files(
     spark: SparkSession, directory: str, extensions: tuple[str, ...] = (".csv",),
     name_contains: str | list[str] | None = None, recursive: bool = False, ignore_case: bool = True,
