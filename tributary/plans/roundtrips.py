@@ -233,7 +233,7 @@ def q_jdbc_table_scan(spark, sf):
     import uuid
     src = jdbc.derby_memory(f"scan_{uuid.uuid4().hex[:8]}")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    jdbc.write_table(o, src, "orders_src")
+    jdbc.write_table(o, src, "orders_src", column_types="o_orderstatus VARCHAR(8)")
     return src.read_table_parallel(spark, "orders_src", key="o_orderkey", rows_per_partition=5000)
 
 
@@ -463,3 +463,70 @@ def q_backfill_write(spark, sf):
     write_dated(ev.where(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz")), base, "events", "ts")
     backfill(ev, "ts", "2024-01-01", "2024-01-30", target)
     return spark.read.parquet(target).select("event_id", "event_type", "year", "month", "day")
+
+
+@register("call_logs_extract", """
+select cast(event_id as varchar) as "unnamed:_0", cast(event_id as varchar) as call_id,
+       cast(user_id as varchar) as customer_id, event_type as complaint_catego_ry, null::varchar as agent_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as call_start_time,
+       strftime(ts + to_seconds(cast(floor(value) as bigint)), '%Y-%m-%dT%H:%M:%S.%f') as call_end_time,
+       'Resolved' as resolutionstatus, strftime(date_trunc('day', ts), '%Y-%m-%dT%H:%M:%S.%f') as calllogsgenerationdate,
+       timestamp '2025-12-01 06:30:00' as _extraction_timestamp, 's3_call_logs' as _source_system,
+       count(*) over ()::bigint as _row_count
+from events where event_type = 'error'
+""")
+def q_call_logs_extract(spark, sf):
+    """S7 (+S2/S5/P1/P8): every CSV whose path names call logs, in two
+    header layouts, unioned by name, light-cleaned, stamped (values stay
+    text, as landed)."""
+    from tributary.sources.csvsrc import extract_call_logs
+    base = scratch_path(spark, "s7")
+    _write_call_log_csvs(spark, sf, f"{base}/bucket/call_logs")
+    df = extract_call_logs(spark, f"{base}/bucket", prefix="call_logs", as_of=AS_OF_STAMP)
+    return df.drop("_source_location")
+
+
+@register("csv_passthrough", """
+select cast(c_custkey as int) as customer_id, c_name as name, null::varchar as gender,
+       c_name || '@X.COM' as email, cast(c_nationkey as int) as address
+from customer
+""")
+def q_csv_passthrough(spark, sf):
+    """A same-shaped CSV export read with reader options passed through
+    (here schema inference)."""
+    from tributary.sources.csvsrc import read_csv
+    base = scratch_path(spark, "s1")
+    standins.customers(spark, sf).select("customer_id", "name", "gender", "email", "address") \
+        .write.options(**_CSV_OUT).mode("overwrite").csv(f"{base}/customers")
+    return read_csv(spark, f"{base}/customers", inferSchema=True)
+
+
+def _derby_orders(spark, sf):
+    import uuid
+    src = jdbc.derby_memory(f"o_{uuid.uuid4().hex[:8]}")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    jdbc.write_table(o, src, "orders_src", column_types="o_orderstatus VARCHAR(8)")
+    return src
+
+
+@register("jdbc_query", """
+select o_orderstatus, count(*)::int as n, round(sum(o_totalprice), 2) as total from orders group by 1
+""")
+def q_jdbc_query(spark, sf):
+    """A query executed by the database (the aggregate runs remotely;
+    Spark receives its result)."""
+    src = _derby_orders(spark, sf)
+    df = src.query(spark, 'SELECT "o_orderstatus", COUNT(*) AS "n", SUM("o_totalprice") AS "total" '
+                          'FROM orders_src GROUP BY "o_orderstatus"')
+    return df.select("o_orderstatus", "n", F.round("total", 2).alias("total"))
+
+
+@register("jdbc_page", """
+select o_orderkey, o_totalprice from orders where o_orderkey > 1000 order by o_orderkey limit 500
+""")
+def q_jdbc_page(spark, sf):
+    """One keyset page — projection, predicate text, ORDER BY and
+    the limit all run in the database."""
+    src = _derby_orders(spark, sf)
+    return src.read_table(spark, "orders_src", columns=['"o_orderkey"', '"o_totalprice"'],
+                          where='"o_orderkey" > 1000', limit=500, order_by='"o_orderkey"')
