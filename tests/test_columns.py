@@ -80,3 +80,14 @@ def test_read_projection_pushes_filter(spark):
     plan = plan_text(df)
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan or "o_orderkey" in plan
+
+
+@given(st.lists(st.text(alphabet="aAbB _-:", min_size=1, max_size=4), min_size=1, max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_collision_property(names):  # F8
+    cleaned = [C.clean_name_full(n).lower() for n in names]
+    if len(set(cleaned)) < len(cleaned):
+        with pytest.raises(C.HeaderCollisionError):
+            C.cleaned_names(names, "full")
+    else:
+        assert C.cleaned_names(names, "full") == [C.clean_name_full(n) for n in names]

@@ -163,3 +163,10 @@ def test_suffix_case_rules(spark, tmp):  # S5-S9 case-sensitive suffix, S10 not
     assert len(files.extract_csv_files(spark, f"{tmp}/in", name_contains="CALL")) == 1
     assert csvsrc.extract_call_logs(spark, f"{tmp}/in").count() == 1
     assert len(files.fetch_files(spark, f"{tmp}/in")) == 3
+
+
+def test_customers_key_may_be_a_folder(spark, tmp):  # S6
+    spark.createDataFrame([("1", "a"), ("2", "b")], "`Customer ID` string, Name string") \
+        .repartition(2).write.option("header", "true").csv(f"{tmp}/src/customers_export")
+    df = csvsrc.extract_customers(spark, f"{tmp}/src", key="customers_export")
+    assert sorted(r.customer_id for r in df.collect()) == ["1", "2"]

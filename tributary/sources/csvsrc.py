@@ -83,7 +83,9 @@ def extract_customers(spark: SparkSession, root: str, key: str | None = None, as
     """A given object, else the first ``.csv`` whose path contains
     ``customers`` (any case); light header clean; metadata stamp."""
     if key:
-        path = f"{root.rstrip('/')}/{key}"
+        path = f"{root.rstrip('/')}/{key}"  # a file, or a folder of part files
+        df = clean_headers(read_csv_files(spark, expand_paths(spark, [path], (".csv",))), "light")
+        return stamp_metadata(df, SOURCE_SYSTEMS["customers"], path, as_of=as_of)
     else:
         # suffix match is case-sensitive (S5); the name match is not
         listing = list_objects(spark, root, suffix=".csv", ignore_case=False)
