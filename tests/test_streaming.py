@@ -25,3 +25,17 @@ def test_backfill_writes_only_missing_days(spark, tmp):  # T2
     assert sorted(r.id for r in spark.read.parquet(f"{tmp}/t").collect()) == [0, 1, 2, 3]
     todo = missing_days(present_days(src, "ts"), "2025-11-19", "2025-11-24").collect()
     assert sorted(str(r.day) for r in todo) == ["2025-11-19", "2025-11-24"]
+
+
+def test_json_stream_landing(spark, tmp):  # T1 for JSON arrays
+    import json
+    from tributary.streaming.landing import land_json_stream
+    write(f"{tmp}/in/social_media_2025-11-20.json", json.dumps([{"Complaint ID": "s1", "n": {"x": 1}},
+                                                                  {"Complaint ID": "s2"}]))
+    target, ckpt = f"{tmp}/lake", f"{tmp}/ckpt"
+    land_json_stream(spark, f"{tmp}/in", target, ckpt, as_of="2025-12-01")
+    write(f"{tmp}/in/social_media_2025-11-21.json", json.dumps([{"Complaint ID": "s3", "n": {"x": 2}}]))
+    land_json_stream(spark, f"{tmp}/in", target, ckpt, as_of="2025-12-01")
+    land_json_stream(spark, f"{tmp}/in", target, ckpt, as_of="2025-12-01")
+    rows = sorted((r.day, r.complaint_id) for r in spark.read.parquet(target).collect())
+    assert rows == [(20, "s1"), (20, "s2"), (21, "s3")]

@@ -530,3 +530,26 @@ def q_jdbc_page(spark, sf):
     src = _derby_orders(spark, sf)
     return src.read_table(spark, "orders_src", columns=['"o_orderkey"', '"o_totalprice"'],
                           where='"o_orderkey" > 1000', limit=500, order_by='"o_orderkey"')
+
+
+@register("stream_json_landing", """
+select cast(conv_id as varchar) || '-' || cast(turn as varchar) as complaint_id, cast(conv_id as varchar) as customer_id,
+       role as complaint_catego_ry, 'Pending' as resolutionstatus, 'chat' as media_channel,
+       2025::int as year, 12::int as month, 1::int as day
+from conversations where role = 'user'
+""")
+def q_stream_json_landing(spark, sf):
+    """T1 for JSON: one array-of-records document per conversation, landed
+    by a JSON file stream (run twice on one checkpoint: nothing doubles)."""
+    from tributary.streaming.landing import land_json_stream
+    base = scratch_path(spark, "stream-json")
+    social = standins.social_media(spark, sf)
+    docs = social.groupBy("customer_id").agg(
+        F.to_json(F.collect_list(F.struct(*[F.col(c) for c in social.columns]))).alias("value"))
+    docs.select(F.col("customer_id").alias("conv"), "value").write.partitionBy("conv").mode("overwrite") \
+        .text(f"{base}/landing")
+    target, ckpt = f"{base}/lake", f"{base}/checkpoint"
+    land_json_stream(spark, f"{base}/landing", target, ckpt, as_of="2025-12-01", glob="*.txt")
+    land_json_stream(spark, f"{base}/landing", target, ckpt, as_of="2025-12-01", glob="*.txt")
+    return spark.read.parquet(target).select("complaint_id", "customer_id", "complaint_catego_ry",
+                                             "resolutionstatus", "media_channel", "year", "month", "day")

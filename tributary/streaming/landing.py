@@ -27,7 +27,7 @@ from tributary.plans.landing import file_date
 from tributary.session import scratch_path
 from tributary.sinks.lake import PARTITION_COLS
 from tributary.sources.csvsrc import CSV_OPTIONS, parse_header
-from tributary.sources.files import list_objects, sniff_files
+from tributary.sources.files import list_objects, sniff_heads
 
 
 def header_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
@@ -35,30 +35,38 @@ def header_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
     first = list_objects(spark, landing_dir).where(F.col("extension") == ".csv").orderBy("path").limit(1).collect()
     if not first:
         raise FileNotFoundError(f"no CSV files in {landing_dir}")
-    line = sniff_files(spark, [first[0]["path"]]).first()["first_line"]
+    line = sniff_heads(spark, [first[0]["path"]])[0]["first_line"]
     names = add_pandas_index_names(parse_header(line))
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def land_csv_stream(
+def json_schema(spark: SparkSession, landing_dir: str, glob: str = "*.json") -> T.StructType:
+    """All-text schema of the first JSON array file (by path)."""
+    first = (list_objects(spark, landing_dir).where(F.col("name").like(glob.replace("*", "%")))
+             .orderBy("path").limit(1).collect())
+    if not first:
+        raise FileNotFoundError(f"no JSON files in {landing_dir}")
+    return (spark.read.option("multiLine", "true").option("primitivesAsString", "true")
+            .json(first[0]["path"]).schema)
+
+
+def land_json_stream(
     spark: SparkSession, landing_dir: str, target_path: str, checkpoint_path: str | None = None,
-    schema: T.StructType | None = None, as_of=None, available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    schema: T.StructType | None = None, as_of=None, available_now: bool = True, glob: str = "*.json",
 ):
-    """Start (and with ``available_now`` finish) the landing stream.
-
-    Returns the ``StreamingQuery``; with ``available_now`` it has already
-    processed every file present at start.
-    """
-    schema = schema or header_schema(spark, landing_dir)
+    """T1 for JSON drops whose documents are arrays of records (streamed by
+    the multi-line JSON source; nested objects kept as structs).  Same
+    exactly-once and append semantics as ``land_csv_stream``."""
+    schema = schema or json_schema(spark, landing_dir, glob)
     checkpoint_path = checkpoint_path or scratch_path(spark, "landing-ckpt")
-    reader = (
-        spark.readStream.format("csv").options(**CSV_OPTIONS).option("enforceSchema", "true")
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").schema(schema)
+    stream = (
+        spark.readStream.format("json").option("multiLine", "true").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob).schema(schema).load(landing_dir)
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(landing_dir)
+    return _start(stream, target_path, checkpoint_path, as_of, available_now)
+
+
+def _start(stream, target_path: str, checkpoint_path: str, as_of, available_now: bool):
     names = cleaned_names(stream.columns, "light")
     fallback = as_date_literal(as_of or _dt.datetime.now(_dt.timezone.utc).date())
     day = F.coalesce(file_date(F.col("_metadata.file_path")), fallback)
@@ -74,3 +82,24 @@ def land_csv_stream(
     if available_now:
         query.awaitTermination()
     return query
+
+
+def land_csv_stream(
+    spark: SparkSession, landing_dir: str, target_path: str, checkpoint_path: str | None = None,
+    schema: T.StructType | None = None, as_of=None, available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+):
+    """Start (and with ``available_now`` finish) the landing stream.
+
+    Returns the ``StreamingQuery``; with ``available_now`` it has already
+    processed every file present at start.
+    """
+    schema = schema or header_schema(spark, landing_dir)
+    checkpoint_path = checkpoint_path or scratch_path(spark, "landing-ckpt")
+    reader = (
+        spark.readStream.format("csv").options(**CSV_OPTIONS).option("enforceSchema", "true")
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").schema(schema)
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return _start(reader.load(landing_dir), target_path, checkpoint_path, as_of, available_now)
