@@ -69,6 +69,7 @@ def test_by_name_load(spark, tmp):  # K9, K10, K11, F7
                                 "FORM_ID string, Submission_Date string, extra string")
     res = wh.load_by_name(src, "raw.web_forms_t", mode="overwrite")
     assert res["ignored"] == ["extra"] and "agent_id" in res["null_filled"]
+    assert res["rows"] == 2 and res["cast_losses"] == {"submission_date": 1}  # observed on the insert
     rows = {r.form_id: r for r in spark.table("raw.web_forms_t").collect()}
     assert rows["F1"].submission_date == dt.datetime(2025, 11, 20, 10) and rows["F2"].submission_date is None
     lost = {r.column: r.lost_values for r in wh.cast_losses(src, "raw.web_forms_t").collect()}

@@ -113,19 +113,42 @@ class Warehouse:
         ])))
 
     def load_by_name(self, df: DataFrame, table: str, mode: str = "append") -> dict:
-        """Load into ``table`` by column name.
+        """Load into ``table`` by column name, in ONE pass.
 
+        Columns are matched ignoring case; extras are ignored, missing ones
+        NULL-filled, differing types ``try_cast``.  The row count and, per
+        cast column, the non-NULL values that became NULL are observed on
+        the insert itself (``rows``, ``cast_losses``).
         ``mode``: ``append``; ``overwrite`` (replace the table, or with a
         partitioned table only the partitions present — dynamic overwrite).
         """
-        projected, extra, filled = self.conform_to_table(df, table)
-        if extra:
-            log.info("load %s: ignoring columns not in the table: %s", table, extra)
         if mode not in ("append", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}")
+        target = self.spark.table(table).schema
+        by_lower = {c.lower(): c for c in df.columns}
+        cols, losses, filled = [], [], []
+        for f in target.fields:
+            src = by_lower.get(f.name.lower())
+            if src is None:
+                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+                filled.append(f.name)
+            elif df.schema[src].dataType == f.dataType:
+                cols.append(F.col(f"`{src}`").alias(f.name))
+            else:
+                cast = F.col(f"`{src}`").try_cast(f.dataType)
+                cols.append(cast.alias(f.name))
+                losses.append((f.name, F.sum(F.when(F.col(f"`{src}`").isNotNull() & cast.isNull(), 1).otherwise(0))))
+        wanted = {f.name.lower() for f in target.fields}
+        extra = [c for c in df.columns if c.lower() not in wanted]
+        if extra:
+            log.info("load %s: ignoring columns not in the table: %s", table, extra)
         obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-        projected.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=(mode == "overwrite"))
-        return {"status": "success", "table": table, "rows": obs.get["rows"], "ignored": extra, "null_filled": filled}
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics += [F.coalesce(e, F.lit(0)).alias(f"lost_{i}") for i, (_, e) in enumerate(losses)]
+        df.observe(obs, *metrics).select(*cols).write.insertInto(table, overwrite=(mode == "overwrite"))
+        m = obs.get
+        return {"status": "success", "table": table, "rows": m["rows"], "ignored": extra, "null_filled": filled,
+                "cast_losses": {name: int(m[f"lost_{i}"]) for i, (name, _) in enumerate(losses)}}
 
     # K13, K14 ---------------------------------------------------------
     def load_parquet(self, path: str, table: str, mode: str = "overwrite") -> dict:
