@@ -95,3 +95,13 @@ def test_dated_union_and_incremental_plans(spark):  # plan assertions (SURVEY §
     inc = plan_text(E.queries()["incremental"](spark, SF001))
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,2024-01-15T00:00)]" in inc
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in inc
+
+
+def test_observed_checks_equal_run_checks(spark, tmp):
+    df = spark.createDataFrame([(1, None), (2, 3.0), (None, float("nan"))], "k int, x double")
+    cfg = {"min_rows": 5, "required_columns": ["k", "z"], "no_null_columns": ["k", "x"]}
+    observed, report = Q.observe_checks(df, cfg)
+    observed.write.parquet(f"{tmp}/out")  # the one pass
+    assert sorted(tuple(r) for r in report().collect()) == sorted(tuple(r) for r in Q.run_quality_checks(df, cfg).collect())
+    with pytest.raises(ValueError):
+        Q.observe_checks(df, {"unique_columns": ["k"]})

@@ -183,6 +183,49 @@ def run_quality_checks(df: DataFrame, config: dict) -> DataFrame:
     return _report(_metrics(df, null_cols, unique_cols), rows)
 
 
+def observe_checks(df: DataFrame, config: dict):
+    """A5 without a job of its own: the checks ride on the next action over
+    the returned DataFrame (e.g. the write) as an ``Observation``.
+
+    Returns ``(observed_df, report)``; call ``report()`` after the action to
+    get the same report DataFrame ``run_quality_checks`` gives.  Only the
+    single-pass checks can be observed: a duplicate check needs a shuffle by
+    key and raises ``ValueError`` here.
+    """
+    import uuid
+
+    from pyspark.sql import Observation
+
+    if "unique_columns" in config:
+        raise ValueError("no_duplicates needs a shuffle by key; use run_quality_checks")
+    null_cols = [c for c in config.get("no_null_columns", []) if c in df.columns]
+    obs = Observation(f"checks_{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(F.lit(1)).cast("long").alias("_rows")]
+    exprs += [F.coalesce(F.sum(null_indicator(df, c)), F.lit(0)).cast("long").alias(f"_null{i}")
+              for i, c in enumerate(null_cols)]
+    observed = df.observe(obs, *exprs)
+
+    def report() -> DataFrame:
+        values = obs.get
+        names = ["_rows"] + [f"_null{i}" for i in range(len(null_cols))]
+        one = df.sparkSession.createDataFrame([tuple(int(values[n]) for n in names)],
+                                              ", ".join(f"{n} bigint" for n in names))
+        rows: list[Column] = []
+        order = 0
+        if "min_rows" in config:
+            order += 1
+            rows.append(_row_count_check(order, int(config["min_rows"])))
+        if "required_columns" in config:
+            order += 1
+            rows.append(_required_check(order, df.columns, list(config["required_columns"])))
+        if "no_null_columns" in config:
+            order += 1
+            rows.append(_nulls_check(order, null_cols))
+        return _report(one, rows)
+
+    return observed, report
+
+
 def summarize_checks(report: DataFrame) -> DataFrame:
     """A5 totals: ``total_checks, passed_checks, failed_checks, all_passed``."""
     return report.agg(
