@@ -48,3 +48,15 @@ def test_one_day_end_to_end(spark, tmp):
     # a re-run of the same day replaces, never duplicates
     run_day(spark, src, f"{tmp}/lake", wh, "2025-11-20", as_of="2025-11-21 00:00:00")
     assert wh.source("raw", "call_logs").count() == 2 and wh.source("gold", "fct_complaints").count() == 4
+
+
+def test_command_line_run_day(spark, tmp):
+    from tributary.__main__ import main
+    write(f"{tmp}/in/calls/call_logs_2025-11-21.csv",
+          "Call ID,Customer ID,call_start_time,call_end_time\nk7,c1,2025-11-21 10:00:00,2025-11-21 10:01:00\n")
+    write(f"{tmp}/in/agents/agents.csv", "ID,Name\na1,Zed\n")
+    out = main(["run-day", "--date", "2025-11-21", "--lake", f"{tmp}/lake", "--call-logs", f"{tmp}/in/calls",
+                "--spreadsheet", f"{tmp}/in/agents", "--warehouse-root", f"{tmp}/wh", "--namespace", "cli_",
+                "--as-of", "2025-11-22 00:00:00"])
+    assert out["landed"]["call_logs"]["loaded_rows"] == 1
+    assert spark.table("cli_gold.fct_complaints").count() == 1
