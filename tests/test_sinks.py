@@ -119,3 +119,19 @@ def test_incremental_watermarks(spark, tmp):  # S17
     assert extract_incremental(df, "d", last).count() == 1  # strict >
     assert extract_incremental(df, "d", last, inclusive=True).count() == 2
     assert high_water_mark(df, "d") == dt.date(2025, 11, 23)
+
+
+def test_partitioned_overwrite_under_static_session(spark, tmp):  # Z13 whatever the session says
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        wh = Warehouse(spark, f"{tmp}/wh", namespace="static_")
+        wh.setup(("raw",))
+        import pyspark.sql.types as T
+        schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("day", T.IntegerType())])
+        wh.create_table(wh.table_name("raw", "t"), schema, partitioned_by=["day"])
+        wh.load_by_name(spark.createDataFrame([(1, 1), (2, 2)], "id int, day int"), wh.table_name("raw", "t"), "overwrite")
+        wh.load_by_name(spark.createDataFrame([(3, 2)], "id int, day int"), wh.table_name("raw", "t"), "overwrite")
+        assert sorted(tuple(r) for r in wh.source("raw", "t").collect()) == [(1, 1), (3, 2)]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)

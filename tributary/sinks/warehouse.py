@@ -142,6 +142,10 @@ class Warehouse:
         extra = [c for c in df.columns if c.lower() not in wanted]
         if extra:
             log.info("load %s: ignoring columns not in the table: %s", table, extra)
+        if mode == "overwrite" and self._is_partitioned(table):
+            # insertInto ignores per-write options; only the session setting
+            # makes an overwrite replace just the partitions present.
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         metrics += [F.coalesce(e, F.lit(0)).alias(f"lost_{i}") for i, (_, e) in enumerate(losses)]
@@ -150,6 +154,10 @@ class Warehouse:
         return {"status": "success", "table": table, "rows": m["rows"], "ignored": extra, "null_filled": filled,
                 "cast_losses": {name: int(m[f"lost_{i}"]) for i, (name, _) in enumerate(losses)}}
 
+    def _is_partitioned(self, table: str) -> bool:
+        name = table.replace("`", "")
+        return any(c.isPartition for c in self.spark.catalog.listColumns(name))
+
     # K13, K14 ---------------------------------------------------------
     def load_parquet(self, path: str, table: str, mode: str = "overwrite") -> dict:
         """Parquet files (a file or a folder) into a table."""
