@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 
 from tributary.functions.text import path_predicate
 
-LISTING_COLUMNS = ("path", "rel_path", "name", "extension", "length", "modified")
-
-
 def _norm(c):
     return F.regexp_replace(c, r"^file:(//)?", "")
 
