@@ -105,3 +105,11 @@ def test_observed_checks_equal_run_checks(spark, tmp):
     assert sorted(tuple(r) for r in report().collect()) == sorted(tuple(r) for r in Q.run_quality_checks(df, cfg).collect())
     with pytest.raises(ValueError):
         Q.observe_checks(df, {"unique_columns": ["k"]})
+
+
+def test_observed_checks_on_empty_input(spark, tmp):
+    df = spark.createDataFrame([], "k int")
+    observed, report = Q.observe_checks(df, {"min_rows": 1})
+    observed.write.parquet(f"{tmp}/empty")
+    r = report().first()
+    assert r.metric == 0 and r.passed is False

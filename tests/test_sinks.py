@@ -135,3 +135,10 @@ def test_partitioned_overwrite_under_static_session(spark, tmp):  # Z13 whatever
         assert sorted(tuple(r) for r in wh.source("raw", "t").collect()) == [(1, 1), (3, 2)]
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_empty_dated_write_is_a_noop(spark, tmp):  # Z7
+    lake.write_dated(_days(spark, [(1, dt.date(2025, 11, 20))]), tmp, "calls", "d")
+    res = lake.write_dated(spark.createDataFrame([], "id int, d date"), tmp, "calls", "d")
+    assert res["rows"] == 0
+    assert [r.id for r in spark.read.parquet(f"{tmp}/raw/calls").collect()] == [1]

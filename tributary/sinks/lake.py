@@ -19,6 +19,16 @@ from tributary.functions.dates import as_date_literal, date_parts
 PARTITION_COLS = ("year", "month", "day")
 
 
+def observed_rows(obs: Observation, df: DataFrame, key: str = "rows") -> int:
+    """The row count observed on a write.  A write over zero partitions
+    reports no metrics; only then is the input counted (it is empty or
+    nearly so)."""
+    try:
+        return int(obs.get[key])
+    except Exception:
+        return df.count()
+
+
 def layer_path(root: str, dataset: str, layer: str | None = "raw") -> str:
     """``<root>/<layer>/<dataset>`` — the single naming rule for a dataset."""
     root = root.rstrip("/")
@@ -30,7 +40,7 @@ def write_static(df: DataFrame, root: str, table: str, layer: str | None = "raw"
     path = layer_path(root, table, layer)
     obs = Observation(f"static_{table}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return {"status": "success", "path": path, "rows": obs.get["rows"]}
+    return {"status": "success", "path": path, "rows": observed_rows(obs, df)}
 
 
 def write_parquet(
@@ -71,7 +81,7 @@ def write_parquet(
     if cols:
         writer = writer.partitionBy(*cols)
     writer.parquet(path)
-    return {"status": "success", "path": path, "rows": obs.get["rows"]}
+    return {"status": "success", "path": path, "rows": observed_rows(obs, df)}
 
 
 def with_execution_date(df: DataFrame, execution_date=None, padded: bool = False) -> DataFrame:
