@@ -57,6 +57,6 @@ def test_command_line_run_day(spark, tmp):
     write(f"{tmp}/in/agents/agents.csv", "ID,Name\na1,Zed\n")
     out = main(["run-day", "--date", "2025-11-21", "--lake", f"{tmp}/lake", "--call-logs", f"{tmp}/in/calls",
                 "--spreadsheet", f"{tmp}/in/agents", "--warehouse-root", f"{tmp}/wh", "--namespace", "cli_",
-                "--as-of", "2025-11-22 00:00:00"])
+                "--as-of", "2025-11-22 00:00:00", "--buckets", "4"])
     assert out["landed"]["call_logs"]["loaded_rows"] == 1
     assert spark.table("cli_gold.fct_complaints").count() == 1

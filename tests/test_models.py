@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import SF001, plan_text
+from pyspark.sql import functions as F
 from tributary.plans import models, standins
 
 
@@ -45,3 +46,24 @@ def test_unified_has_conformed_columns(spark):  # M3, M4
         models.stg_web_forms(standins.web_forms(spark, SF001)),
         models.stg_social_media(standins.social_media(spark, SF001)))
     assert tuple(u.columns) == COMPLAINT_COLUMNS
+
+
+def test_bucketed_fact_and_dimension_join_without_shuffle(spark):  # K17 option
+    from conftest import plan_text
+    from tributary.sinks.warehouse import Warehouse
+    import tempfile
+    wh = Warehouse(spark, tempfile.mkdtemp(), namespace="bk_")
+    wh.setup(("gold",))
+    fct = standins.table(spark, SF001, "orders").select(F.col("o_custkey").alias("customer_id"), "o_totalprice")
+    dim = standins.table(spark, SF001, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name")
+    models.materialize(fct, "fct", wh.db("gold"), bucket_by="customer_id", buckets=8)
+    models.materialize(dim, "dim", wh.db("gold"), bucket_by="customer_id", buckets=8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the sort-merge path
+    try:
+        j = wh.source("gold", "fct").join(wh.source("gold", "dim"), "customer_id")
+        text = plan_text(j)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert j.count() == fct.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

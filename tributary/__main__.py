@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--namespace", default="", help="prefix of the raw/silver/gold database names")
     d.add_argument("--on-fail", choices=("warn", "raise"), default="warn")
     d.add_argument("--as-of", help="extraction instant (UTC); default now")
+    d.add_argument("--buckets", type=int, help="bucket the fact and dimensions by key into this many buckets")
     return p
 
 
@@ -61,7 +62,8 @@ def main(argv: list[str] | None = None) -> dict:
                   spreadsheet_dir=args.spreadsheet, web_forms=web_forms, web_forms_schema=args.jdbc_schema,
                   web_forms_key=args.jdbc_key)
     wh = Warehouse(spark, args.warehouse_root, namespace=args.namespace)
-    out = run_day(spark, src, args.lake, wh, args.date, as_of=args.as_of, on_fail=args.on_fail)
+    out = run_day(spark, src, args.lake, wh, args.date, as_of=args.as_of, on_fail=args.on_fail,
+                  buckets=args.buckets)
     print(json.dumps(out, default=str))
     return out
 

@@ -178,11 +178,22 @@ def schema_name(custom: str | None, default: str) -> str:
     return default if custom is None else custom.strip()
 
 
-def materialize(df: DataFrame, name: str, layer: str | None, default_schema: str = "default") -> str:
-    """Replace table ``<schema>.<name>`` with the model's rows."""
+def materialize(df: DataFrame, name: str, layer: str | None, default_schema: str = "default",
+                bucket_by: str | list[str] | None = None, buckets: int | None = None) -> str:
+    """Replace table ``<schema>.<name>`` with the model's rows.
+
+    ``bucket_by``/``buckets`` save the table bucketed (and sorted) on a key:
+    joins between tables bucketed the same way on that key — a fact and its
+    dimension — then need no shuffle.  ``buckets`` should give files of a
+    few hundred MB at the table's size.
+    """
     spark = df.sparkSession
     schema = schema_name(layer, default_schema)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     full = f"`{schema}`.`{name}`"
-    df.write.mode("overwrite").format("parquet").saveAsTable(full)
+    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by:
+        keys = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
+        writer = writer.bucketBy(int(buckets or 64), *keys).sortBy(*keys)
+    writer.saveAsTable(full)
     return f"{schema}.{name}"
