@@ -170,3 +170,9 @@ def test_customers_key_may_be_a_folder(spark, tmp):  # S6
         .repartition(2).write.option("header", "true").csv(f"{tmp}/src/customers_export")
     df = csvsrc.extract_customers(spark, f"{tmp}/src", key="customers_export")
     assert sorted(r.customer_id for r in df.collect()) == ["1", "2"]
+
+
+def test_quoted_line_breaks(spark, tmp):
+    p = write(f"{tmp}/notes.csv", 'id,note\n1,"line one\nline two"\n2,"say ""hi"""\n')
+    rows = sorted(tuple(r) for r in csvsrc.read_csv_files(spark, [p], multi_line=True).collect())
+    assert rows == [("1", "line one\nline two"), ("2", 'say "hi"')]

@@ -56,12 +56,15 @@ def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...]
     return groups
 
 
-def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = False) -> DataFrame:
+def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = False,
+                   multi_line: bool = False) -> DataFrame:
     """Many CSV files, appended by column name.
 
     Each header shape is read once with an all-text schema named after that
     header (blank header -> ``Unnamed: <pos>``), so positions map to the
     right names; shapes are unioned by name, missing columns NULL.
+    ``multi_line`` allows quoted values with line breaks (free-text notes);
+    such files are no longer splittable, so it is off by default.
     """
     if not paths:
         raise FileNotFoundError("no CSV files given")
@@ -72,7 +75,8 @@ def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = Fals
     for header, files in groups.items():
         names = add_pandas_index_names(list(header))
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        df = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true").schema(schema).csv(files)
+        df = (spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
+              .option("multiLine", "true" if multi_line else "false").schema(schema).csv(files))
         if with_file:
             df = df.withColumn("_file", F.col("_metadata.file_path"))
         frames.append(df)
