@@ -39,3 +39,12 @@ def test_json_stream_landing(spark, tmp):  # T1 for JSON arrays
     land_json_stream(spark, f"{tmp}/in", target, ckpt, as_of="2025-12-01")
     rows = sorted((r.day, r.complaint_id) for r in spark.read.parquet(target).collect())
     assert rows == [(20, "s1"), (20, "s2"), (21, "s3")]
+
+
+def test_stream_refuses_mixed_headers(spark, tmp):  # F1 in a stream
+    import pytest
+    from tributary.streaming.landing import HeaderShapeError, land_csv_stream
+    write(f"{tmp}/in/calls_2025-11-20.csv", "a,b\n1,2\n")
+    write(f"{tmp}/in/calls_2025-11-21.csv", "b,a\n2,1\n")
+    with pytest.raises(HeaderShapeError):
+        land_csv_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01")

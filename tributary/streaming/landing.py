@@ -84,16 +84,39 @@ def _start(stream, target_path: str, checkpoint_path: str, as_of, available_now:
     return query
 
 
+class HeaderShapeError(ValueError):
+    """A landing folder holds CSV files with different headers (fact F1)."""
+
+
+def check_one_header_shape(spark: SparkSession, landing_dir: str) -> str:
+    """Sniff every CSV header in the folder (in parallel, a few KB per file)
+    and fail when they differ: a stream binds columns by position, so one
+    odd file would be silently misread."""
+    files = [r["path"] for r in list_objects(spark, landing_dir).where(F.col("extension") == ".csv")
+             .select("path").collect()]
+    heads = {}
+    for r in sniff_heads(spark, files):
+        if r["first_line"]:
+            heads.setdefault(r["first_line"], []).append(r["path"])
+    if len(heads) > 1:
+        detail = "; ".join(f"{h!r}: {len(p)} file(s), e.g. {sorted(p)[0]}" for h, p in heads.items())
+        raise HeaderShapeError(f"one header shape per stream; found {len(heads)}: {detail}")
+    return next(iter(heads), "")
+
+
 def land_csv_stream(
     spark: SparkSession, landing_dir: str, target_path: str, checkpoint_path: str | None = None,
     schema: T.StructType | None = None, as_of=None, available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = None, check_headers: bool = True,
 ):
     """Start (and with ``available_now`` finish) the landing stream.
 
     Returns the ``StreamingQuery``; with ``available_now`` it has already
-    processed every file present at start.
+    processed every file present at start.  ``check_headers`` refuses to
+    start when the folder's CSV files do not share one header.
     """
+    if check_headers:
+        check_one_header_shape(spark, landing_dir)
     schema = schema or header_schema(spark, landing_dir)
     checkpoint_path = checkpoint_path or scratch_path(spark, "landing-ckpt")
     reader = (
