@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.casts import safe_cast
+
 
 def json_field(c: Column | str, path: str, data_type: str = "string") -> Column:
     """One field of a JSON text column, cast without failing on bad values
     (X15).  ``path`` is a JSONPath such as ``$.k``."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.get_json_object(c, path).try_cast(data_type)
+    return safe_cast(F.get_json_object(c, path), data_type)
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.casts import safe_cast
 from tributary.functions.dates import as_of_timestamp
 from tributary.operators.quality import null_indicator
 
@@ -82,7 +83,7 @@ def type_conformance(df: DataFrame, expected: T.StructType | dict) -> DataFrame:
         want = exp[name]
         have = actual.get(name)
         if isinstance(have, T.StringType) and want != "string":
-            bad = F.sum(F.when(_q(name).isNotNull() & _q(name).try_cast(want).isNull(), 1).otherwise(0))
+            bad = F.sum(F.when(_q(name).isNotNull() & safe_cast(_q(name), want).isNull(), 1).otherwise(0))
         else:
             bad = F.lit(0)
         aggs.append(F.coalesce(bad, F.lit(0)).cast("long").alias(f"_b{i}"))
@@ -245,7 +246,7 @@ def profile(
     actual = {f.name: f.dataType for f in df.schema.fields}
     for i, (c, want) in enumerate((expected_types or {}).items()):
         if isinstance(actual.get(c), T.StringType) and want != "string":
-            bad = F.sum(F.when(_q(c).isNotNull() & _q(c).try_cast(want).isNull(), 1).otherwise(0))
+            bad = F.sum(F.when(_q(c).isNotNull() & safe_cast(_q(c), want).isNull(), 1).otherwise(0))
         else:
             bad = F.lit(0)
         aggs.append(F.coalesce(bad, F.lit(0)).cast("long").alias(f"__t{i}"))

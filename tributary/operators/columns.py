@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.casts import safe_cast
 from tributary.functions.text import clean_email, strip_ws
 
 # Fixed value: characters the full clean removes after the light clean.
@@ -163,5 +164,6 @@ def project_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif df.schema[src].dataType == f.dataType:
             cols.append(F.col(f"`{src}`").alias(f.name))
         else:
-            cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
+            text = isinstance(df.schema[src].dataType, T.StringType)
+            cols.append(safe_cast(F.col(f"`{src}`"), f.dataType, source_is_text=text).alias(f.name))
     return df.select(*cols)

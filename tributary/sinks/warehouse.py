@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.casts import safe_cast
 from tributary.operators.columns import project_to_schema
 from tributary.schemas import LAYERS, RAW_TABLES
 from tributary.sinks.lake import layer_path, read_day
@@ -102,7 +103,8 @@ class Warehouse:
             src = by_lower.get(f.name.lower())
             if src is not None and df.schema[src].dataType != f.dataType:
                 ref = F.col(f"`{src}`")
-                pairs.append((f.name, F.sum(F.when(ref.isNotNull() & ref.try_cast(f.dataType).isNull(), 1)
+                text = isinstance(df.schema[src].dataType, T.StringType)
+                pairs.append((f.name, F.sum(F.when(ref.isNotNull() & safe_cast(ref, f.dataType, text).isNull(), 1)
                                                 .otherwise(0))))
         if not pairs:
             return self.spark.createDataFrame([], "column string, lost_values bigint")
@@ -135,7 +137,8 @@ class Warehouse:
             elif df.schema[src].dataType == f.dataType:
                 cols.append(F.col(f"`{src}`").alias(f.name))
             else:
-                cast = F.col(f"`{src}`").try_cast(f.dataType)
+                text = isinstance(df.schema[src].dataType, T.StringType)
+                cast = safe_cast(F.col(f"`{src}`"), f.dataType, source_is_text=text)
                 cols.append(cast.alias(f.name))
                 losses.append((f.name, F.sum(F.when(F.col(f"`{src}`").isNotNull() & cast.isNull(), 1).otherwise(0))))
         wanted = {f.name.lower() for f in target.fields}
