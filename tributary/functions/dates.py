@@ -49,15 +49,13 @@ def date_parts(date_col: Column | str, padded: bool = False) -> list[Column]:
 def date_from_file_name(name: Column | str) -> Column:
     """Date found in a file stem as ``YYYY[-_]MM[-_]DD``; NULL when absent.
 
-    ``regexp_extract`` returns '' on no match, so the pieces are NULL-ed
-    before ``make_date``.  An impossible date (month 13) also gives NULL.
+    One regular-expression match per value (the whole date), separators
+    unified with ``translate``, then a lenient parse: no match ('') and
+    impossible dates (month 13) both give NULL.
     """
     n = _col(name)
-    parts = [F.nullif(F.regexp_extract(n, FILE_DATE_PATTERN, i), F.lit("")) for i in (1, 2, 3)]
-    return F.try_make_timestamp_ntz(
-        parts[0].cast("int"), parts[1].cast("int"), parts[2].cast("int"),
-        F.lit(0), F.lit(0), F.lit(0),
-    ).cast("date")
+    found = F.translate(F.regexp_extract(n, FILE_DATE_PATTERN, 0), "_", "-")
+    return F.try_to_date(found, "yyyy-MM-dd")
 
 
 def dated_table_date(name: Column | str, prefix: str) -> Column:
