@@ -31,7 +31,7 @@ def test_one_day_end_to_end(spark, tmp):
     jdbc.write_table(forms, db, "web_form_request_2025_11_20")
     src = Sources(customers_dir=f"{tmp}/in/customers", call_logs_dir=f"{tmp}/in/calls",
                   social_media_dir=f"{tmp}/in/social", spreadsheet_dir=f"{tmp}/in/agents",
-                  web_forms=db, web_forms_key="id")
+                  web_forms=db, web_forms_key="id", web_forms_balanced=True)
     wh = Warehouse(spark, f"{tmp}/wh", namespace="daily_")
     out = run_day(spark, src, f"{tmp}/lake", wh, "2025-11-20", as_of="2025-11-21 00:00:00")
     # the agents tab names its key 'id' while the check wants 'agent_id' (Z6):

@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     d.add_argument("--jdbc-schema")
     d.add_argument("--jdbc-key", help="numeric column for parallel range reads")
+    d.add_argument("--jdbc-balanced", action="store_true", help="read in quantile bands of the key")
     d.add_argument("--warehouse-root", help="table location root (default: the catalog's warehouse dir)")
     d.add_argument("--namespace", default="", help="prefix of the raw/silver/gold database names")
     d.add_argument("--on-fail", choices=("warn", "raise"), default="warn")
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> dict:
         web_forms = JdbcSource(url=args.jdbc_url, driver=args.jdbc_driver, properties=props)
     src = Sources(customers_dir=args.customers, call_logs_dir=args.call_logs, social_media_dir=args.social_media,
                   spreadsheet_dir=args.spreadsheet, web_forms=web_forms, web_forms_schema=args.jdbc_schema,
-                  web_forms_key=args.jdbc_key)
+                  web_forms_key=args.jdbc_key, web_forms_balanced=args.jdbc_balanced)
     wh = Warehouse(spark, args.warehouse_root, namespace=args.namespace)
     out = run_day(spark, src, args.lake, wh, args.date, as_of=args.as_of, on_fail=args.on_fail,
                   buckets=args.buckets)

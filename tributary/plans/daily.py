@@ -52,6 +52,7 @@ class Sources:
     web_forms: JdbcSource | None = None
     web_forms_schema: str | None = None
     web_forms_key: str | None = None
+    web_forms_balanced: bool = False  # quantile bands of the key (unevenly spread keys)
 
 
 def setup(wh: Warehouse) -> None:
@@ -91,7 +92,7 @@ def _land_daily_files(spark, folder: str, lake: str, dataset: str, wh: Warehouse
 
 def _land_web_forms(spark, src: Sources, lake: str, wh: Warehouse, ds, as_of) -> dict:
     extracted = src.web_forms.extract_dated_tables(spark, schema=src.web_forms_schema, key=src.web_forms_key,
-                                                   as_of=as_of)
+                                                   as_of=as_of, balanced=src.web_forms_balanced)
     res = reference.load_web_forms(extracted, lake, execution_date=ds, as_of=as_of)
     wh.load_by_name(spark.read.parquet(layer_path(lake, "web_forms", "raw")), wh.table_name("raw", "web_forms"),
                     mode="overwrite")
