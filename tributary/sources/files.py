@@ -208,15 +208,16 @@ def _make_sniffer(limit: int):
                 if path.startswith(hadoop):
                     path = arrow + path[len(hadoop):]
             fs, inner = pafs.FileSystem.from_uri(path)
-        out = b""
+        out, step = b"", 4096  # a header is a few hundred bytes: start small, grow
         with fs.open_input_stream(inner) as fh:
             while len(out) < limit:
-                chunk = fh.read(min(65536, limit - len(out)))
+                chunk = fh.read(min(step, limit - len(out)))
                 if not chunk:
                     break
                 out += chunk
                 if b"\n" in chunk and out.strip():
                     break
+                step = min(step * 2, 1 << 20)
         return out
 
     def sniff(batches):

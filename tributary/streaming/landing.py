@@ -88,12 +88,15 @@ class HeaderShapeError(ValueError):
     """A landing folder holds CSV files with different headers (fact F1)."""
 
 
-def check_one_header_shape(spark: SparkSession, landing_dir: str) -> str:
-    """Sniff every CSV header in the folder (in parallel, a few KB per file)
+def check_one_header_shape(spark: SparkSession, landing_dir: str, modified_after=None) -> str:
+    """Sniff the CSV headers in the folder (in parallel, a few KB per file)
     and fail when they differ: a stream binds columns by position, so one
-    odd file would be silently misread."""
-    files = [r["path"] for r in list_objects(spark, landing_dir).where(F.col("extension") == ".csv")
-             .select("path").collect()]
+    odd file would be silently misread.  ``modified_after`` limits the check
+    to recent files in a long-lived landing folder."""
+    listing = list_objects(spark, landing_dir).where(F.col("extension") == ".csv")
+    if modified_after is not None:
+        listing = listing.where(F.col("modified") > F.lit(modified_after).cast("timestamp"))
+    files = [r["path"] for r in listing.select("path").collect()]
     heads = {}
     for r in sniff_heads(spark, files):
         if r["first_line"]:
@@ -107,7 +110,7 @@ def check_one_header_shape(spark: SparkSession, landing_dir: str) -> str:
 def land_csv_stream(
     spark: SparkSession, landing_dir: str, target_path: str, checkpoint_path: str | None = None,
     schema: T.StructType | None = None, as_of=None, available_now: bool = True,
-    max_files_per_trigger: int | None = None, check_headers: bool = True,
+    max_files_per_trigger: int | None = None, check_headers: bool = True, check_modified_after=None,
 ):
     """Start (and with ``available_now`` finish) the landing stream.
 
@@ -116,7 +119,7 @@ def land_csv_stream(
     start when the folder's CSV files do not share one header.
     """
     if check_headers:
-        check_one_header_shape(spark, landing_dir)
+        check_one_header_shape(spark, landing_dir, check_modified_after)
     schema = schema or header_schema(spark, landing_dir)
     checkpoint_path = checkpoint_path or scratch_path(spark, "landing-ckpt")
     reader = (
