@@ -553,3 +553,42 @@ def q_stream_json_landing(spark, sf):
     land_json_stream(spark, f"{base}/landing", target, ckpt, as_of="2025-12-01", glob="*.txt")
     return spark.read.parquet(target).select("complaint_id", "customer_id", "complaint_catego_ry",
                                              "resolutionstatus", "media_channel", "year", "month", "day")
+
+
+@register("jdbc_balanced_scan", """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders
+""")
+def q_jdbc_balanced_scan(spark, sf):
+    """S16 with quantile bands: the key column is read first, its quantiles
+    cut the table into bands of equal row counts."""
+    src = _derby_orders(spark, sf)
+    return src.read_table_balanced(spark, "orders_src", key="o_orderkey", rows_per_partition=2000)
+
+
+@register("dq_observed", """
+with m as (select count(*) as r,
+                  coalesce(sum(case when o_custkey is null then 1 else 0 end), 0) as n0,
+                  coalesce(sum(case when o_totalprice is null or isnan(o_totalprice) then 1 else 0 end), 0) as n1
+           from orders)
+select 1::int as check_order, 'row_count' as "check", r >= 1 as passed, r::bigint as metric,
+       'expected_min=1' as detail, 'Row count: ' || r || ' (min: 1)' as message from m
+union all
+select 2, 'required_columns', true, 0::bigint, '', 'All required columns present' from m
+union all
+select 3, 'no_nulls', (n0 + n1) = 0, (n0 + n1)::bigint,
+       concat_ws(',', case when n0 > 0 then 'o_custkey=' || n0 end, case when n1 > 0 then 'o_totalprice=' || n1 end),
+       case when n0 + n1 = 0 then 'No nulls in critical columns' else 'Nulls found in: ' ||
+         concat_ws(',', case when n0 > 0 then 'o_custkey=' || n0 end, case when n1 > 0 then 'o_totalprice=' || n1 end) end
+from m
+""")
+def q_dq_observed(spark, sf):
+    """A5 observed on the write: the orders are written to the static layer
+    and the checks ride on that single pass."""
+    from tributary.operators.quality import observe_checks
+    from tributary.sinks.lake import write_static
+    base = scratch_path(spark, "observed")
+    observed, report = observe_checks(table(spark, sf, "orders"), {
+        "min_rows": 1, "required_columns": ["o_orderkey", "o_custkey"],
+        "no_null_columns": ["o_custkey", "o_totalprice"]})
+    write_static(observed, base, "orders")
+    return report()
