@@ -592,3 +592,22 @@ def q_dq_observed(spark, sf):
         "no_null_columns": ["o_custkey", "o_totalprice"]})
     write_static(observed, base, "orders")
     return report()
+
+
+@register("customers_extract", """
+select cast(c_custkey as varchar) as customer_id, c_name as name, null::varchar as gender,
+       null::varchar as date_of_birth, null::varchar as signup_date, c_name || '@X.COM' as email,
+       cast(c_nationkey as varchar) as address, timestamp '2025-12-01 06:30:00' as _extraction_timestamp,
+       's3_customers' as _source_system, count(*) over ()::bigint as _row_count
+from customer
+""")
+def q_customers_extract(spark, sf):
+    """The customers export (a folder of CSV parts with messy headers)
+    read by key, light-cleaned and stamped."""
+    from tributary.sources.csvsrc import extract_customers
+    base = scratch_path(spark, "s6")
+    standins.customers(spark, sf).select(*[F.col(k).alias(v) for k, v in _CUSTOMER_HEADERS.items()]) \
+        .write.options(**_CSV_OUT).mode("overwrite").csv(f"{base}/bucket/customers_export")
+    df = extract_customers(spark, f"{base}/bucket", key="customers_export", as_of=AS_OF_STAMP)
+    return df.select(*[F.col(v.lower().replace(" ", "_")).alias(k) for k, v in _CUSTOMER_HEADERS.items()],
+                     "_extraction_timestamp", "_source_system", "_row_count")
