@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 #  * Dynamic partition overwrite replaces only the partitions a write touches
 #    (daily re-runs stay idempotent).
 #  * Snappy is the codec the landing layer is specified with.
+#  * Arrow moves driver-side lists (file paths) into Spark in batches.
 CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,6 +29,7 @@ CORE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 

@@ -271,7 +271,9 @@ def sniff_files(spark: SparkSession, paths: list[str] | DataFrame, head_bytes: i
     if isinstance(paths, DataFrame):
         df = paths.select("path")
     else:
-        df = spark.createDataFrame([(p,) for p in paths], "path string")
+        import pandas as pd
+
+        df = spark.createDataFrame(pd.DataFrame({"path": list(paths)}), "path string")
     try:
         n = spark.sparkContext.defaultParallelism
     except Exception:  # no SparkContext handle (e.g. a remote session)
