@@ -142,3 +142,13 @@ def test_empty_dated_write_is_a_noop(spark, tmp):  # Z7
     res = lake.write_dated(spark.createDataFrame([], "id int, d date"), tmp, "calls", "d")
     assert res["rows"] == 0
     assert [r.id for r in spark.read.parquet(f"{tmp}/raw/calls").collect()] == [1]
+
+
+def test_undated_raw_layer_load_replaces_table(spark, tmp):  # K14 without a date
+    lake.write_to_raw_layer(spark.range(3), tmp, "calls3", "2025-11-20")
+    lake.write_to_raw_layer(spark.range(2), tmp, "calls3", "2025-11-21")
+    wh = Warehouse(spark, f"{tmp}/wh", namespace="k14_")
+    wh.setup(("raw",))
+    wh.load_raw_layer(tmp, "calls3")
+    wh.load_raw_layer(tmp, "calls3")  # re-run: replaced, not doubled
+    assert wh.source("raw", "raw_calls3").count() == 5
