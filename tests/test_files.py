@@ -176,3 +176,11 @@ def test_quoted_line_breaks(spark, tmp):
     p = write(f"{tmp}/notes.csv", 'id,note\n1,"line one\nline two"\n2,"say ""hi"""\n')
     rows = sorted(tuple(r) for r in csvsrc.read_csv_files(spark, [p], multi_line=True).collect())
     assert rows == [("1", "line one\nline two"), ("2", 'say "hi"')]
+
+
+def test_verify_landing_all_present(spark, tmp):  # K16
+    write(f"{tmp}/lake/agents/agents.parquet", "x")
+    write(f"{tmp}/lake/call_logs/a.parquet", "y")
+    res = files.verify_landing(spark, f"{tmp}/lake")
+    assert res["all_present"] is True
+    assert {r.prefix: r.objects for r in res["summary"].collect()} == {"agents": 1, "call_logs": 1}

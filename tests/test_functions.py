@@ -61,3 +61,11 @@ def test_text_helpers(spark):  # X19, X20
     row = spark.range(1).select(text.default_if_null(F.lit(None).cast("string")).alias("d"),
                                 text.bytes_to_mb(F.lit(3 * 1024 * 1024)).alias("mb")).first()
     assert row.d == "unknown" and row.mb == 3.0
+
+
+def test_constant_and_text_helpers(spark):  # P10, X5
+    from tributary.operators.metadata import with_constant
+    df = spark.createDataFrame([(1, None)], "a int, b double")
+    out = with_constant(df, "form_date", "2025-11-20").select("form_date", text.to_text("a").alias("t"),
+                                                              text.to_text("b").alias("u")).first()
+    assert tuple(out) == ("2025-11-20", "1", None)
