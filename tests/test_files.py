@@ -184,3 +184,25 @@ def test_verify_landing_all_present(spark, tmp):  # K16
     res = files.verify_landing(spark, f"{tmp}/lake")
     assert res["all_present"] is True
     assert {r.prefix: r.objects for r in res["summary"].collect()} == {"agents": 1, "call_logs": 1}
+
+
+def test_json_lines_files(spark, tmp, monkeypatch):
+    lines = write(f"{tmp}/social_lines.json", '{"a": 1, "n": {"x": 1}}\n{"a": 2}\n\n{"a": 3}\n')
+    pretty = write(f"{tmp}/pretty.json", '{\n  "r1": {"a": 4}\n}\n')
+    one = write(f"{tmp}/one.json", '{"r9": {"a": 5}}')
+    got = sorted(r.a for r in jsonsrc.read_json_files(spark, [lines, pretty, one]).collect())
+    assert got == ["1", "2", "3", "4", "5"]
+
+    def boom(*args, **kwargs):
+        raise RuntimeError("no Python-side access")
+
+    monkeypatch.setattr(files, "sniff_files", boom)  # the Spark-side sniff agrees
+    assert sorted(r.a for r in jsonsrc.read_json_files(spark, [lines, pretty]).collect()) == ["1", "2", "3", "4"]
+
+
+def test_pretty_printed_json_documents(spark, tmp):  # multi-line object and array documents
+    obj = write(f"{tmp}/obj.json", '{\n  "r1": {\n    "a": 1\n  },\n  "r2": {"a": 2}\n}\n')
+    arr = write(f"{tmp}/arr.json", '[\n  {"a": 3},\n  {\n    "a": 4\n  }\n]\n')
+    cols = write(f"{tmp}/cols.json", '{\n  "a": {"0": 5,\n        "1": 6}\n}\n')
+    assert sorted(r.a for r in jsonsrc.read_json_files(spark, [obj, arr]).collect()) == ["1", "2", "3", "4"]
+    assert sorted(r.a for r in jsonsrc.read_json_files(spark, [cols], object_orient="columns").collect()) == ["5", "6"]

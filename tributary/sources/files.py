@@ -180,7 +180,7 @@ def verify_landing(spark: SparkSession, root: str, prefixes=LANDING_PREFIXES, sa
 # distributed sniffing of file heads
 # ---------------------------------------------------------------------------
 
-SNIFF_SCHEMA = "path string, size long, first_line string, first_char string"
+SNIFF_SCHEMA = "path string, size long, first_line string, first_char string, json_lines boolean"
 
 
 def _make_sniffer(limit: int):
@@ -215,11 +215,24 @@ def _make_sniffer(limit: int):
                 if not chunk:
                     break
                 out += chunk
-                if b"\n" in chunk and out.strip():
+                if out.strip() and out.count(b"\n") >= 2:
                     break
                 step = min(step * 2, 1 << 20)
         return out
 
+    def looks_like_json_lines(text: str) -> bool:
+        """First line is a whole JSON object and another line follows."""
+        import json
+
+        lines = [ln for ln in text.splitlines() if ln.strip()]
+        if len(lines) < 2 or not lines[0].lstrip().startswith("{"):
+            return False
+        try:
+            json.loads(lines[0])
+            return True
+        except ValueError:
+            return False
+
     def sniff(batches):
         import pandas as pd
 
@@ -227,11 +240,12 @@ def _make_sniffer(limit: int):
             rows = []
             for p in pdf["path"]:
                 head = open_head(p)
+                # a second line helps tell JSON Lines from one JSON document
                 text = head.decode("utf-8-sig", errors="replace")
                 line = text.splitlines()[0] if text else None
                 stripped = text.lstrip()
-                rows.append((p, len(head), line, stripped[:1] if stripped else None))
-            yield pd.DataFrame(rows, columns=["path", "size", "first_line", "first_char"])
+                rows.append((p, len(head), line, stripped[:1] if stripped else None, looks_like_json_lines(text)))
+            yield pd.DataFrame(rows, columns=["path", "size", "first_line", "first_char", "json_lines"])
 
     return sniff
 
@@ -254,12 +268,21 @@ def sniff_heads(spark: SparkSession, paths: list[str], head_bytes: int = 1 << 20
                                             str(exc).splitlines()[0][:200])
 
         def head(p: str) -> dict:
-            lines = spark.read.text(p).where(F.length(F.trim("value")) > 0).limit(1).collect()
-            first = lines[0]["value"] if lines else None
+            import json
+
+            nonblank = [r["value"] for r in spark.read.text(p).where(F.length(F.trim("value")) > 0).limit(2).collect()]
+            first = nonblank[0] if nonblank else None
             allrows = spark.read.text(p).limit(1).collect()
             line = allrows[0]["value"] if allrows else None
+            lines = False
+            if len(nonblank) == 2 and first.lstrip().startswith("{"):
+                try:
+                    json.loads(first)
+                    lines = True
+                except ValueError:
+                    lines = False
             return {"path": p, "size": None, "first_line": line,
-                    "first_char": first.lstrip()[:1] if first else None}
+                    "first_char": first.lstrip()[:1] if first else None, "json_lines": lines}
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
             return list(pool.map(head, paths))

@@ -12,6 +12,8 @@ first non-blank character (sniffed in parallel, see ``files.sniff_files``):
   ``{"col": {"row": value}}`` (the layout dataframe libraries write by
   default), pivoted back to rows.
 * scalar — one row with the value in column ``value``.
+* JSON Lines (a whole object on the first line, more lines after) — one
+  record per line, read by Spark's line-mode JSON reader (splittable).
 
 Values land as text so shapes and files union without type clashes
 (fact F2).  A JSON document is not splittable: each file is parsed by one
@@ -40,7 +42,7 @@ log = logging.getLogger(__name__)
 def _documents(spark: SparkSession, files: list[str]) -> DataFrame:
     """One row per file: ``_file``, ``doc`` (variant)."""
     return (
-        spark.read.option("wholetext", "true").text(files)
+        spark.read.text(files, wholetext=True)  # text()'s own argument, not an option
         .select(F.col("_metadata.file_path").alias("_file"), F.parse_json("value").alias("doc"))
     )
 
@@ -108,7 +110,8 @@ def read_json_files(
         raise FileNotFoundError("no JSON files given")
     sniffed = sniff_heads(spark, paths)  # one small row per file
     arrays = sorted(r["path"] for r in sniffed if r["first_char"] == "[")
-    objects = sorted(r["path"] for r in sniffed if r["first_char"] == "{")
+    lines = sorted(r["path"] for r in sniffed if r["first_char"] == "{" and r.get("json_lines"))
+    objects = sorted(r["path"] for r in sniffed if r["first_char"] == "{" and not r.get("json_lines"))
     scalars = sorted(r["path"] for r in sniffed if r["first_char"] not in (None, "[", "{"))
     empties = [r["path"] for r in sniffed if r["first_char"] is None]
     for p in empties:
@@ -119,6 +122,11 @@ def read_json_files(
             spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(arrays)
             .withColumn("_file", F.col("_metadata.file_path"))
         )
+    if lines:  # JSON Lines: one record per line, read splittably
+        frames.append(
+            spark.read.option("primitivesAsString", "true").json(lines)
+            .withColumn("_file", F.col("_metadata.file_path"))
+        )
     if objects:
         if object_orient == "index":
             frames.append(_records_from_objects(spark, objects, flatten_nested, record_schema))
