@@ -9,7 +9,8 @@ earlier ones (a dynamic overwrite per micro-batch would erase them).
 
 One header shape per stream (fact F1): the schema names come from the first
 file's header (or are passed in), and every file of the stream must have
-them in that order.  Run with ``trigger(availableNow=True)`` for scheduled
+them in that order — checked before each start by sniffing the headers in
+parallel (``check_one_header_shape``); a folder mixing shapes is refused.  Run with ``trigger(availableNow=True)`` for scheduled
 catch-up, or a processing-time trigger for continuous landing.
 """
 
