@@ -611,3 +611,24 @@ def q_customers_extract(spark, sf):
     df = extract_customers(spark, f"{base}/bucket", key="customers_export", as_of=AS_OF_STAMP)
     return df.select(*[F.col(v.lower().replace(" ", "_")).alias(k) for k, v in _CUSTOMER_HEADERS.items()],
                      "_extraction_timestamp", "_source_system", "_row_count")
+
+
+@register("social_extract", """
+select cast(conv_id as varchar) || '-' || cast(turn as varchar) as complaint_id, cast(conv_id as varchar) as customer_id,
+       role as complaint_catego_ry, null::varchar as agent_id, 'Pending' as resolutionstatus,
+       null::varchar as request_date, null::varchar as resolution_date, 'chat' as media_channel,
+       null::varchar as mediacomplaintgenerationdate, timestamp '2025-12-01 06:30:00' as _extraction_timestamp,
+       's3_social_media' as _source_system, count(*) over ()::bigint as _row_count
+from conversations where role = 'user'
+""")
+def q_social_extract(spark, sf):
+    """S8 (+S4/S5/P1/P8): social-media JSON Lines files found by path,
+    read line by line, light-cleaned and stamped."""
+    from pyspark.sql import types as T
+    from tributary.sources.jsonsrc import extract_social_media
+    base = scratch_path(spark, "s8")
+    standins.social_media(spark, sf).write.mode("overwrite").json(f"{base}/bucket/social_media")
+    df = extract_social_media(spark, f"{base}/bucket", prefix="social_media", as_of=AS_OF_STAMP)
+    meta = [T.StructField("_extraction_timestamp", T.TimestampNTZType()),
+            T.StructField("_source_system", T.StringType()), T.StructField("_row_count", T.LongType())]
+    return project_to_schema(df, T.StructType(SOCIAL_MEDIA.fields + meta))
