@@ -73,3 +73,55 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     marked = near_duplicates(table(spark, sf_dir, "documents"), k=4, distance=4)
     return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op10_compression_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import held_out, identify, learn_dictionaries
+
+    docs = table(spark, sf_dir, "documents")
+    told = identify(docs, learn_dictionaries(docs.where(~held_out("doc_id"))))
+    return told.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op2_prefix_target_chat")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_prefix import prefix_target_examples, read_back
+
+    tricky = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return read_back(prefix_target_examples(turns)).withColumnRenamed("conv", "conv_id")
+
+
+# Host suffix and path prefix of the four rules; the longest that fits decides.
+OP3_SQL = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)', 2, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(.*?)://[^/?#]*([^?#]*)', 2, 's'), '') AS path
+  FROM pages),
+rules(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+judged AS (
+  SELECT p.page_id, p.host, p.path, (
+    SELECT max(struct_pack(l := length(r.rhost || r.rpath), rule := r.rhost || r.rpath, verdict := r.verdict)) FROM rules r
+    WHERE (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost)) AND starts_with(p.path, r.rpath)) AS b
+  FROM parts p)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM judged
+"""
+
+
+@query("op3_url_rules", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_rules import judge_urls, rule_table
+
+    rules = rule_table(spark, [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")])
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op1_one_bit_neighbours")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann_onebit import nearest
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
