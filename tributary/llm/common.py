@@ -12,6 +12,7 @@ import tributary
 from tributary.session import scratch_path
 
 _shipped: set[str] = set()
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -41,11 +42,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 
     Used where a result feeds several jobs: the work before it runs once, and
-    an executor lost later costs only a re-read.
+    an executor lost later costs only a re-read.  Shuffle files of the finished
+    job are let go at once, so a chain of stages needs the disk of its largest.
     """
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

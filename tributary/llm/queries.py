@@ -125,3 +125,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
