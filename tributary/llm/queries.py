@@ -133,3 +133,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_iblt_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .iblt import versions
+
+    return versions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
