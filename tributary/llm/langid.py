@@ -24,7 +24,8 @@ SAMPLE_ROWS = 400              # labelled rows a language's dictionary is taken
 ROW_CHARS = 512                # code points of one sampled row in a dictionary
 MAX_LANGUAGES = 1000           # more labels than this raise: the sample goes through the driver
 BLOCK_BYTES = 4096             # a text is encoded in blocks of about this size
-LEVEL = 6
+LEVEL = 6                      # zstandard level
+SHORT_BYTES, SHORT_LEVEL = 512, 12   # short texts are searched harder, so that fewer sizes tie
 NARROW = 0.0005                # smallest relative margin that is accepted
 
 
@@ -65,23 +66,26 @@ def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 @lru_cache(maxsize=4)
 def _compressors(dictionaries: tuple[tuple[str, bytes], ...], level: int):
-    out = []
-    for lang, content in dictionaries:
+    """``(language, for texts, for short texts)`` per language, made once per worker."""
+    def of(content, at):
         d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=level)
-        out.append((lang, zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)))
-    return out
+        d.precompute_compress(level=at)
+        return zstandard.ZstdCompressor(level=at, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    return [(lang, of(content, level), of(content, SHORT_LEVEL)) for lang, content in dictionaries]
 
 
 def encoded_sizes(text: str, compressors) -> np.ndarray:
     """Bytes of the whole text (lower-cased) under each dictionary, in blocks of near equal size."""
     raw = text.lower().encode("utf-8", "replace")
+    if len(raw) <= SHORT_BYTES:
+        return np.array([len(short.compress(raw)) for _, _, short in compressors], np.int64)
     n = max(1, -(-len(raw) // BLOCK_BYTES))
     step = -(-len(raw) // n) or 1
     sizes = np.zeros(len(compressors), np.int64)
     for at in range(0, len(raw), step):
         block = raw[at:at + step]
-        sizes += [len(c.compress(block)) for _, c in compressors]
+        sizes += [len(c.compress(block)) for _, c, _ in compressors]
     return sizes
 
 
@@ -102,7 +106,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
 
     def run(batches):
         compressors = _compressors(content, level)
-        names = [lang for lang, _ in compressors]
+        names = [lang for lang, _, _ in compressors]
         for b in batches:
             langs, scores, rejected = [], [], []
             for t in b.column(1):

@@ -140,3 +140,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .iblt import versions
 
     return versions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
