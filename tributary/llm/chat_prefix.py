@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 HEAD, TAIL = "### ", "</turn>"
 ESCAPE = re.compile(r"\\|#|(?<=<)/(?=turn>)")
 ESCAPED = re.compile(r"\\(.)", re.S)
-TURN = re.compile(r"### ((?:\\.|[^\\\n])*): ((?:\\.|[^\\<]|<(?!/turn>))*)</turn>\n", re.S)
+TURN = re.compile(r"### ((?:\\.|[^\\\n:])*): ((?:\\.|[^\\<]|<(?!/turn>))*)</turn>\n", re.S)
 OUT_CHARS = 4 << 20     # characters of formatted text in one output batch
 
 
