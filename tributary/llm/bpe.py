@@ -16,7 +16,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,14 @@ PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 FRAGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# White space other than single blanks and single line breaks between visible characters.
+ODD_PAIRS = ("  ", " \n", "\n ", "\n\n")
+ODD_ASCII = "\t\x0b\x0c\r"
+ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
-CACHE_ENTRIES = 1_000_000     # fragments a worker remembers; the cache starts anew beyond it
-CACHED_LENGTH = 64            # longer fragments are encoded each time
+CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
+CACHED_LENGTH = 64            # longer fragments are cut further and encoded each time
+NO_SPECIAL: set[str] = set()
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -46,16 +51,20 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Fragments(dict):
-    """Fragment -> its ids as little-endian unsigned 32-bit words."""
+    """Fragment -> its ids as little-endian unsigned 32-bit words; ``lead`` stands before every key."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, lead: str = ""):
         super().__init__()
-        self.encode = encode
+        self.encode, self.lead = encode, lead
+        self.before: dict[str, bytes] = {}     # the generation before: what is met again moves up
 
     def __missing__(self, fragment):
-        ids = self.encode(fragment)
+        ids = self.before.get(fragment)
+        if ids is None:
+            ids = self.encode(self.lead + fragment)
         if len(fragment) <= CACHED_LENGTH:
             if len(self) >= CACHE_ENTRIES:
+                self.before = dict(self)
                 self.clear()
             self[fragment] = ids
         return ids
@@ -82,14 +91,26 @@ class ByteBpe:
             self.bytes_of[i] = token.encode()
         self.decimal = [str(i) for i in range(size)]
         self.inside = {pair for token in self.id_of for pair in zip(token, token[1:])}
-        self.pieces: dict[bytes, list[int]] = {}
         self.fragments = Fragments(self.encode_fragment)
+        self.blank_led = Fragments(self.encode_fragment, " ")
+        self.break_led = Fragments(self.encode_fragment, "\n")
+
+    @cached_property
+    def core(self):
+        """tiktoken's pieces and merge loop for short fragments, where the file allows it: one
+        merge a token, in the order of the ids.  (None: :meth:`merge` does them all.)"""
+        made = [self.id_of[a + b] for a, b in self.rank]
+        if made != sorted(set(made)) or len(made) + 256 != len(self.id_of) or any(bytes([x]) not in self.id_of for x in range(256)):
+            return None
+        import tiktoken
+
+        return tiktoken.Encoding("fragments", pat_str=PIECES.pattern, mergeable_ranks=self.id_of, special_tokens={})._core_bpe
 
     def forced_fragments(self, piece: bytes) -> Iterator[bytes]:
         """``piece`` cut between all byte pairs that no token holds."""
-        start = 0
+        inside, start = self.inside, 0
         for i, pair in enumerate(zip(piece, piece[1:]), 1):
-            if pair not in self.inside:
+            if pair not in inside:
                 yield piece[start:i]
                 start = i
         yield piece[start:]
@@ -137,29 +158,40 @@ class ByteBpe:
         return [self.id_of[p] for p in parts if p]
 
     def encode_fragment(self, text: str) -> bytes:
+        if self.core and len(text) <= CACHED_LENGTH:
+            return bytes(self.core.encode_to_tiktoken_buffer(text, NO_SPECIAL))
         ids: list[int] = []
         for piece in PIECES.findall(text):
-            for fragment in self.forced_fragments(piece.encode("utf-8", "surrogatepass")):
-                known = self.pieces.get(fragment)
-                if known is None:
-                    known = self.merge(fragment)
-                    if len(fragment) <= CACHED_LENGTH:
-                        if len(self.pieces) >= CACHE_ENTRIES:
-                            self.pieces.clear()
-                        self.pieces[fragment] = known
-                ids += known
+            for fragment in self.forced_fragments(piece.encode()):
+                ids += self.core.encode_single_piece(fragment) if self.core and len(fragment) <= 200 else self.merge(fragment)
         return np.asarray(ids, "<u4").tobytes()
 
+    def _encode_plain(self, text: str) -> bytes:
+        """A text without special tokens.  Where white space only ever stands alone, every blank
+        and line break opens a fragment; other texts are cut by pattern before runs of white space."""
+        if (any(p in text for p in ODD_PAIRS) or any(c in text for c in ODD_ASCII)
+                or not text.isascii() and ODD_WIDE.search(text)):
+            return b"".join(map(self.fragments.__getitem__, FRAGMENT.findall(text)))
+        out: list[bytes] = []
+        opening = self.fragments
+        for line in text.split("\n"):
+            words = line.split(" ")
+            if words[0] or opening is not self.fragments:
+                out.append(opening[words[0]])
+            out += map(self.blank_led.__getitem__, words[1:])
+            opening = self.break_led
+        return b"".join(out)
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, packed as little-endian unsigned 32-bit words."""
         if self.special_at is None or not any(s in text for s in self.special):
-            return b"".join(map(self.fragments.__getitem__, FRAGMENT.findall(text)))
+            return self._encode_plain(text)
         out = []
         for part in self.special_at.split(text):
             if part in self.special:
                 out.append(np.asarray([self.special[part]], "<u4").tobytes())
             else:
-                out += map(self.fragments.__getitem__, FRAGMENT.findall(part))
+                out.append(self._encode_plain(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -199,9 +231,11 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         bpe = byte_bpe(_vocabulary(vocabulary))
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([bpe.encode(t.as_py() or "") for t in b.column(1)], pa.binary())],
-                names=[id_col, "ids"])
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([bpe.encode(t.as_py() or "") for t in part.column(1)], pa.binary())],
+                    names=[id_col, "ids"])
 
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, ids binary")
 
@@ -214,8 +248,8 @@ def decode_ids(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", voca
     def run(batches):
         bpe = byte_bpe(_vocabulary(vocabulary))
         for b in batches:
-            for at in range(0, b.num_rows, 500):      # ids written out are several times the text
-                part = b.slice(at, 500)
+            for at in range(0, b.num_rows, 200):      # ids written out are several times the text
+                part = b.slice(at, 200)
                 ids = [x.as_py() or b"" for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
