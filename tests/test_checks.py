@@ -123,3 +123,13 @@ def test_consistency_null_keys_meet_and_no_extra_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 2  # the join reuses the aggregates' partitioning
     got = {r.key: (r.n_a, r.n_b, r.status) for r in out.collect()}
     assert got == {None: (1, 2, "both"), 1: (1, None, "only_a")}
+
+
+def test_empty_table(spark):  # D6, D7, profile
+    none = spark.createDataFrame([], "a int, b string")
+    c = D.completeness(none, ["a"]).first()
+    assert (c.non_null, c.total, c.completeness) == (0, 0, None)
+    u = D.uniqueness(none, ["a", "b"]).first()
+    assert (u.rows, u.distinct_keys, u.uniqueness) == (0, 0, None)
+    rows = {(r.metric, r.subject): (r.value, r.passed) for r in D.profile(none, min_rows=1, completeness_of=["a"], rules={"r": "a > 0"}).collect()}
+    assert rows == {("row_count", "*"): (0.0, False), ("completeness", "a"): (None, True), ("rule_violations", "r"): (0.0, True)}

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import PythonException
 
 from conftest import write
 from tributary.operators.columns import HeaderCollisionError, clean_headers
@@ -149,11 +150,11 @@ def test_sniff_fallback_through_spark(spark, tmp, monkeypatch):
     j = write(f"{tmp}/j.json", '\n  [{"a": 1}]')
 
     def boom(*args, **kwargs):
-        raise RuntimeError("store not reachable from Python")
+        raise PythonException("ArrowInvalid: Unrecognized filesystem type in URI: viewfs://x")
 
     monkeypatch.setattr(files, "sniff_files", boom)
     heads = {r["path"]: r for r in files.sniff_heads(spark, [a, j])}
-    assert heads[a]["first_line"] == "a,b" and heads[j]["first_char"] == "["
+    assert heads[f"file:{a}"]["first_line"] == "a,b" and heads[f"file:{j}"]["first_char"] == "["
 
 
 def test_suffix_case_rules(spark, tmp):  # S5-S9 case-sensitive suffix, S10 not
@@ -194,7 +195,7 @@ def test_json_lines_files(spark, tmp, monkeypatch):
     assert got == ["1", "2", "3", "4", "5"]
 
     def boom(*args, **kwargs):
-        raise RuntimeError("no Python-side access")
+        raise PythonException("ArrowInvalid: Unrecognized filesystem type in URI: viewfs://x")
 
     monkeypatch.setattr(files, "sniff_files", boom)  # the Spark-side sniff agrees
     assert sorted(r.a for r in jsonsrc.read_json_files(spark, [lines, pretty]).collect()) == ["1", "2", "3", "4"]
@@ -206,3 +207,58 @@ def test_pretty_printed_json_documents(spark, tmp):  # multi-line object and arr
     cols = write(f"{tmp}/cols.json", '{\n  "a": {"0": 5,\n        "1": 6}\n}\n')
     assert sorted(r.a for r in jsonsrc.read_json_files(spark, [obj, arr]).collect()) == ["1", "2", "3", "4"]
     assert sorted(r.a for r in jsonsrc.read_json_files(spark, [cols], object_orient="columns").collect()) == ["5", "6"]
+
+
+def test_blank_lines_before_the_header(spark, tmp):
+    a = write(f"{tmp}/a.csv", "\n  \n\r\na,b\n1,2\n3,4\n")
+    b = write(f"{tmp}/b.csv", "a,b\n5,6\n")
+    assert sorted(tuple(r) for r in csvsrc.read_csv_files(spark, [a, b]).collect()) == [("1", "2"), ("3", "4"), ("5", "6")]
+
+
+def test_header_beyond_a_megabyte_of_blanks(spark, tmp):
+    a = write(f"{tmp}/a.csv", "\n" * (3 << 19) + "a,b\n1,2\n")
+    j = write(f"{tmp}/j.json", " " * (3 << 19) + '[{"a": 1}]')
+    heads = {os.path.basename(r["path"]): r for r in files.sniff_heads(spark, [a, j])}
+    assert heads["a.csv"]["first_line"] == "a,b" and heads["j.json"]["first_char"] == "["
+
+
+def test_header_with_line_break_and_separators(spark, tmp):
+    a = write(f"{tmp}/a.csv", '"x\ny",b\u2028c\n1,2\n')
+    assert csvsrc.read_csv_files(spark, [a], multi_line=True).columns == ["x\ny", "b\u2028c"]
+
+
+def test_extra_cells_fail_with_the_file(spark, tmp):
+    a = write(f"{tmp}/odd.csv", "a,b\n1,2,3\n")
+    with pytest.raises(Exception, match="more cells than the header.*odd.csv"):
+        csvsrc.read_csv_files(spark, [a]).collect()
+
+
+def test_short_rows_and_missing_words(spark, tmp):
+    a = write(f"{tmp}/a.csv", 'a,b\n1\nNA,null\nN/A,"nan"\nnan-x,None!\n')
+    got = [tuple(r) for r in csvsrc.read_csv_files(spark, [a]).collect()]
+    assert got == [("1", None), (None, None), (None, None), ("nan-x", "None!")]
+    kept = [tuple(r) for r in csvsrc.read_csv_files(spark, [a], null_values=()).collect()]
+    assert ("NA", "null") in kept
+
+
+def test_one_record_json_lines(spark, tmp):
+    one = write(f"{tmp}/one.json", '{"complaint_id":"1","customer_id":"9"}\n')
+    two = write(f"{tmp}/two.json", '{"complaint_id":"2","customer_id":"9"}\n{"complaint_id":"3","customer_id":"8"}')
+    df = jsonsrc.read_json_files(spark, [one, two])
+    assert sorted(df.columns) == ["complaint_id", "customer_id"]
+    assert sorted(r.complaint_id for r in df.collect()) == ["1", "2", "3"]
+
+
+def test_json_shapes(spark, tmp):
+    cases = {"lines": ('{"a": "}"}\n{"a": 2}', True), "lone": ('{"a": {"b": 1}, "c": 2}', True), "records": ('{"r1": {"a": 1}, "r2": {"a": "x, :1"}}', False),
+             "pretty": ('{\n "a": 1\n}', False), "empty": ("{}", False), "escaped": ('{"a\\"}": {"x": 1}}\n\n', False), "nested": ('{"r": {"x": [1, {"y": 2}]}}\n{"r": {}}', True)}
+    paths = {k: write(f"{tmp}/{k}.json", text) for k, (text, _) in cases.items()}
+    got = {os.path.basename(r["path"])[:-5]: r["json_lines"] for r in files.sniff_heads(spark, list(paths.values()))}
+    assert got == {k: want for k, (_, want) in cases.items()}
+
+
+def test_files_of_another_day_are_not_opened(spark, tmp):  # K5
+    write(f"{tmp}/in/calls_2025-11-20.csv", "a,b\n1,2\n")
+    write(f"{tmp}/in/calls_2025-11-21.csv", "a,b\n1,2,3,broken\n")
+    res = ingest(spark, [f"{tmp}/in/calls_2025-11-20.csv", f"{tmp}/in/calls_2025-11-21.csv"], f"{tmp}/lake", "calls", incremental=True, execution_date="2025-11-20")
+    assert res["rows"] == 1

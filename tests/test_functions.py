@@ -69,3 +69,9 @@ def test_constant_and_text_helpers(spark):  # P10, X5
     out = with_constant(df, "form_date", "2025-11-20").select("form_date", text.to_text("a").alias("t"),
                                                               text.to_text("b").alias("u")).first()
     assert tuple(out) == ("2025-11-20", "1", None)
+
+
+def test_strip_takes_unicode_blanks(spark):  # X2
+    from tributary.functions.text import strip_ws
+    df = spark.createDataFrame([("\u00a0\u3000 a\u00a0b \u2028\x1f",)], "s string")
+    assert df.select(strip_ws("s")).first()[0] == "a\u00a0b"

@@ -35,7 +35,7 @@ def test_fact_keeps_unknown_customers(spark):  # M6, J2
     stg = models.stg_call_logs(calls)
     custs = spark.createDataFrame([("u2", "n")], "customer_id string, name string")
     agents = spark.createDataFrame([("1", "a")], "id string, name string")
-    f = models.fct_complaints(stg, models.dim_customers(custs), models.dim_agents(agents)).collect()[0]
+    f = models.fct_complaints(stg, models.dim_customers(custs, ["name"]), models.dim_agents(agents, ["name"])).collect()[0]
     assert f.customer_name is None and f.resolution_seconds == 60 and f.source_system == "call_logs"
 
 
@@ -67,3 +67,24 @@ def test_bucketed_fact_and_dimension_join_without_shuffle(spark):  # K17 option
         assert j.count() == fct.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_latest_by_text_dates(spark):  # M5
+    rows = [("1", "31/12/2023", "old"), ("1", "02/01/2024", "new"), ("2", "2024-03-01", "iso"), ("2", "05/02/2024", "earlier"), ("3", "soon", "b"), ("3", "soon", "a")]
+    df = spark.createDataFrame(rows, "customer_id string, signup_date string, name string").repartition(3)
+    got = {r.customer_id: r.name for r in models.dim_customers(df).collect()}
+    assert got == {"1": "new", "2": "iso", "3": "b"}     # a tie is broken by the rest of the row
+
+
+def test_latest_needs_an_order(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        models.dim_customers(spark.createDataFrame([("1", "n")], "customer_id string, name string"))
+
+
+def test_bad_times_do_not_stop_staging(spark):  # M3
+    raw = spark.createDataFrame([("c1", "u", "a", "x", "Resolved", "10:30", "31/12/2023")],
+                                "call_id string, customer_id string, agent_id string, complaint_catego_ry string, "
+                                "resolutionstatus string, call_start_time string, call_end_time string")
+    r = models.stg_call_logs(raw).first()
+    assert r.opened_at is None and r.closed_at == dt.datetime(2023, 12, 31)

@@ -117,7 +117,8 @@ def test_incremental_watermarks(spark, tmp):  # S17
     assert last == "2025-11-22"
     df = spark.createDataFrame([(dt.date(2025, 11, 22),), (dt.date(2025, 11, 23),)], "d date")
     assert extract_incremental(df, "d", last).count() == 1  # strict >
-    assert extract_incremental(df, "d", last, inclusive=True).count() == 2
+    held = df.limit(0)
+    assert extract_incremental(df, "d", last, inclusive=True, dedupe_keys=["d"], loaded=held).count() == 2
     assert high_water_mark(df, "d") == dt.date(2025, 11, 23)
 
 
@@ -152,3 +153,28 @@ def test_undated_raw_layer_load_replaces_table(spark, tmp):  # K14 without a dat
     wh.load_raw_layer(tmp, "calls3")
     wh.load_raw_layer(tmp, "calls3")  # re-run: replaced, not doubled
     assert wh.source("raw", "raw_calls3").count() == 5
+
+
+def test_inclusive_read_leaves_out_what_the_target_holds(spark):  # S17
+    import pytest
+    from tributary.sources.incremental import extract_incremental
+    src = spark.createDataFrame([(1, 10), (2, 20), (3, 20), (4, 30), (4, 30)], "id int, d int")
+    held = spark.createDataFrame([(1, 10), (2, 20), (4, 10)], "id int, d int")
+    got = extract_incremental(src, "d", 20, inclusive=True, dedupe_keys=["id"], loaded=held).collect()
+    assert sorted(r.id for r in got) == [3, 4]
+    with pytest.raises(ValueError):
+        extract_incremental(src, "d", 20, inclusive=True)
+
+
+def test_undated_reload_drops_old_days(spark, tmp):  # K14
+    from tributary.sinks.lake import write_to_raw_layer
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    df = spark.createDataFrame([("1",)], "id string")
+    wh = Warehouse(spark, f"{tmp}/wh", namespace="reload_")
+    wh.setup(("raw",))
+    write_to_raw_layer(df, f"{tmp}/a", "agents", "2025-12-01")
+    write_to_raw_layer(df, f"{tmp}/b", "agents", "2025-12-02")
+    wh.load_raw_layer(f"{tmp}/a", "agents")
+    wh.load_raw_layer(f"{tmp}/b", "agents")
+    assert [r.day for r in wh.source("raw", "raw_agents").collect()] == [2]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before

@@ -48,3 +48,36 @@ def test_stream_refuses_mixed_headers(spark, tmp):  # F1 in a stream
     write(f"{tmp}/in/calls_2025-11-21.csv", "b,a\n2,1\n")
     with pytest.raises(HeaderShapeError):
         land_csv_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01")
+
+
+def test_later_file_with_another_header_fails(spark, tmp):  # F1 after the start
+    import pytest
+    from tributary.streaming.landing import land_csv_stream
+    write(f"{tmp}/in/calls_2025-11-20.csv", "a,b\n1,2\n")
+    target, ckpt = f"{tmp}/lake", f"{tmp}/ckpt"
+    land_csv_stream(spark, f"{tmp}/in", target, ckpt, as_of="2025-12-01")
+    write(f"{tmp}/in/calls_2025-11-21.csv", "b,a\n2,1\n")
+    with pytest.raises(Exception):
+        land_csv_stream(spark, f"{tmp}/in", target, ckpt, as_of="2025-12-01", check_headers=False,
+                        schema=spark.createDataFrame([], "a string, b string").schema)
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_json_stream_takes_all_columns_and_lines(spark, tmp):
+    from tributary.streaming.landing import land_json_stream
+    write(f"{tmp}/in/s_2025-11-20.json", '[{"a": 1}]')
+    write(f"{tmp}/in/s_2025-11-21.json", '[{"a": 2, "b": 3}]')
+    land_json_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01")
+    assert sorted((r.a, r.b) for r in spark.read.parquet(f"{tmp}/lake").collect()) == [("1", None), ("2", "3")]
+    write(f"{tmp}/lines/s_2025-11-20.json", '{"a": 1}\n{"a": 2}\n')
+    write(f"{tmp}/lines/s_2025-11-21.json", '{"a": 3}')
+    land_json_stream(spark, f"{tmp}/lines", f"{tmp}/lake2", f"{tmp}/ckpt2", as_of="2025-12-01")
+    assert sorted(r.a for r in spark.read.parquet(f"{tmp}/lake2").collect()) == ["1", "2", "3"]
+
+
+def test_json_stream_refuses_other_shapes(spark, tmp):
+    import pytest
+    from tributary.streaming.landing import JsonShapeError, land_json_stream
+    write(f"{tmp}/in/s_2025-11-20.json", '{"r1": {"a": 1}}')
+    with pytest.raises(JsonShapeError):
+        land_json_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01")

@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the whitespace characters stripped from both ends (the set
-# Java's ``\s`` matches).  ``trim`` alone removes only spaces; landing data is
-# cleaned of tabs and newlines too.
-WHITESPACE = " \t\n\x0b\f\r"
+# Fixed value: the characters stripped from both ends, ASCII and Unicode white
+# space (no-break, ideographic and other wide spaces) and the separators
+# U+001C to U+001F.  ``trim`` alone removes only spaces.
+WHITESPACE = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+              "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def _col(c: Column | str) -> Column:

@@ -104,7 +104,8 @@ def type_conformance(df: DataFrame, expected: T.StructType | dict) -> DataFrame:
 
 def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
     """Share of non-NULL values per column, one pass.
-    Output: ``column, non_null, total, completeness``."""
+    Output: ``column, non_null, total, completeness``; an empty table has
+    counts of 0 and no share (NULL)."""
     aggs = [F.count(F.lit(1)).cast("long").alias("_total")]
     aggs += [F.sum(1 - null_indicator(df, c)).cast("long").alias(f"_c{i}") for i, c in enumerate(columns)]
     one = df.agg(*aggs)
@@ -113,7 +114,7 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
             F.lit(c).alias("column"),
             F.coalesce(F.col(f"_c{i}"), F.lit(0)).cast("long").alias("non_null"),
             F.col("_total").alias("total"),
-            (F.coalesce(F.col(f"_c{i}"), F.lit(0)) / F.col("_total")).cast("double").alias("completeness"),
+            F.try_divide(F.coalesce(F.col(f"_c{i}"), F.lit(0)), F.col("_total")).cast("double").alias("completeness"),
         )
         for i, c in enumerate(columns)
     ]
@@ -125,7 +126,8 @@ def uniqueness(df: DataFrame, columns: list[str], approximate: bool = False, rsd
 
     Exact by default: a group-by on the key with map-side partial
     aggregation, then a global sum.  ``approximate`` swaps in HyperLogLog++
-    (no shuffle of keys at all) for very wide keys.
+    (no shuffle of keys at all) for very wide keys.  An empty table has
+    counts of 0 and no share (``uniqueness`` NULL).
     """
     keys = [_q(c) for c in columns]
     if approximate:
@@ -144,7 +146,7 @@ def uniqueness(df: DataFrame, columns: list[str], approximate: bool = False, rsd
     return one.select(
         "rows", "distinct_keys",
         (F.col("rows") - F.col("distinct_keys")).alias("duplicate_rows"),
-        (F.col("distinct_keys") / F.col("rows")).cast("double").alias("uniqueness"),
+        F.try_divide(F.col("distinct_keys"), F.col("rows")).cast("double").alias("uniqueness"),
     )
 
 
@@ -230,7 +232,8 @@ def profile(
 
     * ``row_count`` / ``*``: rows; passed when ``>= min_rows``.
     * ``null_count`` / column: NULL (or NaN) values; passed when 0.
-    * ``completeness`` / column: non-NULL share; passed when 1.
+    * ``completeness`` / column: non-NULL share (NULL for an empty table,
+      which passes: nothing is missing); passed when 1.
     * ``bad_type_values`` / column: text values that do not cast to the
       expected type; passed when 0 (types already equal count 0).
     * ``rule_violations`` / rule: rows where the rule is FALSE; passed when 0.
@@ -262,7 +265,7 @@ def profile(
         if metric == "row_count":
             value, ok = v.cast("double"), (v >= F.lit(min_rows if min_rows is not None else 0))
         elif metric == "completeness":
-            value = (v / F.col("__rows")).cast("double")
+            value = F.try_divide(v, F.col("__rows")).cast("double")
             ok = v == F.col("__rows")
         else:
             value, ok = v.cast("double"), v == 0

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,9 @@ def backfill(source: DataFrame, date_col: str, start, end, target_path: str, pre
             existing = spark.read.parquet(target_path)
             present = existing.select(
                 F.make_date("year", "month", "day").alias("day")).distinct()
-        except Exception:  # nothing written yet
+        except AnalysisException as exc:  # nothing written yet; any other error must not pass as "all days missing"
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             present = spark.createDataFrame([], "day date")
     todo = [r["day"] for r in missing_days(present, start, end).collect()]
     if not todo:

@@ -95,7 +95,7 @@ def _land_web_forms(spark, src: Sources, lake: str, wh: Warehouse, ds, as_of) ->
                                                    as_of=as_of, balanced=src.web_forms_balanced)
     res = reference.load_web_forms(extracted, lake, execution_date=ds, as_of=as_of)
     wh.load_by_name(spark.read.parquet(layer_path(lake, "web_forms", "raw")), wh.table_name("raw", "web_forms"),
-                    mode="overwrite")
+                    mode="overwrite", whole_table=True)
     return res
 
 

@@ -31,17 +31,19 @@ from tributary.sources.jsonsrc import read_json_files
 log = logging.getLogger(__name__)
 
 
-def read_landing_files(spark: SparkSession, files: list[str], object_orient: str = "columns") -> DataFrame | None:
+def read_landing_files(spark: SparkSession, files: list[str], object_orient: str = "columns",
+                       multi_line: bool = False) -> DataFrame | None:
     """CSV + JSON files -> one text DataFrame with ``_file``; unsupported
     extensions are skipped with a warning (P12).  ``None`` if nothing is
     readable.  JSON objects default to the column-oriented layout, which is
-    how the landing path reads dict-shaped files."""
+    how the landing path reads dict-shaped files; ``multi_line`` allows line
+    breaks in quoted CSV cells."""
     parts = dispatch_by_extension(files)
     for p in parts["skipped"]:
         log.warning("Skipping unsupported file: %s", p)
     frames = []
     if parts["csv"]:
-        frames.append(read_csv_files(spark, parts["csv"], with_file=True))
+        frames.append(read_csv_files(spark, parts["csv"], with_file=True, multi_line=multi_line))
     if parts["json"]:
         frames.append(read_json_files(spark, parts["json"], object_orient=object_orient, with_file=True))
     if not frames:
@@ -60,12 +62,28 @@ def file_date(path_col) -> F.Column:
     return F.coalesce(date_from_file_name(stem), date_from_file_name(folder))
 
 
+def of_day(spark: SparkSession, files: list[str], execution_date) -> list[str]:
+    """The files whose name (or folder) gives that day or none."""
+    import pandas as pd
+
+    named = spark.createDataFrame(pd.DataFrame({"path": list(files)}), "path string").select("path", file_date(F.col("path")).alias("d"))
+    return [r["path"] for r in named.where(F.col("d").isNull() | (F.col("d") == as_date_literal(execution_date))).orderBy("path").collect()]
+
+
 def ingest(
     spark: SparkSession, files: list[str], root: str, dataset: str, incremental: bool = False,
-    execution_date=None, as_of=None, all_files: bool = False, padded: bool = False,
+    execution_date=None, as_of=None, all_files: bool = False, padded: bool = False, multi_line: bool = False,
 ) -> dict:
-    """K4/K5/K6: land ``files`` under ``<root>/<dataset>``."""
-    df = read_landing_files(spark, files)
+    """K4/K5/K6: land ``files`` under ``<root>/<dataset>``.
+
+    With an ``execution_date`` (and not ``all_files``) the files named after
+    another day are left out before any is opened: one day costs one day."""
+    if incremental and execution_date is not None and not all_files:
+        files = of_day(spark, files, execution_date)
+        if not files:
+            log.warning("No files of %s for %s", execution_date, dataset)
+            return {"status": "empty", "path": None, "rows": 0}
+    df = read_landing_files(spark, files, multi_line=multi_line)
     if df is None:
         log.warning("No valid files found for %s", dataset)
         return {"status": "empty", "path": None, "rows": 0}
@@ -75,10 +93,6 @@ def ingest(
     fallback = as_date_literal(as_of or _dt.datetime.now(_dt.timezone.utc).date())
     day = F.coalesce(file_date(F.col("_file")), fallback)
     if execution_date is not None:
-        target = as_date_literal(execution_date)
-        if not all_files:
-            named = file_date(F.col("_file"))
-            df = df.where(named.isNull() | (named == target))
-        day = target
+        day = as_date_literal(execution_date)
     out = df.select("*", *date_parts(day, padded=padded)).drop("_file")
     return write_parquet(out, path, PARTITION_COLS, mode="overwrite_partitions")

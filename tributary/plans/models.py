@@ -23,7 +23,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tributary.functions.casts import safe_cast
 from tributary.functions.text import strip_ws
 from tributary.schemas import COMPLAINT_COLUMNS
 
@@ -57,6 +59,24 @@ def _conform(cols: dict[str, Column]) -> list[Column]:
     return [cols[c].alias(c) for c in COMPLAINT_COLUMNS]
 
 
+# The layouts of day-first and month-name dates in text columns,
+# tried after the ISO layout.
+DATE_LAYOUTS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "dd-MM-yyyy", "d MMM yyyy")
+
+
+def lenient_timestamp(c: Column) -> Column:
+    """A text date or time as TIMESTAMP_NTZ: ISO, then ``DATE_LAYOUTS``; NULL for anything else."""
+    return F.coalesce(safe_cast(c, "timestamp_ntz"),
+                      *(F.try_to_timestamp(strip_ws(c), F.lit(layout)).cast("timestamp_ntz") for layout in DATE_LAYOUTS))
+
+
+def _time(raw: DataFrame, name: str) -> Column:
+    """A time column typed without failing on a bad value."""
+    if isinstance(raw.schema[name].dataType, T.StringType):
+        return lenient_timestamp(_q(name))
+    return _q(name).try_cast("timestamp_ntz")
+
+
 def stg_call_logs(raw: DataFrame) -> DataFrame:
     """M3 for call logs: odd headers renamed, text trimmed, times typed."""
     return raw.select(*_conform({
@@ -66,8 +86,8 @@ def stg_call_logs(raw: DataFrame) -> DataFrame:
         "agent_id": strip_ws(_q("agent_id")),
         "category": strip_ws(_q("complaint_catego_ry")),
         "resolution_status": strip_ws(_q("resolutionstatus")),
-        "opened_at": _q("call_start_time").cast("timestamp_ntz"),
-        "closed_at": _q("call_end_time").cast("timestamp_ntz"),
+        "opened_at": _time(raw, "call_start_time"),
+        "closed_at": _time(raw, "call_end_time"),
         "channel": F.lit("call"),
     }))
 
@@ -82,8 +102,8 @@ def stg_social_media(raw: DataFrame) -> DataFrame:
         "agent_id": strip_ws(_q("agent_id")),
         "category": strip_ws(_q("complaint_catego_ry")),
         "resolution_status": strip_ws(_q("resolutionstatus")),
-        "opened_at": F.try_to_timestamp(_q("request_date")).cast("timestamp_ntz"),
-        "closed_at": F.try_to_timestamp(_q("resolution_date")).cast("timestamp_ntz"),
+        "opened_at": _time(raw, "request_date"),
+        "closed_at": _time(raw, "resolution_date"),
         "channel": strip_ws(_q("media_channel")),
     }))
 
@@ -97,7 +117,7 @@ def stg_web_forms(raw: DataFrame) -> DataFrame:
         "agent_id": strip_ws(_q("agent_id")),
         "category": strip_ws(_q("complaint_type")),
         "resolution_status": strip_ws(_q("resolution_status")),
-        "opened_at": _q("submission_date").cast("timestamp_ntz"),
+        "opened_at": _time(raw, "submission_date"),
         "closed_at": F.lit(None).cast("timestamp_ntz"),
         "channel": F.lit("web"),
     }))
@@ -119,10 +139,17 @@ def int_complaints_unified(*channels: DataFrame) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str | list[str], order_cols: list[str]) -> DataFrame:
     """M5: the row with the greatest ``order_cols`` (compared in order) per
     key — ``row_number() OVER (PARTITION BY key ORDER BY ... DESC) = 1`` —
-    as a ``max_by`` aggregate with map-side partial aggregation."""
+    as a ``max_by`` aggregate with map-side partial aggregation.  Text order
+    columns compare as dates (:func:`lenient_timestamp`; text that is none
+    comes first, then as numbers, then in text order); rows that tie compare by all their
+    columns, so the row chosen does not depend on how the data is split."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[_q(c) for c in order_cols])
+    if not order_cols:
+        raise ValueError("latest_per_key needs the columns that tell which row is later")
+    by = [x for c in order_cols for x in (
+        [lenient_timestamp(_q(c)), safe_cast(_q(c), "double"), _q(c)] if isinstance(df.schema[c].dataType, T.StringType) else [_q(c)])]
+    ordering = F.struct(*by, *[F.to_json(F.struct(*[_q(c) for c in rest], F.lit(1).alias("__one")))])
     picked = df.groupBy(*[_q(k) for k in keys]).agg(
         F.max_by(F.struct(*[_q(c) for c in rest]), ordering).alias("__row")
     )
@@ -131,16 +158,16 @@ def latest_per_key(df: DataFrame, key: str | list[str], order_cols: list[str]) -
 
 def dim_customers(stg_customers: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
     """M5: one row per ``customer_id``; latest by ``order_cols`` (defaults to
-    the extraction stamp when present)."""
+    the extraction stamp, then the signup date, where present; neither: an error)."""
     order = order_cols or [c for c in ("_extraction_timestamp", "signup_date") if c in stg_customers.columns]
-    order = order or ["customer_id"]
     return latest_per_key(stg_customers.where(_q("customer_id").isNotNull()), "customer_id", order)
 
 
 def dim_agents(stg_agents_df: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
-    """M5: one row per ``agent_id``."""
+    """M5: one row per ``agent_id``; latest by ``order_cols`` (default: the extraction
+    stamp, else the years of experience; neither: an error)."""
     df = stg_agents(stg_agents_df)
-    order = order_cols or [c for c in ("_extraction_timestamp",) if c in df.columns] or ["agent_id"]
+    order = order_cols or [c for c in ("_extraction_timestamp", "experience") if c in df.columns][:1]
     return latest_per_key(df.where(_q("agent_id").isNotNull()), "agent_id", order)
 
 

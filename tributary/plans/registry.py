@@ -273,6 +273,23 @@ def q_incremental(spark, sf):
     return extract_incremental(ev, "ts", "2024-01-15 00:00:00")
 
 
+@register("incremental_inclusive", """
+select event_id, ts from events
+where ts > (select max(ts) from events where ts < timestamp '2024-01-15')
+   or (ts = (select max(ts) from events where ts < timestamp '2024-01-15')
+       and event_id not in (select min(event_id) from events where ts = (select max(ts) from events where ts < timestamp '2024-01-15')))
+""")
+def q_incremental_inclusive(spark, sf):
+    """S17 at the boundary: rows stamped with the last value come, but for the
+    one that the target holds already."""
+    ev = table(spark, sf, "events").select("event_id", "ts")
+    before = ev.where(F.col("ts") < F.lit("2024-01-15").cast(ev.schema["ts"].dataType))
+    last = before.agg(F.max("ts").alias("m")).first()["m"]
+    loaded = before.where(F.col("ts") < F.lit(last)).unionByName(
+        before.where(F.col("ts") == F.lit(last)).groupBy("ts").agg(F.min("event_id").alias("event_id")).select("event_id", "ts"))
+    return extract_incremental(ev, "ts", last, inclusive=True, dedupe_keys=["event_id"], loaded=loaded)
+
+
 @register("scan_page", """
 select event_id, user_id from events where event_id > 2500 order by event_id limit 500
 """)
@@ -399,6 +416,20 @@ def q_completeness(spark, sf):
     return checks.completeness(_events_with_null_types(spark, sf), ["event_type", "value", "props"])
 
 
+@register("completeness_empty", """
+select * from (values ('completeness', 0::bigint, null::double), ('uniqueness', 0::bigint, null::double),
+  ('row_count', (select count(*) from lineitem where l_quantity < 0), 0.0::double)) t(metric, n, share)
+""")
+def q_completeness_empty(spark, sf):
+    """D6/D7/D10 on a table that has no rows: counts of 0 and no share."""
+    none = table(spark, sf, "lineitem").where("l_quantity < 0").select("l_orderkey")
+    c = checks.completeness(none, ["l_orderkey"]).select(F.lit("completeness").alias("metric"), F.col("total").alias("n"), F.col("completeness").alias("share"))
+    u = checks.uniqueness(none, ["l_orderkey"]).select(F.lit("uniqueness").alias("metric"), F.col("rows").alias("n"), F.col("uniqueness").alias("share"))
+    p = checks.profile(none, min_rows=0, completeness_of=["l_orderkey"]).where("metric = 'row_count'").select(
+        "metric", F.col("value").cast("long").alias("n"), F.col("value").alias("share"))
+    return c.unionByName(u).unionByName(p)
+
+
 @register("uniqueness", """
 with g as (select l_orderkey, l_linenumber, count(*) as n from lineitem group by all)
 select sum(n)::bigint as rows, count(*)::bigint as distinct_keys, (sum(n) - count(*))::bigint as duplicate_rows,
@@ -481,15 +512,15 @@ def q_dq_profile(spark, sf):
 
 _CALLS_SQL = """
 select cast(event_id as varchar) as complaint_id, 'call_logs' as source_system,
-       cast(user_id as varchar) as customer_id, null::varchar as agent_id, event_type as category,
+       cast(user_id as varchar) as customer_id, """ + standins.AGENT_SQL.format(k="event_id") + """ as agent_id, event_type as category,
        'Resolved' as resolution_status, ts as opened_at,
        ts + to_seconds(cast(floor(value) as bigint)) as closed_at, 'call' as channel
-from events where event_type = 'error'
+from events
 """
 
 _FORMS_SQL = """
 select cast(o_orderkey as varchar) as complaint_id, 'web_forms' as source_system,
-       cast(o_custkey as varchar) as customer_id, null::varchar as agent_id, o_orderpriority as category,
+       cast(o_custkey as varchar) as customer_id, """ + standins.AGENT_SQL.format(k="o_orderkey") + """ as agent_id, o_orderpriority as category,
        case o_orderstatus when 'F' then 'Resolved' when 'O' then 'Pending' when 'P' then 'Escalated' end
          as resolution_status,
        o_orderdate as opened_at, null::timestamp as closed_at, 'web' as channel
@@ -509,23 +540,23 @@ def q_stg_web_forms(spark, sf):
     return models.stg_web_forms(standins.web_forms(spark, sf))
 
 
-@register("stg_social_media", """
+_SOCIAL_SQL = """
 select cast(conv_id as varchar) || '-' || cast(turn as varchar) as complaint_id, 'social_media' as source_system,
-       cast(conv_id as varchar) as customer_id, null::varchar as agent_id, role as category,
-       'Pending' as resolution_status, null::timestamp as opened_at, null::timestamp as closed_at, 'chat' as channel
-from conversations where role = 'user'
-""")
+       cast(conv_id as varchar) as customer_id, """ + standins.AGENT_SQL.format(k="conv_id") + """ as agent_id, role as category,
+       'Pending' as resolution_status, make_timestamp(2024, 2, 1 + conv_id % 28, 0, 0, 0.0) as opened_at,
+       case when turn % 5 <> 4 then make_timestamp(2024, 3, 1 + turn % 28, 10, 30, 0.0) end as closed_at, 'chat' as channel
+from conversations
+"""
+
+
+@register("stg_social_media", _SOCIAL_SQL)
 def q_stg_social_media(spark, sf):
     """M3: social media conformed (text dates parsed leniently)."""
     return models.stg_social_media(standins.social_media(spark, sf))
 
 
 @register("int_complaints_unified", f"""
-{_CALLS_SQL} union all {_FORMS_SQL}
-union all
-select cast(conv_id as varchar) || '-' || cast(turn as varchar), 'social_media', cast(conv_id as varchar), null,
-       role, 'Pending', null, null, 'chat'
-from conversations where role = 'user'
+{_CALLS_SQL} union all {_FORMS_SQL} union all {_SOCIAL_SQL}
 """)
 def q_int_complaints_unified(spark, sf):
     """M4: one complaint row across the three channels."""
@@ -557,8 +588,37 @@ def q_dim_customers(spark, sf):
     return models.dim_customers(standins.customers(spark, sf))
 
 
+@register("dim_customers_latest", """
+with r as (
+  select cast(c_custkey as varchar) as customer_id, c_name || '#' || v as name, date '2020-01-15' + cast((c_custkey * 37 + v * 11) % 400 as int) as d
+  from customer, (values (0), (1), (2)) t(v))
+select customer_id, arg_max(name, d) as name, strftime(max(d), '%Y-%m-%d') as signup from r group by 1
+""")
+def q_dim_customers_latest(spark, sf):
+    """M5 over repeated keys: the latest by a text date that comes in two
+    layouts (text order would choose another row)."""
+    d = F.expr("date_add(date '2020-01-15', cast((c_custkey * 37 + v * 11) % 400 as int))")
+    raw = table(spark, sf, "customer").withColumn("v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.concat("c_name", F.lit("#"), F.col("v").cast("string")).alias("name"),
+        F.when(F.col("v") == 1, F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd")).alias("signup_date"))
+    return models.dim_customers(raw).select(
+        "customer_id", "name", F.date_format(models.lenient_timestamp(F.col("signup_date")), "yyyy-MM-dd").alias("signup"))
+
+
+@register("dim_agents", """
+select cast(s_suppkey as varchar) as agent_id, s_name || '#1' as name, cast(s_nationkey as varchar) as state from supplier
+""")
+def q_dim_agents(spark, sf):
+    """M5: agents, one row per key, from rows that repeat every key with
+    another number of years."""
+    raw = standins.agents(spark, sf).withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
+    raw = raw.select("id", F.concat("name", F.lit("#"), F.col("v").cast("string")).alias("name"),
+                     F.when(F.col("v") == 1, "10").otherwise("9").alias("experience"), "state")
+    return models.dim_agents(raw).select("agent_id", "name", "state")
+
+
 @register("fct_complaints", f"""
-with u as ({_CALLS_SQL} union all {_FORMS_SQL}),
+with u as ({_CALLS_SQL} union all {_FORMS_SQL} union all {_SOCIAL_SQL}),
      c as (select cast(c_custkey as varchar) as cid, c_name from customer),
      a as (select cast(s_suppkey as varchar) as aid, s_name from supplier)
 select u.complaint_id, u.source_system, u.customer_id, c.c_name as customer_name, u.agent_id,
@@ -571,6 +631,7 @@ def q_fct_complaints(spark, sf):
     unified = models.int_complaints_unified(
         models.stg_call_logs(standins.call_logs(spark, sf)),
         models.stg_web_forms(standins.web_forms(spark, sf)),
+        models.stg_social_media(standins.social_media(spark, sf)),
     )
     return models.fct_complaints(
         unified,
@@ -580,7 +641,7 @@ def q_fct_complaints(spark, sf):
 
 
 @register("fct_unique_key", f"""
-with u as ({_CALLS_SQL} union all {_FORMS_SQL})
+with u as ({_CALLS_SQL} union all {_FORMS_SQL} union all {_SOCIAL_SQL})
 select complaint_id, source_system, count(*)::bigint as n from u group by all having count(*) > 1
 """)
 def q_fct_unique_key(spark, sf):
@@ -588,6 +649,7 @@ def q_fct_unique_key(spark, sf):
     unified = models.int_complaints_unified(
         models.stg_call_logs(standins.call_logs(spark, sf)),
         models.stg_web_forms(standins.web_forms(spark, sf)),
+        models.stg_social_media(standins.social_media(spark, sf)),
     )
     return checks.duplicate_key_groups(unified, ["complaint_id", "source_system"])
 

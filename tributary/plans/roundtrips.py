@@ -31,11 +31,16 @@ from tributary.streaming.landing import land_csv_stream
 # Raw call-log rows as the oracle sees them (same as the stand-in).
 _RAW_CALLS_SQL = """
 select cast(event_id as varchar) as "unnamed:_0", cast(event_id as varchar) as call_id,
-       cast(user_id as varchar) as customer_id, event_type as complaint_catego_ry, null::varchar as agent_id,
+       cast(user_id as varchar) as customer_id, event_type as complaint_catego_ry, AGENT as agent_id,
        ts as call_start_time, ts + to_seconds(cast(floor(value) as bigint)) as call_end_time,
        'Resolved' as resolutionstatus, date_trunc('day', ts) as calllogsgenerationdate
-from events where event_type = 'error'
+from events where true
 """
+_AGENT_SQL = standins.AGENT_SQL.format(k="event_id")
+_STREAMED_CALLS_SQL = _RAW_CALLS_SQL.replace("AGENT", _AGENT_SQL)
+# the second half of the month is written without the agent column
+_EARLY_AGENT_SQL = f"case when ts < timestamp '2024-01-15' then {_AGENT_SQL} end"
+_RAW_CALLS_SQL = _RAW_CALLS_SQL.replace("AGENT", _EARLY_AGENT_SQL)
 
 # Raw header spellings of the two call-log file layouts
 # (they clean to the declared column names).
@@ -89,7 +94,7 @@ def q_csv_landing(spark, sf):
 @register("csv_landing_days", """
 select cast(year(ts) as int) as year, cast(month(ts) as int) as month, cast(day(ts) as int) as day,
        count(*)::bigint as n
-from events where event_type = 'error' group by all
+from events group by all
 """)
 def q_csv_landing_days(spark, sf):
     """K6 + A9: rows landed per file-name day."""
@@ -112,14 +117,14 @@ def q_landing_inventory(spark, sf):
 
 @register("json_landing", """
 select cast(conv_id as varchar) || '-' || cast(turn as varchar) as complaint_id, cast(conv_id as varchar) as customer_id,
-       role as complaint_catego_ry, null::varchar as agent_id, 'Pending' as resolutionstatus,
-       null::varchar as request_date, null::varchar as resolution_date, 'chat' as media_channel,
+       role as complaint_catego_ry, """ + standins.AGENT_SQL.format(k="conv_id") + """ as agent_id, 'Pending' as resolutionstatus,
+       """ + standins.REQUEST_DATE_SQL + """ as request_date, """ + standins.RESOLUTION_DATE_SQL + """ as resolution_date, 'chat' as media_channel,
        null::varchar as mediacomplaintgenerationdate
-from conversations where role = 'user'
+from conversations
 """)
 def q_json_landing(spark, sf):
     """One JSON document per conversation — an array of records,
-    or (conversations with three or more user turns) an object whose values
+    or (conversations with three or more turns) an object whose values
     are the records — read back by shape and unioned."""
     base = scratch_path(spark, "json-landing")
     social = standins.social_media(spark, sf)
@@ -210,7 +215,7 @@ def q_by_name_load(spark, sf):
 @register("audit_log", """
 select 'call_logs' as source, strftime(ts, '%Y-%m-%d') as execution_date, count(*)::bigint as row_count,
        'success' as status
-from events where event_type = 'error' group by all
+from events group by all
 """)
 def q_audit_log(spark, sf):
     """One audit record per source and day, written twice (the
@@ -268,7 +273,7 @@ def q_web_forms_extract(spark, sf):
                          "_source_location", "_row_count", "year", "month", "day")
 
 
-@register("stream_landing", _RAW_CALLS_SQL.replace(
+@register("stream_landing", _STREAMED_CALLS_SQL.replace(
     "from events where", ", cast(year(ts) as int) as year, cast(month(ts) as int) as month, "
     "cast(day(ts) as int) as day from events where"))
 def q_stream_landing(spark, sf):
@@ -434,6 +439,27 @@ def q_raw_layer_load(spark, sf):
     return wh.source("raw", "raw_agents")
 
 
+@register("raw_layer_reload", """
+select cast(s_suppkey as varchar) as id, s_name as name, cast(s_acctbal as varchar) as experience,
+       cast(s_nationkey as varchar) as state, 2025::int as year, 12::int as month, 2::int as day
+from supplier
+""")
+def q_raw_layer_reload(spark, sf):
+    """K14 undated: a reload replaces the table, so a day that left the lake
+    leaves the table too."""
+    from tributary.sinks.lake import write_to_raw_layer
+    base = scratch_path(spark, "k14-reload")
+    agents = standins.agents(spark, sf)
+    write_to_raw_layer(agents, f"{base}/before", "agents", "2025-12-01")
+    write_to_raw_layer(agents, f"{base}/before", "agents", "2025-12-02")
+    write_to_raw_layer(agents, f"{base}/after", "agents", "2025-12-02")
+    wh = _warehouse(spark, base)
+    wh.setup(("raw",))
+    wh.load_raw_layer(f"{base}/before", "agents")
+    wh.load_raw_layer(f"{base}/after", "agents")
+    return wh.source("raw", "raw_agents")
+
+
 @register("csv_to_parquet", _CUSTOMERS_SQL)
 def q_csv_to_parquet(spark, sf):
     """K8: a CSV export (a folder of part files, messy headers) converted to
@@ -467,13 +493,13 @@ def q_backfill_write(spark, sf):
 
 @register("call_logs_extract", """
 select cast(event_id as varchar) as "unnamed:_0", cast(event_id as varchar) as call_id,
-       cast(user_id as varchar) as customer_id, event_type as complaint_catego_ry, null::varchar as agent_id,
+       cast(user_id as varchar) as customer_id, event_type as complaint_catego_ry, """ + _EARLY_AGENT_SQL + """ as agent_id,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as call_start_time,
        strftime(ts + to_seconds(cast(floor(value) as bigint)), '%Y-%m-%dT%H:%M:%S.%f') as call_end_time,
        'Resolved' as resolutionstatus, strftime(date_trunc('day', ts), '%Y-%m-%dT%H:%M:%S.%f') as calllogsgenerationdate,
        timestamp '2025-12-01 06:30:00' as _extraction_timestamp, 's3_call_logs' as _source_system,
        count(*) over ()::bigint as _row_count
-from events where event_type = 'error'
+from events
 """)
 def q_call_logs_extract(spark, sf):
     """S7 (+S2/S5/P1/P8): every CSV whose path names call logs, in two
@@ -536,7 +562,7 @@ def q_jdbc_page(spark, sf):
 select cast(conv_id as varchar) || '-' || cast(turn as varchar) as complaint_id, cast(conv_id as varchar) as customer_id,
        role as complaint_catego_ry, 'Pending' as resolutionstatus, 'chat' as media_channel,
        2025::int as year, 12::int as month, 1::int as day
-from conversations where role = 'user'
+from conversations
 """)
 def q_stream_json_landing(spark, sf):
     """T1 for JSON: one array-of-records document per conversation, landed
@@ -615,11 +641,11 @@ def q_customers_extract(spark, sf):
 
 @register("social_extract", """
 select cast(conv_id as varchar) || '-' || cast(turn as varchar) as complaint_id, cast(conv_id as varchar) as customer_id,
-       role as complaint_catego_ry, null::varchar as agent_id, 'Pending' as resolutionstatus,
-       null::varchar as request_date, null::varchar as resolution_date, 'chat' as media_channel,
+       role as complaint_catego_ry, """ + standins.AGENT_SQL.format(k="conv_id") + """ as agent_id, 'Pending' as resolutionstatus,
+       """ + standins.REQUEST_DATE_SQL + """ as request_date, """ + standins.RESOLUTION_DATE_SQL + """ as resolution_date, 'chat' as media_channel,
        null::varchar as mediacomplaintgenerationdate, timestamp '2025-12-01 06:30:00' as _extraction_timestamp,
        's3_social_media' as _source_system, count(*) over ()::bigint as _row_count
-from conversations where role = 'user'
+from conversations
 """)
 def q_social_extract(spark, sf):
     """S8 (+S4/S5/P1/P8): social-media JSON Lines files found by path,

@@ -4,8 +4,7 @@ The supplied data has no complaint tables, so each raw table is derived,
 with Spark, from one supplied table (``FIXTURES.md`` §2):
 
     customer  -> customers        supplier -> agents
-    events (event_type = 'error') -> call_logs
-    conversations (role = 'user') -> social_media
+    events    -> call_logs        conversations -> social_media
     orders    -> web_forms        events by day -> dated web-form tables
 
 Every column keeps the raw layer's name and type (``schemas.RAW_TABLES``),
@@ -44,6 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+# Derived values, the same text in Spark SQL and in the oracles: an agent's key
+# (some NULL, some unknown), request dates in two layouts, resolution times of
+# which some are no dates.
+AGENT_SQL = "case when {k} % 13 = 0 then 'unknown-agent' when {k} % 10 = 0 then null else cast({k} % 10 as string) end"
+REQUEST_DATE_SQL = ("case when conv_id % 2 = 0 then '2024-02-' || lpad(cast(1 + conv_id % 28 as string), 2, '0') "
+                    "else lpad(cast(1 + conv_id % 28 as string), 2, '0') || '/02/2024' end")
+RESOLUTION_DATE_SQL = ("case when turn % 5 = 4 then 'pending' "
+                       "else '2024-03-' || lpad(cast(1 + turn % 28 as string), 2, '0') || ' 10:30:00' end")
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.select(
@@ -68,13 +77,13 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def call_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").cast("string").alias("unnamed:_0"),
         F.col("event_id").cast("string").alias("call_id"),
         F.col("user_id").cast("string").alias("customer_id"),
         F.col("event_type").alias("complaint_catego_ry"),
-        F.lit(None).cast("string").alias("agent_id"),
+        F.expr(AGENT_SQL.format(k="event_id")).alias("agent_id"),
         F.col("ts").alias("call_start_time"),
         F.timestamp_add("SECOND", F.floor("value").cast("int"), F.col("ts")).alias("call_end_time"),
         F.lit("Resolved").alias("resolutionstatus"),
@@ -83,15 +92,15 @@ def call_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def social_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    c = table(spark, sf_dir, "conversations")
     return c.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("complaint_id"),
         F.col("conv_id").cast("string").alias("customer_id"),
         F.col("role").alias("complaint_catego_ry"),
-        F.lit(None).cast("string").alias("agent_id"),
+        F.expr(AGENT_SQL.format(k="conv_id")).alias("agent_id"),
         F.lit("Pending").alias("resolutionstatus"),
-        F.lit(None).cast("string").alias("request_date"),
-        F.lit(None).cast("string").alias("resolution_date"),
+        F.expr(REQUEST_DATE_SQL).alias("request_date"),
+        F.expr(RESOLUTION_DATE_SQL).alias("resolution_date"),
         F.lit("chat").alias("media_channel"),
         F.lit(None).cast("string").alias("mediacomplaintgenerationdate"),
     )
@@ -115,7 +124,7 @@ def web_forms_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").cast("string").alias("form_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
-        F.lit(None).cast("string").alias("agent_id"),
+        F.expr(AGENT_SQL.format(k="o_orderkey")).alias("agent_id"),
         F.col("o_orderpriority").alias("complaint_type"),
         _status(F.col("o_orderstatus")).alias("resolution_status"),
         F.col("o_orderdate").alias("submission_date"),

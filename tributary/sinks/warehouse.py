@@ -10,7 +10,9 @@ position into the projected order.
 
 from __future__ import annotations
 
+import contextlib
 import logging
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.casts import safe_cast
-from tributary.operators.columns import project_to_schema
 from tributary.schemas import LAYERS, RAW_TABLES
 from tributary.sinks.lake import layer_path, read_day
 
@@ -29,6 +30,23 @@ def _ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+_OVERWRITES = threading.Lock()
+
+
+@contextlib.contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """The session's partition-overwrite mode for one write, put back after it;
+    writes from several threads take turns."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    with _OVERWRITES:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
 class Warehouse:
     """Thin holder of a session, an optional table-location root and an
     optional database-name prefix.
@@ -81,18 +99,6 @@ class Warehouse:
         return made
 
     # K11, K12 ---------------------------------------------------------
-    def conform_to_table(self, df: DataFrame, table: str) -> tuple[DataFrame, list[str], list[str]]:
-        """Project ``df`` onto ``table``'s columns by case-insensitive name.
-
-        Returns ``(projected, dropped_extra_columns, null_filled_columns)``.
-        """
-        target = self.spark.table(table).schema
-        present = {c.lower() for c in df.columns}
-        filled = [f.name for f in target.fields if f.name.lower() not in present]
-        wanted = {f.name.lower() for f in target.fields}
-        extra = [c for c in df.columns if c.lower() not in wanted]
-        return project_to_schema(df, target), extra, filled
-
     def cast_losses(self, df: DataFrame, table: str) -> DataFrame:
         """Per column, source values that are non-NULL but become NULL in the
         cast to the table type (one pass).  Output ``column, lost_values``."""
@@ -114,7 +120,7 @@ class Warehouse:
             for i, (n, _) in enumerate(pairs)
         ])))
 
-    def load_by_name(self, df: DataFrame, table: str, mode: str = "append") -> dict:
+    def load_by_name(self, df: DataFrame, table: str, mode: str = "append", whole_table: bool = False) -> dict:
         """Load into ``table`` by column name, in ONE pass.
 
         Columns are matched ignoring case; extras are ignored, missing ones
@@ -122,7 +128,8 @@ class Warehouse:
         cast column, the non-NULL values that became NULL are observed on
         the insert itself (``rows``, ``cast_losses``).
         ``mode``: ``append``; ``overwrite`` (replace the table, or with a
-        partitioned table only the partitions present — dynamic overwrite).
+        partitioned table only the partitions present — dynamic overwrite;
+        ``whole_table`` replaces it all, partitions not in ``df`` included).
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}")
@@ -145,14 +152,17 @@ class Warehouse:
         extra = [c for c in df.columns if c.lower() not in wanted]
         if extra:
             log.info("load %s: ignoring columns not in the table: %s", table, extra)
-        if mode == "overwrite" and self._is_partitioned(table):
-            # insertInto ignores per-write options; only the session setting
-            # makes an overwrite replace just the partitions present.
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         metrics += [F.coalesce(e, F.lit(0)).alias(f"lost_{i}") for i, (_, e) in enumerate(losses)]
-        df.observe(obs, *metrics).select(*cols).write.insertInto(table, overwrite=(mode == "overwrite"))
+        rows = df.observe(obs, *metrics).select(*cols)
+        if mode == "overwrite" and self._is_partitioned(table):
+            # insertInto ignores per-write options; only the session setting says
+            # whether an overwrite replaces just the partitions present.
+            with _overwrite_mode(self.spark, "static" if whole_table else "dynamic"):
+                rows.write.insertInto(table, overwrite=True)
+        else:
+            rows.write.insertInto(table, overwrite=(mode == "overwrite"))
         try:
             m = obs.get
         except Exception:  # a write over zero partitions reports no metrics
@@ -180,7 +190,7 @@ class Warehouse:
         if not self.spark.catalog.tableExists(f"{self.db(layer)}.raw_{source}"):
             self.create_table_like(df.limit(0), table, partitioned_by=["year", "month", "day"]
                                    if {"year", "month", "day"} <= set(df.columns) else None)
-        return self.load_by_name(df, table, mode or "overwrite")
+        return self.load_by_name(df, table, mode or "overwrite", whole_table=execution_date is None)
 
     # K15 --------------------------------------------------------------
     def create_table_like(self, df: DataFrame, table: str, partitioned_by: list[str] | None = None) -> None:

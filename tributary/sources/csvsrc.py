@@ -40,6 +40,10 @@ def read_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame
     return spark.read.options(**opts).csv(path)
 
 
+def _q(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def parse_header(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line)))
 
@@ -56,15 +60,25 @@ def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...]
     return groups
 
 
-def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = False,
-                   multi_line: bool = False) -> DataFrame:
+# The words a CSV cell may hold for "missing".
+NULL_VALUES = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+               "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_EXTRA = "__cells_beyond_the_header"
+
+
+def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = False, multi_line: bool = False,
+                   null_values: tuple[str, ...] = NULL_VALUES) -> DataFrame:
     """Many CSV files, appended by column name.
 
     Each header shape is read once with an all-text schema named after that
     header (blank header -> ``Unnamed: <pos>``), so positions map to the
     right names; shapes are unioned by name, missing columns NULL.
     ``multi_line`` allows quoted values with line breaks (free-text notes);
-    such files are no longer splittable, so it is off by default.
+    such files are no longer splittable, so it is off by default.  Blank lines
+    before the header are passed over.  A cell that holds one of
+    ``null_values`` is NULL (give ``()`` to keep such words).  A row with fewer
+    cells than the header is filled with NULL; one with more cells fails the
+    job with the file's name, since its values cannot be placed.
     """
     if not paths:
         raise FileNotFoundError("no CSV files given")
@@ -74,21 +88,24 @@ def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = Fals
     frames = []
     for header, files in groups.items():
         names = add_pandas_index_names(list(header))
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, _EXTRA]])
         df = (spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
               .option("multiLine", "true" if multi_line else "false").schema(schema).csv(files))
-        if with_file:
-            df = df.withColumn("_file", F.col("_metadata.file_path"))
+        told = F.raise_error(F.concat(F.lit("a row has more cells than the header: "), F.col("_metadata.file_path")))
+        df = df.where(F.when(F.col(_EXTRA).isNotNull(), told.cast("boolean")).otherwise(F.lit(True)))
+        cells = [F.when(~_q(n).isin(*null_values), _q(n)).alias(n) if null_values else _q(n) for n in names]
+        df = df.select(*cells, *([F.col("_metadata.file_path").alias("_file")] if with_file else []))
         frames.append(df)
     return union_by_name(frames, as_text=True)
 
 
-def extract_customers(spark: SparkSession, root: str, key: str | None = None, as_of=None) -> DataFrame:
+def extract_customers(spark: SparkSession, root: str, key: str | None = None, as_of=None, **read) -> DataFrame:
     """A given object, else the first ``.csv`` whose path contains
-    ``customers`` (any case); light header clean; metadata stamp."""
+    ``customers`` (any case); light header clean; metadata stamp.  ``read``:
+    options of :func:`read_csv_files`."""
     if key:
         path = f"{root.rstrip('/')}/{key}"  # a file, or a folder of part files
-        df = clean_headers(read_csv_files(spark, expand_paths(spark, [path], (".csv",))), "light")
+        df = clean_headers(read_csv_files(spark, expand_paths(spark, [path], (".csv",)), **read), "light")
         return stamp_metadata(df, SOURCE_SYSTEMS["customers"], path, as_of=as_of)
     else:
         # suffix match is case-sensitive (S5); the name match is not
@@ -97,25 +114,26 @@ def extract_customers(spark: SparkSession, root: str, key: str | None = None, as
         if not hit:
             raise FileNotFoundError("no customer CSV files found")
         path = hit[0]["path"]
-    df = clean_headers(read_csv_files(spark, [path]), "light")
+    df = clean_headers(read_csv_files(spark, [path], **read), "light")
     return stamp_metadata(df, SOURCE_SYSTEMS["customers"], path, as_of=as_of)
 
 
-def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=None) -> DataFrame:
+def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=None, **read) -> DataFrame:
     """Every ``.csv`` under the prefix whose path contains ``call`` or
-    ``logs``; union by name; light clean; stamp."""
+    ``logs``; union by name; light clean; stamp.  ``read``: options of
+    :func:`read_csv_files`."""
     listing = list_objects(spark, root, prefix=prefix, suffix=".csv", ignore_case=False)  # suffix match is case-sensitive (S5)
     from tributary.functions.text import path_predicate
     files = [r["path"] for r in listing.where(path_predicate(F.col("path"), contains_any=["call", "logs"]))
              .select("path").orderBy("path").collect()]
     if not files:
         raise FileNotFoundError("no call log CSV files found")
-    df = clean_headers(read_csv_files(spark, files), "light")
+    df = clean_headers(read_csv_files(spark, files, **read), "light")
     location = f"{root.rstrip('/')}/{prefix}" if prefix else f"{root.rstrip('/')}/"
     return stamp_metadata(df, SOURCE_SYSTEMS["call_logs"], location, as_of=as_of)
 
 
-def convert_csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str | None = None) -> str:
+def convert_csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str | None = None, **read) -> str:
     """K8: CSV -> light header clean -> Snappy Parquet (beside the input by
     default: ``x.csv`` -> ``x.parquet`` folder).  ``csv_path`` may be a file
     or a folder of CSV part files."""
@@ -124,6 +142,6 @@ def convert_csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str
         base = base[:-4] if base.lower().endswith(".csv") else base
         parquet_path = base + ".parquet"
     files = expand_paths(spark, [csv_path], (".csv",))
-    df = clean_headers(read_csv_files(spark, files), "light")
+    df = clean_headers(read_csv_files(spark, files, **read), "light")
     df.write.mode("overwrite").option("compression", "snappy").parquet(parquet_path)
     return parquet_path

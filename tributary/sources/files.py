@@ -5,14 +5,16 @@ modificationTime`` selected: the content column is pruned, so no file is
 opened, and Spark lists large folders in parallel.  Paths come back as URIs.
 
 ``sniff_files`` reads the first line / first character of many files in
-parallel tasks (a few KB each, never whole files) so the CSV reader can
-group files by header and the JSON reader by top-level shape.
+parallel tasks (as a rule a few KB each; on, where a file starts with blanks
+or a long record) so the CSV reader can group files by header and the JSON
+reader by top-level shape.
 """
 
 from __future__ import annotations
 
 import re
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,17 +182,19 @@ def verify_landing(spark: SparkSession, root: str, prefixes=LANDING_PREFIXES, sa
 # distributed sniffing of file heads
 # ---------------------------------------------------------------------------
 
+# What the error says when Arrow cannot open a path's store at all.
+UNREADABLE = ("Unrecognized filesystem", "libhdfs", "libjvm")
 SNIFF_SCHEMA = "path string, size long, first_line string, first_char string, json_lines boolean"
 
 
-def _make_sniffer(limit: int):
+def _make_sniffer():
     """Build the per-partition sniffing function.
 
     Defined as a closure so it is shipped to Python workers by value: the
     workers need pandas and pyarrow, not this package.
     """
 
-    def open_head(path: str) -> bytes:
+    def chunks(path: str):
         from urllib.parse import unquote
 
         import pyarrow.fs as pafs
@@ -208,30 +212,78 @@ def _make_sniffer(limit: int):
                 if path.startswith(hadoop):
                     path = arrow + path[len(hadoop):]
             fs, inner = pafs.FileSystem.from_uri(path)
-        out, step = b"", 4096  # a header is a few hundred bytes: start small, grow
+        step = 4096  # a header is a few hundred bytes: start small, grow
         with fs.open_input_stream(inner) as fh:
-            while len(out) < limit:
-                chunk = fh.read(min(step, limit - len(out)))
-                if not chunk:
-                    break
-                out += chunk
-                if out.strip() and out.count(b"\n") >= 2:
-                    break
+            while chunk := fh.read(step):
+                yield chunk
                 step = min(step * 2, 1 << 20)
-        return out
 
-    def looks_like_json_lines(text: str) -> bool:
-        """First line is a whole JSON object and another line follows."""
-        import json
-
-        lines = [ln for ln in text.splitlines() if ln.strip()]
-        if len(lines) < 2 or not lines[0].lstrip().startswith("{"):
-            return False
-        try:
-            json.loads(lines[0])
-            return True
-        except ValueError:
-            return False
+    def first_record(source) -> tuple[str | None, int]:
+        """The first line that isn't blank (a quoted cell may hold line
+        breaks), however far into the file it starts or ends."""
+        import re
+
+        data, read = b"", 0
+        for chunk in source:
+            read += len(chunk)
+            data = (data + chunk).lstrip(b"\xef\xbb\xbf" if read == len(chunk) else b"").lstrip(b" \t\r\n")
+            quoted = False
+            for m in re.finditer(rb'"|\r\n|[\r\n]', data):
+                if m[0] == b'"':
+                    quoted = not quoted
+                elif not quoted:
+                    return data[:m.start()].decode("utf-8", errors="replace"), read
+        return (data.decode("utf-8", errors="replace").rstrip("\r\n") or None), read
+
+    def json_shape(source) -> tuple[str | None, bool]:
+        """First character that isn't blank, and whether the file is JSON Lines:
+        objects that each stand on one line.  A lone object on one line is a
+        record if any of its values is not an object (else the values are the
+        records).  Reads on until that is settled; memory is one chunk."""
+        import re
+
+        first, depth, quoted, escaped, expects, plain, closed = None, 0, False, False, False, False, False
+        bom = True
+        for chunk in source:
+            if bom:
+                chunk, bom = chunk[3:] if chunk.startswith(b"\xef\xbb\xbf") else chunk, False
+            if first is None:
+                body = chunk.lstrip(b" \t\r\n")
+                if not body:
+                    continue
+                first = chr(body[0]) if body[0] < 128 else "?"
+                if first != "{":
+                    return first, False
+                chunk = body
+            for m in re.finditer(rb"[^ \t]", chunk):
+                c = m[0]
+                if closed:
+                    if c in b"\r\n":
+                        continue
+                    return first, True          # something follows the first object
+                if quoted:
+                    if escaped:
+                        escaped = False
+                    elif c == b"\\":
+                        escaped = True
+                    elif c == b'"':
+                        quoted = False
+                    continue
+                if c in b"\r\n":
+                    return first, False         # the object goes on on the next line
+                if expects:
+                    expects = False
+                    plain = plain or c != b"{"
+                if c == b'"':
+                    quoted = True
+                elif c in b"{[":
+                    depth += 1
+                elif c in b"}]":
+                    depth -= 1
+                    closed = depth == 0
+                elif c == b":" and depth == 1:
+                    expects = True
+        return first, closed and plain
 
     def sniff(batches):
         import pandas as pd
@@ -239,58 +291,54 @@ def _make_sniffer(limit: int):
         for pdf in batches:
             rows = []
             for p in pdf["path"]:
-                head = open_head(p)
-                # a second line helps tell JSON Lines from one JSON document
-                text = head.decode("utf-8-sig", errors="replace")
-                line = text.splitlines()[0] if text else None
-                stripped = text.lstrip()
-                rows.append((p, len(head), line, stripped[:1] if stripped else None, looks_like_json_lines(text)))
+                line, read = first_record(chunks(p))
+                first, lines = json_shape(chunks(p)) if line and line.lstrip()[:1] in "{[" else (line.lstrip()[:1] or None if line else None, False)
+                rows.append((p, read, line, first, lines))
             yield pd.DataFrame(rows, columns=["path", "size", "first_line", "first_char", "json_lines"])
 
     return sniff
 
 
-def sniff_heads(spark: SparkSession, paths: list[str], head_bytes: int = 1 << 20, threads: int = 16) -> list[dict]:
+def sniff_heads(spark: SparkSession, paths: list[str]) -> list[dict]:
     """``sniff_files`` collected (one small row per file).
 
-    If the Python-side reader cannot open the store (e.g. credentials that
-    only the Hadoop configuration holds), each file's first line is read by
-    Spark's own text source instead: a limit-1 scan per file (only the
-    file's first lines are read), submitted from a thread pool.
-    """
+    Where Arrow has no reader for the paths' store (``UNREADABLE``), Spark's
+    own text source finds the same in one job over all files; any other error
+    is raised."""
     try:
-        return [r.asDict() for r in sniff_files(spark, paths, head_bytes).collect()]
-    except Exception as exc:  # fall back to JVM-side reads
-        import logging
-        from concurrent.futures import ThreadPoolExecutor
-
-        logging.getLogger(__name__).warning("Python-side sniff failed (%s); reading heads through Spark",
-                                            str(exc).splitlines()[0][:200])
-
-        def head(p: str) -> dict:
-            import json
-
-            nonblank = [r["value"] for r in spark.read.text(p).where(F.length(F.trim("value")) > 0).limit(2).collect()]
-            first = nonblank[0] if nonblank else None
-            allrows = spark.read.text(p).limit(1).collect()
-            line = allrows[0]["value"] if allrows else None
-            lines = False
-            if len(nonblank) == 2 and first.lstrip().startswith("{"):
-                try:
-                    json.loads(first)
-                    lines = True
-                except ValueError:
-                    lines = False
-            return {"path": p, "size": None, "first_line": line,
-                    "first_char": first.lstrip()[:1] if first else None, "json_lines": lines}
-
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            return list(pool.map(head, paths))
-
-
-def sniff_files(spark: SparkSession, paths: list[str] | DataFrame, head_bytes: int = 1 << 20) -> DataFrame:
-    """First line and first non-blank character of each file, read in
-    parallel tasks (Arrow batches, at most ``head_bytes`` per file)."""
+        return [r.asDict() for r in sniff_files(spark, paths).collect()]
+    except PythonException as exc:
+        if not any(w in str(exc) for w in UNREADABLE):
+            raise
+        return [r.asDict() for r in sniff_through_spark(spark, paths).collect()]
+
+
+def sniff_through_spark(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """What :func:`sniff_files` tells, from Spark's text source (a header must
+    stand on one line): the first lines by position in the file, aggregated
+    with map-side partials."""
+    lines = (spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                                           F.monotonically_increasing_id().alias("n"), "value")
+             .where(F.regexp_replace("value", "[ \\t\ufeff]", "") != ""))
+    first = lines.groupBy("path").agg(F.min_by("value", F.struct("at", "n")).alias("first_line"), F.count("*").alias("n"))
+    text = F.regexp_replace("first_line", "^[ \\t\ufeff]+", "")
+    record = F.try_parse_json(text)
+    kind = F.schema_of_variant(record)
+    entries = F.map_values(F.from_json(text, "map<string,string>"))
+    plain = F.exists(entries, lambda v: v.isNull() | ~v.startswith("{"))
+    is_lines = kind.startswith("OBJECT") & ((F.col("n") > 1) | F.coalesce(plain, F.lit(False)))
+    found = first.select("path", F.lit(None).cast("long").alias("size"), text.alias("first_line"), F.substring(text, 1, 1).alias("first_char"),
+                         F.coalesce(is_lines, F.lit(False)).alias("json_lines"))
+    every = spark.read.format("binaryFile").load(paths).select("path")
+    norm = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")  # noqa: E731  file:/x and file:///x
+    return (every.join(found.withColumnRenamed("path", "p"), norm(F.col("path")) == norm(F.col("p")), "left")
+            .select("path", "size", "first_line", "first_char", F.coalesce("json_lines", F.lit(False)).alias("json_lines")))
+
+
+def sniff_files(spark: SparkSession, paths: list[str] | DataFrame) -> DataFrame:
+    """First line that isn't blank, first character that isn't blank and
+    whether a file is JSON Lines, read in parallel tasks.  Each file is read
+    as far as that takes, a few KB for all but odd ones."""
     if isinstance(paths, DataFrame):
         df = paths.select("path")
     else:
@@ -302,4 +350,4 @@ def sniff_files(spark: SparkSession, paths: list[str] | DataFrame, head_bytes: i
     except Exception:  # no SparkContext handle (e.g. a remote session)
         n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     df = df.repartition(max(1, n), "path")
-    return df.mapInPandas(_make_sniffer(head_bytes), SNIFF_SCHEMA)
+    return df.mapInPandas(_make_sniffer(), SNIFF_SCHEMA)

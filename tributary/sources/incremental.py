@@ -21,21 +21,32 @@ def _literal_like(df: DataFrame, column: str, value) -> Column:
 
 def extract_incremental(
     df: DataFrame, date_column: str, last_value=None, inclusive: bool = False,
-    dedupe_keys: list[str] | None = None,
+    dedupe_keys: list[str] | None = None, loaded: DataFrame | None = None,
 ) -> DataFrame:
     """Rows newer than the last extracted value; a full read when there is
     none.
 
     The default is the strict ``>`` of the reference, which loses rows
     stamped with exactly the last value if they arrive after it was read.
-    ``inclusive=True`` re-reads the boundary value, and ``dedupe_keys``
-    drops rows already seen at that boundary (exact duplicates on the key).
+    ``inclusive=True`` re-reads the boundary value.  What the target already
+    holds there must not come again: give ``loaded`` (the target) and the
+    ``dedupe_keys`` that name a row, and rows whose key the target holds *at
+    the boundary value* are left out by an anti-join over that value's rows
+    only.  ``dedupe_keys`` also drops repeats of a key within the new read.
     """
+    if inclusive and last_value is not None and (loaded is None or not dedupe_keys):
+        raise ValueError("an inclusive read needs the loaded rows and the keys that name a row")
     if last_value is None:
         return df
     bound = _literal_like(df, date_column, last_value)
     c = F.col(f"`{date_column}`")
     out = df.where(c >= bound if inclusive else c > bound)
+    if inclusive:
+        held = loaded.where(F.col(f"`{date_column}`") == _literal_like(loaded, date_column, last_value))
+        names = [date_column, *(k for k in dedupe_keys if k != date_column)]
+        held = held.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(names)])
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(names)]
+        out = out.join(held, same, "left_anti")
     if dedupe_keys:
         out = out.dropDuplicates(dedupe_keys)
     return out

@@ -28,7 +28,7 @@ from tributary.plans.landing import file_date
 from tributary.session import scratch_path
 from tributary.sinks.lake import PARTITION_COLS
 from tributary.sources.csvsrc import CSV_OPTIONS, parse_header
-from tributary.sources.files import list_objects, sniff_heads
+from tributary.sources.files import list_objects, sniff_files, sniff_heads
 
 
 def header_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
@@ -41,27 +41,48 @@ def header_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def json_schema(spark: SparkSession, landing_dir: str, glob: str = "*.json") -> T.StructType:
-    """All-text schema of the first JSON array file (by path)."""
-    first = (list_objects(spark, landing_dir).where(F.col("name").like(glob.replace("*", "%")))
-             .orderBy("path").limit(1).collect())
-    if not first:
+class JsonShapeError(ValueError):
+    """A landing folder holds JSON files that one stream cannot read alike."""
+
+
+def json_shape(spark: SparkSession, landing_dir: str, glob: str = "*.json") -> str:
+    """``array`` or ``lines``: the shape of all JSON files in the folder, empty ones aside.
+    Object documents and mixed shapes are refused (the batch reader takes them)."""
+    listing = list_objects(spark, landing_dir).where(F.col("name").like(glob.replace("*", "%")))
+    if listing.limit(1).count() == 0:
         raise FileNotFoundError(f"no JSON files in {landing_dir}")
-    return (spark.read.option("multiLine", "true").option("primitivesAsString", "true")
-            .json(first[0]["path"]).schema)
+    shape = (F.when(F.col("first_char") == "[", "array").when(F.col("json_lines"), "lines")
+             .when(F.col("first_char") == "{", "object").otherwise("scalar"))
+    found = (sniff_files(spark, listing).where(F.col("first_char").isNotNull())
+             .groupBy(shape.alias("shape")).agg(F.min("path").alias("example"), F.count("*").alias("n")).collect())
+    if [r["shape"] for r in found] not in (["array"], ["lines"], []):
+        detail = ", ".join(f"{r['n']} {r['shape']} (e.g. {r['example']})" for r in found)
+        raise JsonShapeError(f"a JSON stream reads arrays of records or JSON Lines, one of them; found {detail}")
+    return found[0]["shape"] if found else "array"
+
+
+def json_schema(spark: SparkSession, landing_dir: str, glob: str = "*.json", shape: str | None = None) -> T.StructType:
+    """All-text schema of all JSON files in the folder, merged (columns of any file)."""
+    shape = shape or json_shape(spark, landing_dir, glob)
+    return (spark.read.option("multiLine", "true" if shape == "array" else "false").option("primitivesAsString", "true")
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", glob).json(landing_dir).schema)
 
 
 def land_json_stream(
     spark: SparkSession, landing_dir: str, target_path: str, checkpoint_path: str | None = None,
     schema: T.StructType | None = None, as_of=None, available_now: bool = True, glob: str = "*.json",
 ):
-    """T1 for JSON drops whose documents are arrays of records (streamed by
-    the multi-line JSON source; nested objects kept as structs).  Same
-    exactly-once and append semantics as ``land_csv_stream``."""
-    schema = schema or json_schema(spark, landing_dir, glob)
+    """T1 for JSON drops that are arrays of records or JSON Lines (nested
+    objects kept as structs); a folder with other or mixed shapes is refused.
+    Without ``schema`` the columns are those of all files present at the
+    start, so a column that first comes with a later file is landed from the
+    next start on; name it in ``schema`` to have it at once.  Same exactly-once
+    and append semantics as ``land_csv_stream``."""
+    shape = json_shape(spark, landing_dir, glob)
+    schema = schema or json_schema(spark, landing_dir, glob, shape)
     checkpoint_path = checkpoint_path or scratch_path(spark, "landing-ckpt")
     stream = (
-        spark.readStream.format("json").option("multiLine", "true").option("recursiveFileLookup", "true")
+        spark.readStream.format("json").option("multiLine", "true" if shape == "array" else "false").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob).schema(schema).load(landing_dir)
     )
     return _start(stream, target_path, checkpoint_path, as_of, available_now)
@@ -97,15 +118,13 @@ def check_one_header_shape(spark: SparkSession, landing_dir: str, modified_after
     listing = list_objects(spark, landing_dir).where(F.col("extension") == ".csv")
     if modified_after is not None:
         listing = listing.where(F.col("modified") > F.lit(modified_after).cast("timestamp"))
-    files = [r["path"] for r in listing.select("path").collect()]
-    heads = {}
-    for r in sniff_heads(spark, files):
-        if r["first_line"]:
-            heads.setdefault(r["first_line"], []).append(r["path"])
+    # one row per distinct header comes back, however many files there are
+    heads = (sniff_files(spark, listing).where(F.length("first_line") > 0).groupBy("first_line")
+             .agg(F.count("*").alias("n"), F.min("path").alias("example")).limit(20).collect())
     if len(heads) > 1:
-        detail = "; ".join(f"{h!r}: {len(p)} file(s), e.g. {sorted(p)[0]}" for h, p in heads.items())
+        detail = "; ".join(f"{r['first_line']!r}: {r['n']} file(s), e.g. {r['example']}" for r in heads)
         raise HeaderShapeError(f"one header shape per stream; found {len(heads)}: {detail}")
-    return next(iter(heads), "")
+    return heads[0]["first_line"] if heads else ""
 
 
 def land_csv_stream(
@@ -117,14 +136,17 @@ def land_csv_stream(
 
     Returns the ``StreamingQuery``; with ``available_now`` it has already
     processed every file present at start.  ``check_headers`` refuses to
-    start when the folder's CSV files do not share one header.
+    start when the folder's CSV files do not share one header; a file that
+    comes later with another header fails the stream (its names are held
+    against the schema's) unless the header has blank names.
     """
     if check_headers:
         check_one_header_shape(spark, landing_dir, check_modified_after)
     schema = schema or header_schema(spark, landing_dir)
     checkpoint_path = checkpoint_path or scratch_path(spark, "landing-ckpt")
     reader = (
-        spark.readStream.format("csv").options(**CSV_OPTIONS).option("enforceSchema", "true")
+        spark.readStream.format("csv").options(**CSV_OPTIONS)
+        .option("enforceSchema", "true" if any(n.startswith("Unnamed: ") for n in schema.names) else "false")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").schema(schema)
     )
     if max_files_per_trigger:
