@@ -79,7 +79,11 @@ def _land_customers(spark, src: Sources, lake: str, wh: Warehouse, ds, as_of) ->
 
 
 def _land_daily_files(spark, folder: str, lake: str, dataset: str, wh: Warehouse, ds, as_of) -> dict:
-    res = ingest(spark, fetch_files(spark, folder), lake, dataset, incremental=True, as_of=as_of or ds)
+    # only the day's files are opened, landed and loaded: a day costs a day
+    res = ingest(spark, fetch_files(spark, folder), lake, dataset, incremental=True, execution_date=ds, as_of=as_of or ds)
+    if res["status"] == "empty":
+        save_audit(audit_record(spark, dataset, ds, 0, "empty", None, as_of), lake)
+        return {**res, "loaded_rows": 0, "cast_losses": {}}
     day = read_day(spark, layer_path(lake, dataset, None), ds)
     table = wh.table_name("raw", dataset)
     loaded = wh.load_by_name(day, table, mode="overwrite")  # replaces that day only; losses observed

@@ -11,19 +11,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators.columns import project_to_schema
+from tributary.functions.dates import date_parts
+from tributary.functions.text import bytes_to_mb
+from tributary.operators.columns import project_to_schema, read_projection
 from tributary.operators.quality import rows_by
 from tributary.plans import reference, standins
-from tributary.plans.landing import ingest
+from tributary.plans.landing import ingest, read_landing_files
 from tributary.plans.registry import AS_OF_STAMP, register
 from tributary.plans.standins import table
-from tributary.schemas import CALL_LOGS, SOCIAL_MEDIA
+from tributary.schemas import AGENTS, CALL_LOGS, SOCIAL_MEDIA
 from tributary.session import scratch_path
 from tributary.sinks import audit as audit_sink
 from tributary.sinks.lake import layer_path, write_dated
 from tributary.sinks.warehouse import Warehouse
 from tributary.sources import jdbc
-from tributary.sources.files import list_objects, objects_by_prefix
+from tributary.sources.csvsrc import read_csv_files
+from tributary.sources.files import (
+    extract_csv_files, fetch_files, first_match, first_objects, list_objects, verify_landing,
+)
 from tributary.sources.jsonsrc import read_json_files
 from tributary.sources.sheets import extract_agents
 from tributary.streaming.landing import land_csv_stream
@@ -106,13 +111,93 @@ def q_csv_landing_days(spark, sf):
     return rows_by(spark.read.parquet(f"{base}/lake/call_logs"), ["year", "month", "day"])
 
 
-@register("landing_inventory", None)
+def _write_a_file_a_day(spark, sf, folder: str) -> None:
+    """Call logs as CSV, one file a day (``d=YYYY-MM-DD/part-...``)."""
+    calls = standins.call_logs(spark, sf).withColumn("d", F.date_format("call_start_time", "yyyy-MM-dd"))
+    calls.repartition("d").write.partitionBy("d").options(**_CSV_OUT).mode("overwrite").csv(folder)
+
+
+@register("landing_inventory", """
+select 'call_logs' as prefix, count(distinct cast(ts as date))::bigint as objects, true as has_bytes, false as empty from events
+union all select 'agents', 0::bigint, false, true
+""")
 def q_landing_inventory(spark, sf):
-    """Object count and bytes per landing prefix (file layout
-    depends on the writer, so no SQL oracle)."""
+    """Object count and bytes per landing prefix, one file a day."""
     base = scratch_path(spark, "inventory")
-    _write_call_log_csvs(spark, sf, f"{base}/call_logs")
-    return objects_by_prefix(list_objects(spark, base), ["call_logs", "agents"])
+    _write_a_file_a_day(spark, sf, f"{base}/call_logs")
+    found = verify_landing(spark, base, prefixes=["call_logs", "agents"])["summary"]
+    return found.select("prefix", "objects", (F.col("bytes") > 0).alias("has_bytes"), "empty")
+
+
+@register("landing_samples", """
+with d as (select distinct strftime(ts, '%Y-%m-%d') as day from events)
+(select 'first_objects' as what, day, true as sized from d order by day limit 5)
+union all
+(select 'first_match', day, true from d where day like '2024-01-1%' order by day limit 1)
+""")
+def q_landing_samples(spark, sf):
+    """The first objects under a prefix and the first object
+    whose path holds a text, with their size in MB."""
+    base = scratch_path(spark, "samples")
+    _write_a_file_a_day(spark, sf, f"{base}/call_logs")
+    listing = list_objects(spark, base)
+    day = F.regexp_extract("rel_path", "d=([0-9-]+)", 1)
+    cols = [day.alias("day"), (bytes_to_mb("length") > 0).alias("sized")]
+    first = first_objects(listing, "call_logs", 5).select(F.lit("first_objects").alias("what"), *cols)
+    return first.unionByName(first_match(listing, ["D=2024-01-1"]).select(F.lit("first_match").alias("what"), *cols))
+
+
+@register("file_discovery", """
+select 'csv files' as how, n_name as name from nation
+union all select 'csv and json files', n_name from nation
+union all select 'csv and json files', r_name from region
+""")
+def q_file_discovery(spark, sf):
+    """A folder of CSV, JSON and other files; the CSV files alone,
+    then all that landing takes."""
+    base = scratch_path(spark, "discovery")
+    table(spark, sf, "nation").select(F.col("n_name").alias("name")).write.options(**_CSV_OUT).mode("append").csv(f"{base}/in")
+    table(spark, sf, "region").select(F.col("r_name").alias("name")).write.mode("append").json(f"{base}/in")
+    table(spark, sf, "region").select(F.col("r_name").alias("value")).write.mode("append").text(f"{base}/in")
+    only = read_csv_files(spark, extract_csv_files(spark, f"{base}/in", name_contains="PART"))
+    every = read_landing_files(spark, fetch_files(spark, f"{base}/in"))
+    return (only.select(F.lit("csv files").alias("how"), "name")
+            .unionByName(every.select(F.lit("csv and json files").alias("how"), "name")))
+
+
+@register("warehouse_sql", """
+select s_nationkey::varchar as state, count(*)::bigint as n from supplier group by all
+""")
+def q_warehouse_sql(spark, sf):
+    """S22/K12 append: rows appended by name, then warehouse SQL over them."""
+    base = scratch_path(spark, "warehouse-sql")
+    wh = _warehouse(spark, base)
+    wh.setup(("raw",))
+    name = wh.table_name("raw", "agents")
+    wh.create_table(name, AGENTS)
+    agents = standins.agents(spark, sf)
+    wh.load_by_name(agents.where("cast(id as int) % 2 = 0"), name, mode="append")
+    wh.load_by_name(agents.where("cast(id as int) % 2 <> 0"), name, mode="append")
+    return wh.sql(f"select state, count(*) as n from {name} group by state")
+
+
+@register("padded_parts", """
+select strftime(o_orderdate, '%Y') as year, strftime(o_orderdate, '%m') as month, strftime(o_orderdate, '%d') as day,
+       count(*)::bigint as n from orders group by all
+""")
+def q_padded_parts(spark, sf):
+    """Zero-padded date parts of every order."""
+    o = table(spark, sf, "orders").select(*date_parts(F.col("o_orderdate"), padded=True))
+    return rows_by(o, ["year", "month", "day"])
+
+
+@register("scan_ordered", """
+select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 25
+""")
+def q_scan_ordered(spark, sf):
+    """L3: an ordered read with a limit (a top-k report)."""
+    return read_projection(table(spark, sf, "orders"), ["o_orderkey", "o_totalprice"],
+                           order_by=[F.desc("o_totalprice"), "o_orderkey"], limit=25)
 
 
 @register("json_landing", """
