@@ -156,8 +156,9 @@ def test_bpe_equals_the_library(spark):
         assert got[i].decoded == t.decode(ids, skip_special_tokens=False)
 
 
-def test_bpe_cache_limit_changes_nothing(monkeypatch):
+def test_bpe_limits_change_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(bpe, "PART", 11)
     b, t = bpe.ByteBpe(bpe.public_vocabulary()), library()
     text = "Some words come again, some words don't; all words count."
     assert np.frombuffer(b.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
@@ -265,6 +266,21 @@ def test_suffix_dedup_odd_rows(spark):
     assert suffix_dedup.remove_repeats(docs_of(spark, plain(rows)).limit(0)).collect() == []
 
 
+def test_suffix_dedup_long_text(spark):
+    rng = np.random.default_rng(9)
+    text = rng.integers(97, 123, 2_500_000, dtype=np.uint8).tobytes().decode()      # in several parts
+    rows = [(1, text), (2, "xyz" + text + "w"), (3, text[1_000_000:1_100_000])]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs_of(spark, plain(rows))).collect()}
+    assert got == {1: (0, 0), 2: (len(text), 1), 3: (100_000, 1)}
+
+
+def test_removed_spans():
+    pack = lambda s, n: suffix_dedup._pack(np.array(s), np.array(n), 0)
+    at, what = pack([0, 100, 300, 500, 501], [1, 1, 5, 3, 1]), np.array([0, 0, 0, 2, 3])
+    assert suffix_dedup.removed_spans(at, what) == [(0, 200), (300, 404), (500, 602)]
+    assert suffix_dedup.removed_spans(at[:0], what[:0]) == []
+
+
 # --- op7 ----------------------------------------------------------------------------------------
 
 def test_iblt_versions(spark):
@@ -388,6 +404,14 @@ def test_thresholds_are_enough(distance):
     assert sum(thresholds) == distance - len(groups) + 1
 
 
+def test_simhash_of_a_long_text_in_parts(monkeypatch):
+    rnd = random.Random(1)
+    text = " ".join("".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 9))) for _ in range(3000)) + "\n\n  tail of it "
+    whole = simhash.simhash(text)
+    monkeypatch.setattr(simhash, "PART", 100)
+    assert simhash.simhash(text) == whole
+
+
 def test_simhash_values_and_odd_rows(spark):
     import xxhash
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CERTAIN = re.compile(f"(?<=[^{WHITE}]) ")
 FRAGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # White space other than single blanks and single line breaks between visible characters.
 ODD_PAIRS = ("  ", " \n", "\n ", "\n\n")
@@ -34,6 +35,7 @@ ODD_ASCII = "\t\x0b\x0c\r"
 ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
+PART = 1 << 18                # characters of a text that are cut into fragments at once
 CACHED_LENGTH = 64            # longer fragments are cut further and encoded each time
 NO_SPECIAL: set[str] = set()
 
@@ -182,16 +184,26 @@ class ByteBpe:
             opening = self.break_led
         return b"".join(out)
 
+    def _encode_long(self, text: str) -> bytes:
+        """A long text in parts of about ``PART`` characters, each cut where a blank follows a visible character."""
+        out, at = [], 0
+        while at < len(text):
+            cut = CERTAIN.search(text, at + PART) if len(text) - at > PART else None
+            end = cut.start() if cut else len(text)
+            out.append(self._encode_plain(text[at:end]))
+            at = end
+        return b"".join(out)
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, packed as little-endian unsigned 32-bit words."""
         if self.special_at is None or not any(s in text for s in self.special):
-            return self._encode_plain(text)
+            return self._encode_plain(text) if len(text) <= PART else self._encode_long(text)
         out = []
         for part in self.special_at.split(text):
             if part in self.special:
                 out.append(np.asarray([self.special[part]], "<u4").tobytes())
             else:
-                out.append(self._encode_plain(part))
+                out.append(self._encode_long(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

@@ -31,25 +31,36 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import shuffle_width, stage
 
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
+BLANK = re.compile("[\\x20\\x09-\\x0D]")
 LOWER = {c: c + 32 for c in range(65, 91)}
 BLOCK = 2048          # fingerprints of a bucket compared in one block
-_HASHES = 1 << 16     # shingle hashes whose bits are counted at once
+PART = 1 << 18        # characters of a text whose words are held at once
 
 
 def simhash(text: str | None, k: int = 4) -> int:
     """64-bit fingerprint of all ``k``-word shingles, repeats included.
 
     A-Z are lower-cased; fewer than ``k`` words: the whole sequence; no word
-    (or null): zero.  Memory is bounded by the words of one text."""
-    words = WORD.findall((text or "").translate(LOWER))
-    if not words:
-        return 0
-    n = max(1, len(words) - k + 1)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, _HASHES):
-        hashes = np.array([xxhash.xxh64_intdigest(" ".join(words[i:i + k]), 42) for i in range(at, min(n, at + _HASHES))], ">u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+    (or null): zero.  Words of a part of ``PART`` characters are held at once."""
+    text = (text or "").translate(LOWER)
+    counts, n, words, at = np.zeros(64, np.int64), 0, [], 0
+
+    def count(shingles):
+        hashes = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], ">u8")
+        counts[:] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        return len(shingles)
+
+    while at < len(text):                       # a long text in parts that end between words
+        cut = BLANK.search(text, at + PART) if len(text) - at > PART else None
+        end = cut.start() if cut else len(text)
+        words += WORD.findall(text, at, end)
+        if len(words) >= k:
+            n += count([" ".join(words[i:i + k]) for i in range(len(words) - k + 1)])
+            words = words[len(words) - k + 1:]
+        at = end
+    if not n and words:
+        n = count([" ".join(words)])
+    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big") if n else 0
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4) -> DataFrame:

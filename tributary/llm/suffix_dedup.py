@@ -33,7 +33,7 @@ from .common import shuffle_width, stage
 DEPTH = 100
 GRAM = 24            # bytes of an anchor
 GROUP = 1024         # different runs under one anchor that a task sorts together
-SLAB = 4 << 20       # bytes of text whose anchors are found at once
+SLAB = 1 << 20       # bytes of text whose anchors are found at once
 WINDOWS = 500_000    # strings a task sorts at once
 DUP, CONTESTED, HOT, FIRST = 0, 1, 2, 3
 
@@ -57,7 +57,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, SLAB + 4096)
+            n = max(n, SLAB + 4096)         # no slab is longer
             self.up, self.down = _powers(self.base, n), _powers(self.inverse, n)
         return self.up, self.down
 
@@ -102,16 +102,27 @@ def anchored_runs(buf: np.ndarray, ends: np.ndarray, depth: int = DEPTH, gram: i
     return first, last - first + 1, anchor[first] - first, grams[anchor[first]], run
 
 
-def _slabs(texts: list[bytes]):
-    """Consecutive texts of about ``SLAB`` bytes together: first index, buffer, ends."""
-    at = 0
-    while at < len(texts):
-        size, stop = 0, at
-        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= SLAB):
-            size += len(texts[stop])
-            stop += 1
-        yield at, np.frombuffer(b"".join(texts[at:stop]), np.uint8), np.cumsum([len(t) for t in texts[at:stop]])
-        at = stop
+def _slabs(texts: list[bytes], depth: int):
+    """Texts in slabs of about ``SLAB`` bytes: of each part its text's index and its
+    place there, the buffer, and where each part ends.  A long text comes in
+    parts that overlap by ``depth - 1`` bytes, so that each string starts in
+    one of them; a run that is cut so is only compared under its anchor."""
+    parts, size = [], 0
+
+    def slab():
+        index, place = (np.array([p[i] for p in parts], np.int64) for i in (0, 1))
+        return index, place, np.frombuffer(b"".join(p[2] for p in parts), np.uint8), np.cumsum([len(p[2]) for p in parts])
+
+    for i, text in enumerate(texts):
+        for place in range(0, max(len(text) - depth + 1, 0), SLAB):
+            part = text[place:place + SLAB + depth - 1]
+            if parts and size + len(part) > SLAB:
+                yield slab()
+                parts, size = [], 0
+            parts.append((i, place, part))
+            size += len(part)
+    if parts:
+        yield slab()
 
 
 def _pack(start, n, ahead):
@@ -134,11 +145,11 @@ def _runs_of(batches, depth, gram):
     for b in batches:
         ids, tags, texts = b.column(0).to_numpy(), b.column(2).to_numpy(), _raw(b.column(1))
         found = []
-        for lo, buf, ends in _slabs(texts):
+        for index, place, buf, ends in _slabs(texts, depth):
             first, n, ahead, h, r = anchored_runs(buf, ends, depth, gram)
-            doc = np.searchsorted(ends, first, "right")
-            begin = np.concatenate([[0], ends[:-1]])[doc]
-            found.append((ids[lo + doc], tags[lo + doc], _pack(first - begin, n, ahead), h.view(np.int64), r.view(np.int64)))
+            part = np.searchsorted(ends, first, "right")
+            begin = np.concatenate([[0], ends[:-1]])[part]
+            found.append((ids[index[part]], tags[index[part]], _pack(first - begin + place[part], n, ahead), h.view(np.int64), r.view(np.int64)))
         if not found:
             continue
         i, t, at, h, r = (np.concatenate(x) for x in zip(*found))
@@ -375,20 +386,21 @@ def _told_apart(df: DataFrame, id_col: str, text_col: str):
     return took, F.shiftrightunsigned(F.xxhash64(text_col), 33).cast("int") if repeated else F.lit(0)
 
 
-def removed_spans(n_bytes: int, at: np.ndarray, what: np.ndarray, depth: int = DEPTH) -> list[tuple[int, int]]:
+def removed_spans(at: np.ndarray, what: np.ndarray, depth: int = DEPTH) -> list[tuple[int, int]]:
     """Maximal removed runs ``[from, to)`` of a text from what was found of its strings."""
     start, n, _ = _unpack(at)
-    again = np.zeros(n_bytes + 1, np.int64)
-    gone = (what == DUP) | (what == HOT)
-    np.add.at(again, start[gone], 1)
-    np.add.at(again, start[gone] + n[gone], -1)
-    again = np.cumsum(again) > 0
-    again[start[what == FIRST]] = False
-    starts = np.nonzero(again)[0]
-    if not len(starts):
+    hot = what == HOT
+    single = np.repeat(start[hot], n[hot]) + np.arange(n[hot].sum()) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
+    single = np.setdiff1d(single, start[what == FIRST])
+    start = np.concatenate([start[what == DUP], single])
+    if not len(start):
         return []
-    split = np.nonzero(np.diff(starts) > depth)[0] + 1
-    return [(int(s[0]), int(s[-1]) + depth) for s in np.split(starts, split)]
+    end = np.concatenate([start[:(what == DUP).sum()] + n[what == DUP], single + 1]) + depth - 1
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    opens = np.concatenate([[0], np.nonzero(start[1:] > reach[:-1])[0] + 1])
+    closes = np.concatenate([opens[1:] - 1, [len(start) - 1]])
+    return [(int(a), int(b)) for a, b in zip(start[opens], reach[closes])]
 
 
 def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -443,7 +455,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 spans = []
                 if f.is_valid and len(f):
                     v = f.values
-                    spans = removed_spans(len(raw), v.field("at").to_numpy(), v.field("what").to_numpy(), depth)
+                    spans = removed_spans(v.field("at").to_numpy(), v.field("what").to_numpy(), depth)
                 kept = without(raw, spans)
                 told = text if not spans else without(raw, whole_characters(raw, spans)).decode("utf-8", "replace")
                 for o, x in zip(out, (len(raw), len(raw) - len(kept), len(spans), kept, told)):
