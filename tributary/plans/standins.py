@@ -15,32 +15,15 @@ no shuffle.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.dates import date_parts
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table, opened once per session (its schema is read from
-    the Parquet footer on first use).  A local file that changes is
-    re-opened."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        stamp = os.stat(path).st_mtime_ns if "://" not in path else None
-    except OSError:
-        stamp = None
-    key = (id(spark), path, stamp)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """A supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Derived values, the same text in Spark SQL and in the oracles: an agent's key
