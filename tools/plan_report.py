@@ -41,7 +41,8 @@ def summarize(text: str) -> dict:
 
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from tributary.plans import roundtrips  # noqa: F401  (registers the round-trip queries)
+    from tributary.plans.registry import QUERIES
     from tributary.session import build_session
     spark = build_session("local[8]", shuffle_partitions=8,
                           extra_conf={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
@@ -52,7 +53,7 @@ def main(argv):
     print("step of global aggregates (one partial row per task), never a window over all rows.\n")
     print("| query | shuffles | broadcasts | window | sort agg | scans | scans with pushed filters |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = summarize(explain(fn(spark, sf)))
         print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {'yes' if s['window'] else '-'} | "
               f"{'yes' if s['sort_aggregate'] else '-'} | {s['scans']} | {s['pushed']} |")
