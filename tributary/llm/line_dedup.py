@@ -152,10 +152,10 @@ def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", tex
     more columns, ``n_lines`` and ``n_dropped``; a null text stays null (one empty line)."""
     names = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     df = df.select(*names)
-    b = bitmaps.select(F.col("id").alias("_id"), F.col("tk").alias("_tk"), F.col("keep").alias("_keep"))
-    joined = (df.withColumn("_key", F.xxhash64(text_col))
-              .join(b, (F.col(id_col) == F.col("_id")) & (F.col("_key") == F.col("_tk")), "left")
-              .select(*names, "_keep"))
+    b = bitmaps.select(F.col("id").alias("__tributary_id"), F.col("tk").alias("__tributary_tk"), F.col("keep").alias("__tributary_keep"))
+    joined = (df.withColumn("__tributary_key", F.xxhash64(text_col))
+              .join(b, (F.col(id_col) == F.col("__tributary_id")) & (F.col("__tributary_key") == F.col("__tributary_tk")), "left")
+              .select(*names, "__tributary_keep"))
     at = names.index(text_col)
 
     def cut(batches):

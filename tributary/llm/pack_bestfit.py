@@ -108,8 +108,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", or
     """``pieces`` with ``sequence_id`` and ``offset``: as few sequences of at
     most ``capacity`` as best fit finds, each filled gapless from 0.
 
-    ``length_col`` holds 1 to ``capacity``; other values (null, 0, too long)
-    raise.  Ties (pieces of one length) are numbered by ``order_by`` within a
+    Rows whose ``length_col`` is not 1 to ``capacity`` (null, 0, too long) have
+    no place: both columns are null.  Ties (pieces of one length) are numbered by ``order_by`` within a
     hash bucket of it; fully equal rows get different places in any order.  No
     rows: no sequences.  Columns of the names ``sequence_id`` and ``offset``
     in the input are replaced.  No task sees more than its share of a length: the buckets split a length that
@@ -119,20 +119,20 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", or
     kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     pieces = pieces.select(*kept)
     n_buckets = max(64, 4 * shuffle_width(spark))
-    bad = (F.col(length_col).isNull() | (F.col(length_col) < 1) | (F.col(length_col) > capacity))
-    checked = F.when(bad, F.raise_error(F.lit(f"a piece must hold 1 to {capacity} tokens"))).otherwise(F.col(length_col))
-    staged = stage(pieces.withColumn("_bucket", F.pmod(F.xxhash64(*order_by), F.lit(n_buckets)).cast("int"))
-                   .withColumn("_length", checked.cast("int")), "pack")
+    checked = F.when(F.col(length_col).between(1, capacity), F.col(length_col))
+    written = stage(pieces.withColumn("__tributary_bucket", F.pmod(F.xxhash64(*order_by), F.lit(n_buckets)).cast("int"))
+                   .withColumn("__tributary_length", checked.cast("int")), "pack")
+    staged = written.where(F.col("__tributary_length").isNotNull())
     # the pieces of each length before each bucket: lengths x buckets rows at most
-    per_bucket = staged.groupBy("_length", "_bucket").agg(F.count("*").alias("n"))
-    counts = {r["_length"]: r["n"] for r in per_bucket.groupBy("_length").agg(F.sum("n").alias("n")).collect()}
+    per_bucket = staged.groupBy("__tributary_length", "__tributary_bucket").agg(F.count("*").alias("n"))
+    counts = {r["__tributary_length"]: r["n"] for r in per_bucket.groupBy("__tributary_length").agg(F.sum("n").alias("n")).collect()}
     before = per_bucket.select(
-        "_length", "_bucket",
-        (F.sum("n").over(Window.partitionBy("_length").orderBy("_bucket")) - F.col("n")).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_bucket", "_length").orderBy(*order_by))
-    ranked = (staged.withColumn("_within", within)
-              .join(before, ["_bucket", "_length"])
-              .withColumn("_rank", F.col("_before") + F.col("_within") - 1))
+        "__tributary_length", "__tributary_bucket",
+        (F.sum("n").over(Window.partitionBy("__tributary_length").orderBy("__tributary_bucket")) - F.col("n")).alias("__tributary_before"))
+    within = F.row_number().over(Window.partitionBy("__tributary_bucket", "__tributary_length").orderBy(*order_by))
+    ranked = (staged.withColumn("__tributary_within", within)
+              .join(before, ["__tributary_bucket", "__tributary_length"])
+              .withColumn("__tributary_rank", F.col("__tributary_before") + F.col("__tributary_within") - 1))
     plan = plan_packing(counts, capacity)
     by_length: dict[int, np.ndarray] = {}
     for row in plan:
@@ -141,7 +141,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", or
 
     def places(batches):
         for b in batches:
-            length, rank = b.column("_length").to_numpy(), b.column("_rank").to_numpy()
+            length, rank = b.column("__tributary_length").to_numpy(), b.column("__tributary_rank").to_numpy()
             seq, off = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
             for n in np.unique(length):
                 at = np.nonzero(length == n)[0]
@@ -154,7 +154,9 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", or
                                              names=[*kept, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
-    return ranked.select(*kept, "_length", "_rank").mapInArrow(places, schema)
+    placed = ranked.select(*kept, "__tributary_length", "__tributary_rank").mapInArrow(places, schema)
+    none = F.lit(None).cast("long")
+    return placed.unionByName(written.where(F.col("__tributary_length").isNull()).select(*kept, none.alias("sequence_id"), none.alias("offset")))
 
 
 def packed_sequences(placed: DataFrame) -> DataFrame:

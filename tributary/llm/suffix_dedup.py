@@ -440,9 +440,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = [c for c in df.columns if c not in new]
     _, tag = _told_apart(df, id_col, text_col)
     found = repeated_strings(df, id_col, text_col, depth, gram, group, tag)
-    joined = (df.select(*names).withColumn("_own", F.when(F.col(text_col).isNotNull(), tag))
-              .join(found.toDF("_id", "_tag", "_found"), (F.col(id_col).cast("long") == F.col("_id")) & (F.col("_own") == F.col("_tag")), "left")
-              .select(*names, "_found"))
+    joined = (df.select(*names).withColumn("__tributary_own", F.when(F.col(text_col).isNotNull(), tag))
+              .join(found.toDF("__tributary_id", "__tributary_tag", "__tributary_found"), (F.col(id_col).cast("long") == F.col("__tributary_id")) & (F.col("__tributary_own") == F.col("__tributary_tag")), "left")
+              .select(*names, "__tributary_found"))
     at = names.index(text_col)
 
     def cut(batches):
