@@ -12,8 +12,11 @@ def test_json_objects_without_flattening_and_scalar_values(spark, tmp):
     nested = write(f"{tmp}/n.json", json.dumps({"r1": {"a": 1, "b": {"c": 2}}}))
     keep = jsonsrc.read_json_files(spark, [nested], flatten_nested=False)
     assert "b" in keep.columns and keep.first().b.c == "2"
-    scalars = write(f"{tmp}/s.json", json.dumps({"x": 1, "y": 2}))
+    scalars = write(f"{tmp}/s.json", json.dumps({"x": 1, "y": 2}, indent=1))
     assert sorted(r.value for r in jsonsrc.read_json_files(spark, [scalars]).collect()) == ["1", "2"]
+    # on one line, an object with values that are no objects is one JSON Lines record
+    line = write(f"{tmp}/l.json", json.dumps({"x": 1, "y": 2}))
+    assert [(r.x, r.y) for r in jsonsrc.read_json_files(spark, [line]).collect()] == [("1", "2")]
 
 
 def test_sheet_tabs_by_name_and_index(spark, tmp):

@@ -12,8 +12,9 @@ first non-blank character (sniffed in parallel, see ``files.sniff_files``):
   ``{"col": {"row": value}}`` (the layout dataframe libraries write by
   default), pivoted back to rows.
 * scalar — one row with the value in column ``value``.
-* JSON Lines (a whole object on the first line, more lines after) — one
-  record per line, read by Spark's line-mode JSON reader (splittable).
+* JSON Lines (a whole object on the first line and more lines after, or one
+  object on one line of which some value is not an object) — one record per
+  line, read by Spark's line-mode JSON reader (splittable).
 
 Values land as text so shapes and files union without type clashes
 (fact F2).  A JSON document is not splittable: each file is parsed by one
