@@ -33,8 +33,9 @@ from .common import shuffle_width, stage
 DEPTH = 100
 GRAM = 24            # bytes of an anchor
 GROUP = 1024         # different runs under one anchor that a task sorts together
-SLAB = 1 << 20       # bytes of text whose anchors are found at once
-WINDOWS = 500_000    # strings a task sorts at once
+SLAB = 1 << 18       # bytes of text whose anchors are found at once
+ROWS = 1000          # texts whose runs are held at once
+WINDOWS = 250_000    # strings a task sorts at once
 DUP, CONTESTED, HOT, FIRST = 0, 1, 2, 3
 
 _rng = np.random.default_rng(6)
@@ -141,8 +142,8 @@ _NAMES = ["settled", "b", "r", "id", "tag", "at"]
 
 
 def _runs_of(batches, depth, gram):
-    """A row per run; one whose equal comes before it in the same batch is settled on the spot."""
-    for b in batches:
+    """A row per run; one whose equal comes before it in the same ``ROWS`` texts is settled on the spot."""
+    for b in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
         ids, tags, texts = b.column(0).to_numpy(), b.column(2).to_numpy(), _raw(b.column(1))
         found = []
         for index, place, buf, ends in _slabs(texts, depth):
