@@ -222,6 +222,19 @@ def test_pack_documents(spark):
     assert pack_bestfit.pack(pieces.limit(0), 1024).collect() == []
 
 
+def test_pack_rows_without_a_length(spark):
+    df = spark.createDataFrame([(1, 0, None, 9), (2, 0, 0, 9), (3, 0, 2000, 9), (4, 0, 1024, 9), (5, 0, 1, 9)], "doc_id long, piece int, length long, _bucket int")
+    got = {r.doc_id: (r.sequence_id, r.offset, r._bucket) for r in pack_bestfit.pack(df).collect()}
+    assert [got[i][:2] for i in (1, 2, 3)] == [(None, None)] * 3 and {v[2] for v in got.values()} == {9}
+    assert got[4][1] == got[5][1] == 0 and got[4][0] != got[5][0]
+
+
+def test_own_columns_survive_clashing_names(spark):
+    df = spark.createDataFrame([(1, "x" * 150, "a", 1), (2, "x" * 150, "b", 2)], "doc_id long, text string, _key string, _found int")
+    assert sorted((r._key, r._found) for r in line_dedup.drop_repeated_lines(df).collect()) == [("a", 1), ("b", 2)]
+    assert sorted((r._key, r._found) for r in suffix_dedup.remove_repeats(df).collect()) == [("a", 1), ("b", 2)]
+
+
 # --- op6 ----------------------------------------------------------------------------------------
 
 def brute_repeats(rows, depth):
@@ -293,7 +306,7 @@ def test_iblt_versions(spark):
         nxt = order[(j + 1) % len(order)][1]
         k = len(t) // 3
         edited = t[:len(t) - k] + nxt[:k]
-        own, edit, follow = (set(re.findall(r"[^\n]{1,%d}" % iblt.PIECE, x)) for x in (t, edited, nxt))
+        own, edit, follow = (set(re.findall(r"[^\n]{1,%d}" % iblt.HEAD_PIECE, x[:iblt.HEAD]) + re.findall(r"[^\n]{1,%d}" % iblt.PIECE, x[iblt.HEAD:])) for x in (t, edited, nxt))
         like = [1 - len(own ^ x) / (len(own) + len(x)) if own or x else 1.0 for x in (edit, follow)]
         r = got[i]
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())

@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import shuffle_width, stage, ship_package
 
 PIECE = 160            # code points of a paragraph's piece
+HEAD, HEAD_PIECE = 160, 16          # a text's first code points come in smaller pieces, so that short texts have several
 CELLS = 8              # cells of each of the three parts of a fingerprint
 ROUNDS = 12            # peeling rounds before a sketch counts as too small
-SMALL = 64             # digests of two texts together that one row peels
+SMALL = 80             # digests of two texts together that one row peels
 PART = 16              # digests of two texts together in one part of a larger sketch, on average
 RETRIES = (16, 32, 64, 128, 256)    # cells a part of the larger sketches, in turn
 
@@ -29,11 +30,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def digests(text: str | Column, piece: int = PIECE) -> Column:
+def digests(text: str | Column) -> Column:
     """The set of paragraph digests of a text; null or empty: the empty set."""
     t = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    pieces = F.regexp_extract_all(t, F.lit("[^\\n]{1,%d}" % piece), F.lit(0))
-    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
+
+    def pieces(part, size):
+        return F.regexp_extract_all(part, F.lit("[^\\n]{1,%d}" % size), F.lit(0))
+
+    every = F.concat(pieces(F.substring(t, 1, HEAD), HEAD_PIECE), pieces(F.substring(t, HEAD + 1, 2 ** 31 - 1), PIECE))
+    return F.array_distinct(F.transform(every, lambda x: F.xxhash64(x)))
 
 
 def _entry(x: Column, sign: Column, cells: int) -> Column:
@@ -88,16 +93,15 @@ def written(cells: Column) -> Column:
         F.lpad(F.hex(c["n"].cast("long")), 4, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["s"]), 16, "0")))))
 
 
-def differing(pairs: DataFrame, key: str = "key", a: str = "a", b: str = "b", sketch_a: str | None = None, sketch_b: str | None = None) -> DataFrame:
+def differing(pairs: DataFrame, key: str = "key", a: str = "a", b: str = "b") -> DataFrame:
     """``key``, ``n_different``: digests in one set of a pair and not the other.
 
-    ``pairs`` has unique keys and two digest arrays (sets), and may bring
-    their fingerprint sketches.  First the fingerprints are subtracted and
-    peeled; then a larger sketch in the same row where the sets are small;
+    ``pairs`` has unique keys and two digest arrays (sets).  First their
+    fingerprints are subtracted and peeled; then a larger sketch in the same row where the sets are small;
     else one in parts, each with about ``PART`` digests, peeled apart and
     retried larger on its own.  A part that no retry peels is compared digest
     by digest."""
-    first = peel(subtract(F.col(sketch_a) if sketch_a else sketch(F.col(a)), F.col(sketch_b) if sketch_b else sketch(F.col(b))), CELLS)
+    first = peel(subtract(sketch(F.col(a)), sketch(F.col(b))), CELLS)
     total = F.size(a) + F.size(b)
     again = F.when(total <= SMALL, peel(subtract(sketch(F.col(a), 4 * CELLS), sketch(F.col(b), 4 * CELLS)), 4 * CELLS))
     tried = stage(pairs.select(F.col(key).alias("key"), F.coalesce(first, again).alias("found"), F.col(a).alias("a"), F.col(b).alias("b"))
@@ -179,11 +183,10 @@ def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                  .select("key", "id", text.alias("text"), "next", n.cast("long").alias("n_chars"), edited.alias("edited"))
                  .select("key", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                          digests("text").alias("own"), digests("edited").alias("edit"), digests("next").alias("follow")), "iblt-digests")
-    marked = stage(rows.withColumns({f"{c}_sketch": sketch(F.col(c)) for c in ("own", "edit", "follow")}), "iblt-sketches")
-    pairs = marked.select(F.explode(F.array(*(F.struct((F.col("key") * 2 + i).alias("key"), F.col("own").alias("a"), F.col(c).alias("b"),
-                                                         F.col("own_sketch").alias("sa"), F.col(f"{c}_sketch").alias("sb"))
-                                              for i, c in enumerate(("edit", "follow"))))).alias("p")).select("p.*")
-    counted = differing(pairs, "key", "a", "b", "sa", "sb")
+    # sketches are made where they are used: staged, they would take more disk than the digests
+    pairs = rows.select(F.explode(F.array(*(F.struct((F.col("key") * 2 + i).alias("key"), F.col("own").alias("a"), F.col(c).alias("b"))
+                                            for i, c in enumerate(("edit", "follow"))))).alias("p")).select("p.*")
+    counted = differing(pairs)
     by_row = (counted.groupBy(F.shiftright("key", 1).alias("key"))
               .agg(F.max(F.when(F.col("key") % 2 == 0, F.col("n_different"))).alias("d_edit"), F.max(F.when(F.col("key") % 2 == 1, F.col("n_different"))).alias("d_follow")))
 
@@ -191,6 +194,6 @@ def versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         total = F.size("own") + F.size(other)
         return F.when(total == 0, F.lit(1.0)).otherwise(1 - F.col(d) / total)
 
-    return (marked.join(by_row, "key")
-            .select("id", "n_chars", "edited_sha256", written(F.col("own_sketch")).alias("fingerprint"), written(F.col("edit_sketch")).alias("edited_fingerprint"),
+    return (rows.join(by_row, "key")
+            .select("id", "n_chars", "edited_sha256", written(sketch(F.col("own"))).alias("fingerprint"), written(sketch(F.col("edit"))).alias("edited_fingerprint"),
                     likeness("d_edit", "edit").alias("near_edited"), likeness("d_follow", "follow").alias("near_next")))
