@@ -279,6 +279,37 @@ def test_suffix_dedup_odd_rows(spark):
     assert suffix_dedup.remove_repeats(docs_of(spark, plain(rows)).limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("options", [{}, {"group": 1}, {"group": 4}])
+def test_suffix_dedup_rows_repeated_in_full(spark, options):
+    rnd = random.Random(8)
+    letters = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = letters(150)
+    once = [(1, letters(400)), (2, letters(70) + passage + letters(90)), (3, passage + letters(60)), (4, letters(80) + passage[:120]), (5, letters(99))]
+    rows = once + once[:2] * 40 + once * 2
+    got = suffix_dedup.remove_repeats(docs_of(spark, plain(rows)), **options).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)))
+    assert by == {i: {v} for i, v in brute_repeats(once, 100).items()}       # copies are cut alike, as the row alone is
+    assert [by[i] for i, t in once[:2]] == [{(len(t), 0, 0, t.encode())} for _, t in once[:2]]
+
+
+def test_suffix_dedup_many_texts_of_one_id(spark):
+    import xxhash
+
+    text = lambda i: "".join(hashlib.sha256(f"{i} {j}".encode()).hexdigest() for j in range(3))
+    seen = {}
+    for i in range(400_000):                  # two texts whose hashes share 31 bits
+        if (j := seen.setdefault(xxhash.xxh64_intdigest(text(i), 42) >> 33, i)) != i:
+            break
+    assert j != i
+    a, b = text(j), text(i)
+    rows = [(6, a), (6, b), (6, b), (7, "x" + a[20:180] + "y")]
+    got = suffix_dedup.remove_repeats(docs_of(spark, plain(rows))).collect()
+    assert sorted((r.doc_id, r.kept_text) for r in got) == sorted([(6, a), (6, b), (6, b), (7, "xy")])
+
+
 def test_suffix_dedup_long_text(spark):
     rng = np.random.default_rng(9)
     text = rng.integers(97, 123, 2_500_000, dtype=np.uint8).tobytes().decode()      # in several parts

@@ -222,7 +222,7 @@ def _settle(batches, group):
 def _strings(batches, depth, gram):
     """The bytes of contested runs under their anchor; of runs of hot anchors, digests of every string."""
     names = ["what", "g", "g2", "id", "tag", "at", "bytes"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def batch():
         done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
@@ -351,24 +351,28 @@ def _sort_groups(batches, depth):
             yield done
 
 
-def repeated_strings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, gram: int = GRAM, group: int = GROUP, tag=None) -> DataFrame:
+def repeated_strings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, gram: int = GRAM, group: int = GROUP, repeated: bool | None = None) -> DataFrame:
     """``id``, ``tag``, ``found`` (array of ``at``, ``what``) of every text with repeats; see :func:`remove_repeats`."""
     if not 16 <= gram <= depth - 8 or depth > 200:
         raise ValueError("16 <= gram <= depth - 8, depth <= 200")
     spark = df.sparkSession
     width = shuffle_width(spark)
-    took, tag = _told_apart(df, id_col, text_col) if tag is None else (_taking_part(df, id_col, text_col), tag)
-    texts = took.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), tag.alias("tag"))
-    runs = texts.mapInArrow(lambda bs: _runs_of(bs, depth, gram), "settled boolean, b long, r long, id long, tag int, at long")
+    if repeated is None:
+        repeated = _ids_repeat(df, id_col, text_col)
+    texts = (_taking_part(df, id_col, text_col)
+             .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _tag(text_col, repeated).alias("tag")))
+    if repeated:        # a row repeated in full must not count as a repeat of itself
+        texts = texts.dropDuplicates(["id", "tag"])
+    runs = texts.mapInArrow(lambda bs: _runs_of(bs, depth, gram), "settled boolean, b long, r long, id long, tag long, at long")
     known = stage(runs.repartition(width, "b").sortWithinPartitions("settled", "b", "r", "id", "tag", "at")
-                  .mapInArrow(lambda bs: _settle(bs, group), "id long, tag int, at long, what int"), "suffix-runs")
+                  .mapInArrow(lambda bs: _settle(bs, group), "id long, tag long, at long, what int"), "suffix-runs")
     # back to the texts of contested runs for their bytes
     open_runs = known.where(F.col("what") != DUP).groupBy("id", "tag").agg(F.collect_list(F.struct("at", "what")).alias("runs"))
     strings = stage(texts.join(open_runs, ["id", "tag"]).select("id", "text", "tag", "runs")
-                    .mapInArrow(lambda bs: _strings(bs, depth, gram), "what int, g long, g2 long, id long, tag int, at long, bytes binary"), "suffix-strings")
+                    .mapInArrow(lambda bs: _strings(bs, depth, gram), "what int, g long, g2 long, id long, tag long, at long, bytes binary"), "suffix-strings")
     sorted_out = stage(strings.where(F.col("what") == CONTESTED).select("g", "id", "tag", "at", "bytes")
                        .repartition(width, "g").sortWithinPartitions("g", "id", "tag", "at")
-                       .mapInArrow(lambda bs: _sort_groups(bs, depth), "id long, tag int, at long, what int"), "suffix-sorted")
+                       .mapInArrow(lambda bs: _sort_groups(bs, depth), "id long, tag long, at long, what int"), "suffix-sorted")
     firsts = (strings.where(F.col("what") == HOT).groupBy("g", "g2").agg(F.min(F.struct("id", "tag", "at")).alias("m"))
               .select("m.*", F.lit(FIRST).alias("what")))
     found = known.where(F.col("what") != CONTESTED).unionByName(sorted_out).unionByName(firsts)
@@ -379,12 +383,15 @@ def _taking_part(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
 
 
-def _told_apart(df: DataFrame, id_col: str, text_col: str):
-    """The rows that take part and the column that tells rows of one id apart:
-    0 unless some id has several rows, then taken from the text's hash."""
-    took = _taking_part(df, id_col, text_col)
-    repeated = took.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return took, F.shiftrightunsigned(F.xxhash64(text_col), 33).cast("int") if repeated else F.lit(0)
+def _ids_repeat(df: DataFrame, id_col: str, text_col: str) -> bool:
+    """Whether some id has several rows that take part."""
+    ids = _taking_part(df, id_col, text_col).groupBy(F.col(id_col).cast("long").alias("id"))
+    return bool(ids.agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
+
+
+def _tag(text_col: str, repeated: bool):
+    """The column that tells texts of one id apart: 64 bits of the text's hash, 0 where no id has several rows."""
+    return F.xxhash64(text_col) if repeated else F.lit(0).cast("long")
 
 
 def removed_spans(at: np.ndarray, what: np.ndarray, depth: int = DEPTH) -> list[tuple[int, int]]:
@@ -432,16 +439,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     which also starts earlier: in a smaller id, or earlier in the same text.
     Strings never cross texts and are judged on the input.  ``kept_text`` keeps
     a character that would only be lost in part.  Rows repeated in full are one
-    text (each is cut alike); rows with one id and different texts come in the
+    text, judged once (each is cut alike); rows with one id and different texts come in the
     order of a hash of the text.  A null text counts as empty (``kept_text``
     stays null); rows with a null id keep everything and take nothing from
     others.  No rows: no rows.  Columns named like the new ones are replaced.
     """
     new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
     names = [c for c in df.columns if c not in new]
-    _, tag = _told_apart(df, id_col, text_col)
-    found = repeated_strings(df, id_col, text_col, depth, gram, group, tag)
-    joined = (df.select(*names).withColumn("__tributary_own", F.when(F.col(text_col).isNotNull(), tag))
+    repeated = _ids_repeat(df, id_col, text_col)
+    found = repeated_strings(df, id_col, text_col, depth, gram, group, repeated)
+    joined = (df.select(*names).withColumn("__tributary_own", F.when(F.col(text_col).isNotNull(), _tag(text_col, repeated)))
               .join(found.toDF("__tributary_id", "__tributary_tag", "__tributary_found"), (F.col(id_col).cast("long") == F.col("__tributary_id")) & (F.col("__tributary_own") == F.col("__tributary_tag")), "left")
               .select(*names, "__tributary_found"))
     at = names.index(text_col)
