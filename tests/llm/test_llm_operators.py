@@ -472,6 +472,19 @@ def test_simhash_values_and_odd_rows(spark):
     assert simhash.near_duplicates(docs_of(spark, plain(ODD)).limit(0)).collect() == []
 
 
+def test_first_of_each_judges_every_text_of_an_id(spark):
+    rnd = random.Random(12)
+    a, b, c, d = (" ".join("".join(rnd.choice("abcdefg") for _ in range(6)) for _ in range(300)) for _ in range(4))
+    near = next(v for w in c.split() if 0 < (simhash.simhash(v := c.replace(w, "other")) ^ simhash.simhash(c)).bit_count() <= 4)
+    rows = [(1, b), (5, a), (5, b), (5, d), (9, a), (9, d), (3, c), (3, near), (3, near), (4, near), (None, a), (None, d), (6, None), (6, "")]
+    rows += [(5, b)] * 3 + [(5, d)] * 2
+    kept = sorted(((r.doc_id, r.text) for r in simhash.first_of_each(docs_of(spark, plain(rows))).collect()), key=str)
+    # 5 loses b to 1, and stays the first of a and of d; of 3's two near texts one stays, with its repeats
+    signed = lambda t: (v := simhash.simhash(t)) - (v >> 63 << 64)
+    want = [(1, b), (5, a), *[(5, d)] * 3, *([(3, c)] if signed(c) < signed(near) else [(3, near)] * 2), (None, a), (None, d), (6, None), (6, "")]
+    assert kept == sorted(want, key=str)
+
+
 # --- op10 ---------------------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):

@@ -28,13 +28,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import shuffle_width, stage
+from .common import shuffle_width, stage, text_key
 
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 BLANK = re.compile("[\\x20\\x09-\\x0D]")
 LOWER = {c: c + 32 for c in range(65, 91)}
 BLOCK = 2048          # fingerprints of a bucket compared in one block
 PART = 1 << 18        # characters of a text whose words are held at once
+KEY = ("__tributary_a", "__tributary_b")     # a text's hashes beside its fingerprint
 
 
 def simhash(text: str | None, k: int = 4) -> int:
@@ -63,16 +64,21 @@ def simhash(text: str | None, k: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big") if n else 0
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4) -> DataFrame:
-    """``id_col``, ``fp`` (the 64 bits as a signed long) per row of ``df``; a null text has fingerprint zero."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, with_key: bool = False) -> DataFrame:
+    """``id_col``, ``fp`` (the 64 bits as a signed long) per row of ``df``; a null text has fingerprint zero.
+
+    ``with_key``: also ``KEY``, the text's hashes."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             fps = np.array([simhash(t.as_py(), k) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), *b.columns[2:]], names=[id_col, "fp", *beside])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, fp long")
+    beside = list(KEY) if with_key else []
+    keys = [text_key(text_col)[part].alias(c) for c, part in zip(beside, "ab")]
+    return (df.select(F.col(id_col), F.col(text_col), *keys)
+            .mapInArrow(run, f"`{id_col}` {id_type}, fp long" + "".join(f", {c} long" for c in beside)))
 
 
 # --- the partition of the bits and its thresholds ----------------------------------------------
@@ -295,21 +301,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component but never name one (a component of null ids only has component
     null).  No rows: no rows.  Columns beside the two are not read.
     """
-    marked = stage(fingerprints(df, id_col, text_col, k), "simhash")
+    return _in_components(stage(fingerprints(df, id_col, text_col, k), "simhash"), id_col, distance).select(id_col, "fp", "component")
+
+
+def _in_components(marked: DataFrame, id_col: str, distance: int) -> DataFrame:
+    """``marked`` with ``component`` and ``first_fp``, the smallest fingerprint that the component's smallest id has in it."""
     classes = stage(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-classes")
     from .components import components
 
     roots = components(near_links(classes.select("fp"), distance))
     named = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    by_class = stage(named.select("fp", "root").join(least, "root").select("fp", "component"), "simhash-components")
-    return marked.join(by_class, "fp").select(id_col, "fp", "component")
+    first = F.min(F.when(F.col("least").isNotNull(), F.struct("least", "fp")))
+    least = named.groupBy("root").agg(first.alias("first")).select("root", F.col("first.least").alias("component"), F.col("first.fp").alias("first_fp"))
+    by_class = stage(named.select("fp", "root").join(least, "root").select("fp", "component", "first_fp"), "simhash-components")
+    return marked.join(by_class, "fp")
 
 
 def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``df`` whose id names their component: one document of each
-    group stays (all rows that repeat its id and fingerprint with it; of rows
-    without any id in their component, all stay)."""
-    marked = near_duplicates(df, id_col, text_col, k, distance)
-    gone = (marked.where(F.col(id_col) != F.col("component")).select(id_col).distinct())
-    return df.join(gone, id_col, "left_anti")
+    """One document of each component: the rows of ``df`` with its smallest id
+    and, of that id's fingerprints in the component, the smallest.
+
+    All rows that repeat that id and fingerprint stay; of rows without any id
+    in their component, all stay, as do all rows with a null id.  Each text of
+    an id is judged by its own component, whatever becomes of the id's others."""
+    marked = _in_components(stage(fingerprints(df, id_col, text_col, k, with_key=True), "simhash"), id_col, distance)
+    # the rows that go are told by id and the text's hashes, so that no fingerprint is made twice
+    gone = (marked.where(F.col(id_col).isNotNull() & ((F.col(id_col) != F.col("component")) | (F.col("fp") != F.col("first_fp"))))
+            .select(id_col, *KEY).distinct())
+    own = text_key(text_col)
+    return (df.withColumn(KEY[0], own["a"]).withColumn(KEY[1], own["b"])
+            .join(gone, [id_col, *KEY], "left_anti").drop(*KEY))
