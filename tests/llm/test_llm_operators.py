@@ -494,6 +494,14 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in told)
 
 
+def test_language_sample_of_repeated_and_letterless_rows(spark):
+    rows = [(i, f"erstes wort {i}", "de") for i in range(12)] + [(0, "erstes wort 0", "de")] * 4000
+    rows += [(100 + i, f"first word {i}", "en") for i in range(12)] + [(1000 + i, f"{i} 17 ...", "en") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = langid.learn_dictionaries(df, sample_rows=10)
+    assert {lang: len(set(d.split(b"\n"))) for lang, d in learned.items()} == {"de": 10, "en": 10}
+
+
 def test_language_odd_rows(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     dictionaries = langid.learn_dictionaries(docs)

@@ -41,9 +41,12 @@ def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The sample: of each language the ``sample_rows`` rows smallest by a hash of
     their id (every row is considered, on two narrow columns; which rows are
     taken doesn't depend on how the table is split); repeated rows of an id count once.  Rows without id, text or
-    label, or without a letter, teach nothing.  No labelled row: no language."""
-    known = df.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r["_lang"]: r["n"] for r in known.groupBy(F.col(lang_col).alias("_lang")).agg(F.count("*").alias("n"))
+    label, or without a letter in the first ``ROW_CHARS``, teach nothing.  No labelled row: no language."""
+    order = F.xxhash64(F.col(id_col), F.lit(10))
+    head = F.substring(F.col(text_col), 1, ROW_CHARS)
+    known = df.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & head.rlike(r"\p{L}"))
+    # ids that can teach; twice the sample passes the bound, so an estimate will do
+    sizes = {r["_lang"]: r["n"] for r in known.groupBy(F.col(lang_col).alias("_lang")).agg(F.approx_count_distinct(order).alias("n"))
              .limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -52,9 +55,8 @@ def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # rows under a hash bound that lets about twice the sample of each language through
     bound = F.create_map(*(F.lit(x) for lang, n in sizes.items()
                            for x in (lang, -(2.0 ** 63) + min(1.0, (2.0 * sample_rows + 50) / n) * 2.0 ** 64)))
-    order = F.xxhash64(F.col(id_col), F.lit(10))
     texts = (known.where(order <= F.element_at(bound, F.col(lang_col)))
-             .select(F.col(lang_col).alias("_lang"), order.alias("_order"), F.substring(F.col(text_col), 1, ROW_CHARS).alias("_t"))
+             .select(F.col(lang_col).alias("_lang"), order.alias("_order"), head.alias("_t"))
              .groupBy("_lang", "_order").agg(F.min("_t").alias("_t")).collect())
     parts: dict[str, list[bytes]] = {}
     for r in sorted(texts, key=lambda r: (r["_lang"], r["_order"])):
