@@ -194,10 +194,14 @@ class ByteBpe:
             at = end
         return b"".join(out)
 
+    def encode_plain(self, text: str) -> bytes:
+        """Ids of a whole text in which special tokens' strings are plain text."""
+        return self._encode_plain(text) if len(text) <= PART else self._encode_long(text)
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, packed as little-endian unsigned 32-bit words."""
         if self.special_at is None or not any(s in text for s in self.special):
-            return self._encode_plain(text) if len(text) <= PART else self._encode_long(text)
+            return self.encode_plain(text)
         out = []
         for part in self.special_at.split(text):
             if part in self.special:

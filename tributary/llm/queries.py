@@ -142,6 +142,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op11_vector_bin_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import encode_texts
+    from .vector_packing import pack_examples
+
+    return pack_examples(encode_texts(table(spark, sf_dir, "documents")), capacity=1024, max_segments=64, end_id=0)
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_alignment import align_and_count
+
+    return align_and_count(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=8).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
