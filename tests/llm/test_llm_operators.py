@@ -156,6 +156,38 @@ def test_bpe_equals_the_library(spark):
         assert got[i].decoded == t.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_of_whole_documents_by_forced_cuts(spark):
+    """Equal to the library on every document, and the table's cuts are what parts the words."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.public_vocabulary())
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode_texts(docs).collect()}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+    own = bpe.byte_bpe(bpe.public_vocabulary())
+    assert own.cut_at_blanks
+    blanks = sum(len(bpe.CERTAIN.findall(t)) for t in texts.values())
+    words = {w for t in texts.values() for w in t.split()}
+    pieces = {p for w in words for p in bpe.PIECES.findall(w)}
+    cuts = sum(len(list(own.forced_fragments(p.encode()))) - 1 for p in pieces)
+    assert blanks > 300_000 and cuts > 0
+    for p in pieces:
+        raw = p.encode()
+        parts = list(own.forced_fragments(raw))
+        assert b"".join(parts) == raw and all(pair in own.inside for x in parts for pair in zip(x, x[1:]))
+        assert all((x[-1], y[0]) not in own.inside for x, y in zip(parts, parts[1:]))
+
+
+def test_bpe_vocabulary_with_blanks_inside_tokens():
+    """Where a token may hold a blank after a letter nothing is cut at blanks."""
+    own = bpe.ByteBpe(bpe.public_vocabulary())
+    own.inside = own.inside | {(ord("a"), 32)}
+    assert not own.cut_at_blanks
+    text = "a b  c\n\nd it's \u00a0 1,234 " * 50
+    assert own.encode(text) == bpe.byte_bpe(bpe.public_vocabulary()).encode(text)
+
+
 def test_bpe_limits_change_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
     monkeypatch.setattr(bpe, "PART", 11)

@@ -2,18 +2,20 @@
 
 A merge can only build a token of the vocabulary, so between two bytes that
 stand side by side inside *no* token no merge ever reaches across: the cut
-there is certain.  The pre-tokenizer's boundary before white space that
-follows a visible character is certain in the same way (no alternative of its
-pattern holds a visible character followed by white space).  Texts are cut at
-all those places, every fragment is encoded on its own (each distinct one once
-per task, through a bounded cache) and the ids are concatenated.  The result
-equals the library's encoding of the whole text; tests hold both together.
+there is certain.  The vocabulary's table of inner pairs is made once; a text
+is first cut where the table allows no blank or line break after a visible
+byte (checked against the table, not assumed), and each word, after the
+pre-tokenizer's own boundaries, at every other pair that is not in it.
+Every fragment is merged on its own (each distinct word once per task, through
+a bounded cache) and the ids are concatenated.  The result equals the library's
+encoding of the whole text; tests hold both together.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 # The byte-level pre-tokenizer's pattern, and Unicode white space.
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)   # the same for ASCII texts
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CERTAIN = re.compile(f"(?<=[^{WHITE}]) ")
 FRAGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -36,8 +39,7 @@ ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 
 CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
 PART = 1 << 18                # characters of a text that are cut into fragments at once
-CACHED_LENGTH = 64            # longer fragments are cut further and encoded each time
-NO_SPECIAL: set[str] = set()
+CACHED_LENGTH = 64            # longer words are not remembered
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -99,8 +101,8 @@ class ByteBpe:
 
     @cached_property
     def core(self):
-        """tiktoken's pieces and merge loop for short fragments, where the file allows it: one
-        merge a token, in the order of the ids.  (None: :meth:`merge` does them all.)"""
+        """tiktoken's merge loop for one fragment, where the file allows it: one merge a
+        token, in the order of the ids.  (None: :meth:`merge` does them all.)"""
         made = [self.id_of[a + b] for a, b in self.rank]
         if made != sorted(set(made)) or len(made) + 256 != len(self.id_of) or any(bytes([x]) not in self.id_of for x in range(256)):
             return None
@@ -108,6 +110,14 @@ class ByteBpe:
 
         return tiktoken.Encoding("fragments", pat_str=PIECES.pattern, mergeable_ranks=self.id_of, special_tokens={})._core_bpe
 
+    @cached_property
+    def cut_at_blanks(self) -> bool:
+        """No token holds a blank or a line break after a byte that can't end white space: words part
+        there.  (After a visible character whose last byte also ends some white space, as of a
+        no-break blank, it is the pre-tokenizer that never joins the two.)"""
+        ends = {chr(c).encode()[-1] for c in range(0x3001) if chr(c).isspace()}
+        return not any(after in (10, 32) and before not in ends for before, after in self.inside)
+
     def forced_fragments(self, piece: bytes) -> Iterator[bytes]:
         """``piece`` cut between all byte pairs that no token holds."""
         inside, start = self.inside, 0
@@ -160,17 +170,28 @@ class ByteBpe:
         return [self.id_of[p] for p in parts if p]
 
     def encode_fragment(self, text: str) -> bytes:
-        if self.core and len(text) <= CACHED_LENGTH:
-            return bytes(self.core.encode_to_tiktoken_buffer(text, NO_SPECIAL))
-        ids: list[int] = []
-        for piece in PIECES.findall(text):
-            for fragment in self.forced_fragments(piece.encode()):
-                ids += self.core.encode_single_piece(fragment) if self.core and len(fragment) <= 200 else self.merge(fragment)
-        return np.asarray(ids, "<u4").tobytes()
+        """A word, or a run of text, through the pre-tokenizer, the table's cuts and the merges."""
+        if (text[1:] if text[:1] == " " else text).isalpha():          # letters alone are one piece
+            ids = self._merge_piece(text.encode())
+        else:
+            ids = []
+            for piece in (ASCII_PIECES if text.isascii() else PIECES).findall(text):
+                ids += self._merge_piece(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _merge_piece(self, raw: bytes) -> list[int]:
+        if self.inside.issuperset(zip(raw, raw[1:])):
+            return self._merge_fragment(raw)
+        return [i for fragment in self.forced_fragments(raw) for i in self._merge_fragment(fragment)]
+
+    def _merge_fragment(self, fragment: bytes) -> list[int]:
+        return self.core.encode_single_piece(fragment) if len(fragment) <= 200 and self.core else self.merge(fragment)
 
     def _encode_plain(self, text: str) -> bytes:
         """A text without special tokens.  Where white space only ever stands alone, every blank
         and line break opens a fragment; other texts are cut by pattern before runs of white space."""
+        if not self.cut_at_blanks:
+            return self.encode_fragment(text)
         if (any(p in text for p in ODD_PAIRS) or any(c in text for c in ODD_ASCII)
                 or not text.isascii() and ODD_WIDE.search(text)):
             return b"".join(map(self.fragments.__getitem__, FRAGMENT.findall(text)))
@@ -188,7 +209,7 @@ class ByteBpe:
         """A long text in parts of about ``PART`` characters, each cut where a blank follows a visible character."""
         out, at = [], 0
         while at < len(text):
-            cut = CERTAIN.search(text, at + PART) if len(text) - at > PART else None
+            cut = CERTAIN.search(text, at + PART) if len(text) - at > PART and self.cut_at_blanks else None
             end = cut.start() if cut else len(text)
             out.append(self._encode_plain(text[at:end]))
             at = end
