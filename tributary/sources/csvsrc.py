@@ -6,8 +6,10 @@ silently corrupted.  ``read_csv_files`` therefore sniffs every file's header
 line in parallel, reads each header shape as one relation with that shape's
 names, and unions the shapes by name.  Values land as text (fact F2); the
 typed load casts later.  Files stay splittable: a large file is read by
-many tasks (``spark.sql.files.maxPartitionBytes``), which replaces the
-reference's chunked reading of big files (S11).
+many tasks (``spark.sql.files.maxPartitionBytes``), which takes the place of
+chunked reading of big files (S11).  Files in which a line holds an odd number
+of quotes may have line breaks inside cells; one scan finds them, and they are
+read by byte ranges that each start at a true record (``byteranges``).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import io
 import logging
 from collections import defaultdict
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +27,8 @@ from pyspark.sql import types as T
 from tributary.operators.columns import add_pandas_index_names, clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
-from tributary.sources.files import expand_paths, first_match, list_objects, sniff_heads
+from tributary.sources.byteranges import csv_records
+from tributary.sources.files import expand_paths, first_match, list_objects, same_path as _same_path, sniff_heads, unreadable
 from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
@@ -64,17 +68,36 @@ def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...]
 NULL_VALUES = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 _EXTRA = "__cells_beyond_the_header"
+COMPRESSED = (".gz", ".bz2", ".xz", ".zst", ".lz4", ".snappy", ".deflate")
 
 
-def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = False, multi_line: bool = False,
-                   null_values: tuple[str, ...] = NULL_VALUES) -> DataFrame:
+def files_with_broken_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those files (as URIs) of which some line holds an odd number of quotes:
+    a cell may go on on the next line.  One native pass; only such files come back."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    return [r["f"] for r in spark.read.text(paths).where(quotes % 2 == 1)
+            .groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n")).orderBy("f").collect()]
+
+
+def _checked_cells(df: DataFrame, names: list[str], too_many, null_values: tuple[str, ...], with_file: bool) -> DataFrame:
+    """One treatment of every record: missing words are NULL, cells beyond the header fail the job with the file's name."""
+    told = F.raise_error(F.concat(F.lit("a row has more cells than the header: "), F.col("_file")))
+    df = df.where(F.when(too_many, told.cast("boolean")).otherwise(F.lit(True)))
+    cells = [F.when(~_q(n).isin(*null_values), _q(n)).alias(n) if null_values else _q(n) for n in names]
+    return df.select(*cells, *([F.col("_file")] if with_file else []))
+
+
+def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = False, multi_line: bool | None = None,
+                   null_values: tuple[str, ...] = NULL_VALUES, range_bytes: int | None = None) -> DataFrame:
     """Many CSV files, appended by column name.
 
     Each header shape is read once with an all-text schema named after that
     header (blank header -> ``Unnamed: <pos>``), so positions map to the
     right names; shapes are unioned by name, missing columns NULL.
-    ``multi_line`` allows quoted values with line breaks (free-text notes);
-    such files are no longer splittable, so it is off by default.  Blank lines
+    Quoted cells may hold line breaks: files with a line of an odd number of
+    quotes are read by byte ranges of ``range_bytes``, many tasks a file (by one task
+    each where the tasks' Python cannot open the store, or the file is compressed).  ``multi_line=False`` says that
+    no cell holds a line break and saves the scan for them; ``True`` reads every file in one task.  Blank lines
     before the header are passed over.  A cell that holds one of
     ``null_values`` is NULL (give ``()`` to keep such words).  A row with fewer
     cells than the header is filled with NULL; one with more cells fails the
@@ -85,17 +108,37 @@ def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = Fals
     groups = header_groups(spark, paths)
     if not groups:
         raise ValueError("every CSV file given is empty")
+    every = [p for files in groups.values() for p in files]
+    broken = {_same_path(p): p for p in files_with_broken_quotes(spark, every)} if multi_line is None else {}
     frames = []
     for header, files in groups.items():
         names = add_pandas_index_names(list(header))
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, _EXTRA]])
-        df = (spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
-              .option("multiLine", "true" if multi_line else "false").schema(schema).csv(files))
-        told = F.raise_error(F.concat(F.lit("a row has more cells than the header: "), F.col("_metadata.file_path")))
-        df = df.where(F.when(F.col(_EXTRA).isNotNull(), told.cast("boolean")).otherwise(F.lit(True)))
-        cells = [F.when(~_q(n).isin(*null_values), _q(n)).alias(n) if null_values else _q(n) for n in names]
-        df = df.select(*cells, *([F.col("_metadata.file_path").alias("_file")] if with_file else []))
-        frames.append(df)
+
+        def by_lines(files, whole):
+            df = (spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
+                  .option("multiLine", "true" if whole else "false").schema(schema).csv(files).withColumn("_file", F.col("_metadata.file_path")))
+            return _checked_cells(df, names, F.col(_EXTRA).isNotNull(), null_values, with_file)
+
+        def by_ranges(files):
+            sizes = spark.read.format("binaryFile").load(files).select(F.col("_metadata.file_path").alias("path"), "length")
+            return _checked_cells(csv_records(sizes, names, range_bytes), names, F.col("_cells") > len(names), null_values, with_file)
+
+        cut = [broken[_same_path(p)] for p in files if _same_path(p) in broken]
+        packed = [p for p in cut if p.lower().endswith(COMPRESSED)]
+        cut = [p for p in cut if p not in packed]
+        plain = [p for p in files if _same_path(p) not in broken]
+        if plain:
+            frames.append(by_lines(plain, bool(multi_line)))
+        if packed:
+            frames.append(by_lines(packed, True))
+        if cut:
+            try:
+                frames.append(by_ranges(cut))
+            except PythonException as exc:
+                if not unreadable(exc):
+                    raise
+                frames.append(by_lines(cut, True))
     return union_by_name(frames, as_text=True)
 
 

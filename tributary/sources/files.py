@@ -299,6 +299,18 @@ def _make_sniffer():
     return sniff
 
 
+def same_path(path: str) -> str:
+    """One spelling of a path: listings and file metadata write local URIs differently."""
+    from urllib.parse import unquote
+
+    return re.sub("^file:/*", "/", unquote(path))
+
+
+def unreadable(exc: Exception) -> bool:
+    """Whether a task's Python failed because Arrow has no reader for the path's store."""
+    return any(w in str(exc) for w in UNREADABLE)
+
+
 def sniff_heads(spark: SparkSession, paths: list[str]) -> list[dict]:
     """``sniff_files`` collected (one small row per file).
 
@@ -308,7 +320,7 @@ def sniff_heads(spark: SparkSession, paths: list[str]) -> list[dict]:
     try:
         return [r.asDict() for r in sniff_files(spark, paths).collect()]
     except PythonException as exc:
-        if not any(w in str(exc) for w in UNREADABLE):
+        if not unreadable(exc):
             raise
         return [r.asDict() for r in sniff_through_spark(spark, paths).collect()]
 

@@ -17,9 +17,9 @@ first non-blank character (sniffed in parallel, see ``files.sniff_files``):
   line, read by Spark's line-mode JSON reader (splittable).
 
 Values land as text so shapes and files union without type clashes
-(fact F2).  A JSON document is not splittable: each file is parsed by one
-task, so keep single files reasonably sized (JSON Lines is splittable and
-can be read with ``spark.read.json`` directly).
+(fact F2).  A document up to ``SPLIT_BYTES`` is parsed by one task; a larger
+array, or object of records, is cut into its elements by byte ranges
+(``byteranges.json_elements``), so no task and no value holds it whole.
 """
 
 from __future__ import annotations
@@ -34,11 +34,15 @@ from tributary.functions.jsonfn import flatten
 from tributary.operators.columns import clean_headers
 from tributary.operators.metadata import stamp_metadata
 from tributary.operators.union import union_by_name
-from tributary.sources.files import list_objects, sniff_heads
+from tributary.session import scratch_path
+from tributary.sources.byteranges import json_elements
+from tributary.sources.files import list_objects, same_path as _same_path, sniff_heads
 from tributary.schemas import SOURCE_SYSTEMS
 
 log = logging.getLogger(__name__)
 
+SPLIT_BYTES = 8 << 20      # documents above this are cut into their elements
+
 
 def _documents(spark: SparkSession, files: list[str]) -> DataFrame:
     """One row per file: ``_file``, ``doc`` (variant)."""
@@ -69,12 +73,41 @@ def _variant_schema(df: DataFrame, col: str) -> T.DataType | None:
     return T.DataType.fromDDL(ddl) if ddl.upper().startswith("STRUCT<") else T.StringType()
 
 
+def _elements(spark: SparkSession, files: list[str], range_bytes: int | None) -> DataFrame:
+    """Elements or entries of large documents as text (``_file, at, key, value``), cut once and kept."""
+    sizes = spark.read.format("binaryFile").load(files).select(F.col("_metadata.file_path").alias("path"), "length")
+    path = scratch_path(spark, "json-elements")
+    json_elements(sizes, range_bytes).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _text_leaves(dtype: T.DataType) -> T.DataType:
+    """Same nesting of objects and arrays, every leaf as text (as Spark's reader infers with ``primitivesAsString``)."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _text_leaves(f.dataType), True) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_text_leaves(dtype.elementType), True)
+    return T.StringType()
+
+
+def _records_from_large_arrays(spark: SparkSession, files: list[str], range_bytes: int | None) -> DataFrame:
+    """Elements of large arrays as records, typed as the reader of small ones types them."""
+    elements = _elements(spark, files, range_bytes)
+    schema = _variant_schema(elements.select(F.parse_json("value").alias("v")), "v")
+    if not isinstance(schema, T.StructType):
+        return elements.select("_file", "value")
+    return elements.select("_file", F.from_json("value", _text_leaves(schema)).alias("r")).select("_file", "r.*")
+
+
 def _records_from_objects(spark: SparkSession, files: list[str], flatten_nested: bool,
-                          schema: T.StructType | None = None) -> DataFrame:
+                          schema: T.StructType | None = None, large: bool = False, range_bytes: int | None = None) -> DataFrame:
     """Object files whose values are records.  Without ``schema`` the
     records' merged schema is inferred first (one extra pass, as Spark's own
-    JSON inference does)."""
-    recs = _explode(_documents(spark, files), "doc").select("_file", F.col("value").alias("rec"))
+    JSON inference does).  ``large``: the documents are cut into their entries."""
+    if large:
+        recs = _elements(spark, files, range_bytes).select("_file", F.parse_json("value").alias("rec"))
+    else:
+        recs = _explode(_documents(spark, files), "doc").select("_file", F.col("value").alias("rec"))
     schema = schema or _variant_schema(recs, "rec")
     if not isinstance(schema, T.StructType):
         return recs.select("_file", F.col("rec").cast("string").alias("value"))
@@ -98,14 +131,24 @@ def _records_from_columns(spark: SparkSession, files: list[str]) -> DataFrame:
     return rows.select("_file", *[F.col("m").getItem(n).alias(n) for n in names])
 
 
+def _larger_than(spark: SparkSession, files: list[str], size: int) -> set[str]:
+    """Those of the files with more bytes; only they come back."""
+    if not files:
+        return set()
+    found = {_same_path(r["path"]) for r in spark.read.format("binaryFile").load(files).where(F.col("length") > size).select("path").collect()}
+    return {p for p in files if _same_path(p) in found}
+
+
 def read_json_files(
     spark: SparkSession, paths: list[str], object_orient: str = "index", flatten_nested: bool = True,
-    with_file: bool = False, record_schema: T.StructType | None = None,
+    with_file: bool = False, record_schema: T.StructType | None = None, split_bytes: int = SPLIT_BYTES, range_bytes: int | None = None,
 ) -> DataFrame:
     """Many JSON files of any of the three shapes, appended by name.
 
     Empty files are skipped; if every file is empty a ``ValueError`` is
-    raised.
+    raised.  Arrays and index-oriented objects larger than ``split_bytes`` are
+    read by byte ranges of ``range_bytes``, many tasks a file; a column-oriented
+    document stays one value, so it must be below Spark's limit of a VARIANT.
     """
     if not paths:
         raise FileNotFoundError("no JSON files given")
@@ -118,6 +161,13 @@ def read_json_files(
     for p in empties:
         log.warning("skipping empty JSON file %s", p)
     frames: list[DataFrame] = []
+    large = _larger_than(spark, arrays + (objects if object_orient == "index" else []), split_bytes)
+    if any(p in large for p in arrays):
+        frames.append(_records_from_large_arrays(spark, [p for p in arrays if p in large], range_bytes))
+    if object_orient == "index" and any(p in large for p in objects):
+        frames.append(_records_from_objects(spark, [p for p in objects if p in large], flatten_nested, record_schema, True, range_bytes))
+        objects = [p for p in objects if p not in large]
+    arrays = [p for p in arrays if p not in large]
     if arrays:
         frames.append(
             spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(arrays)
