@@ -50,3 +50,23 @@ def test_hot_day_is_split_across_tasks(spark, tmp):
     assert len(files) > 1  # the dominant day was written by several tasks
     back = spark.read.parquet(f"{tmp}/raw/events")
     assert back.count() == _hot(spark).count()
+
+
+def test_rows_without_a_key_spread_over_the_tasks(spark):
+    """A third of the rows NULL, a third one key: the join's partitions stay even for the NULLs, and nothing is lost."""
+    from tributary.plans.models import left_join_spread
+    left = spark.range(9000).select(F.col("id"), F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    right = spark.range(9000).select(F.col("id").cast("string").alias("rk"), (F.col("id") * 2).alias("v")).unionByName(
+        spark.createDataFrame([("hot", -1), (None, -2)], "rk string, v long"))
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(name, value)
+    try:
+        out = left_join_spread(left, right, "k", "rk")
+        per_task = out.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+        got = {r.id: r.v for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 1000
+    assert got == {i: (None if i % 3 == 0 else -1 if i % 3 == 1 else 2 * i) for i in range(9000)}
+    assert out.columns == ["id", "k", "rk", "v"]

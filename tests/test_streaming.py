@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import write
 from tributary.streaming.landing import land_csv_stream
 
@@ -81,3 +83,38 @@ def test_json_stream_refuses_other_shapes(spark, tmp):
     write(f"{tmp}/in/s_2025-11-20.json", '{"r1": {"a": 1}}')
     with pytest.raises(JsonShapeError):
         land_json_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01")
+
+
+def test_csv_stream_and_batch_give_the_same_rows(spark, tmp):
+    """Quoted breaks, missing words and short rows: one treatment, whatever the path."""
+    write(f"{tmp}/in/a_2025-11-20.csv", 'id,note,more\n1,"line one\nline two",x\n2,NA,\n3\n4,"say ""hi"", ok",n/a\n')
+    land_csv_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01")
+    from tributary.sources.csvsrc import read_csv_files
+    got = {tuple(r) for r in spark.read.parquet(f"{tmp}/lake").select("id", "note", "more").collect()}
+    assert got == {tuple(r) for r in read_csv_files(spark, [f"{tmp}/in/a_2025-11-20.csv"]).collect()}
+    assert got == {("1", "line one\nline two", "x"), ("2", None, None), ("3", None, None), ("4", 'say "hi", ok', None)}
+
+
+def test_rows_that_do_not_fit_are_never_lost(spark, tmp):
+    from tributary.streaming.landing import replay_dead_letters
+    write(f"{tmp}/in/a_2025-11-20.csv", 'id,note\n1,a\n2,b,EXTRA\n3,"c\nd",more\n4\n')
+    with pytest.raises(Exception, match="more cells than the header"):
+        land_csv_stream(spark, f"{tmp}/in", f"{tmp}/strict", f"{tmp}/strict-ckpt", as_of="2025-12-01")
+    for _ in range(2):          # a second run on the same checkpoint adds nothing
+        land_csv_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01", dead_letter_path=f"{tmp}/dead")
+    assert {tuple(r) for r in spark.read.parquet(f"{tmp}/lake").select("id", "note").collect()} == {("1", "a"), ("4", None)}
+    dead = spark.read.parquet(f"{tmp}/dead").collect()
+    assert len(dead) == 2 and all(r.file.endswith("a_2025-11-20.csv") and "more cells" in r.reason for r in dead)
+    replayed = replay_dead_letters(spark, f"{tmp}/dead", ["id", "note", "late"]).collect()
+    assert {(r.id, r.note, r.late) for r in replayed} == {("2", "b", "EXTRA"), ("3", "c\nd", "more")}
+
+
+def test_malformed_json_goes_to_the_dead_letters(spark, tmp):
+    from tributary.streaming.landing import land_json_stream
+    write(f"{tmp}/in/a_2025-11-20.json", '{"id": 1, "t": "x"}\n{"id": 2, "t": \n{"id": 3, "t": "z"}\n')
+    with pytest.raises(Exception, match="not JSON"):
+        land_json_stream(spark, f"{tmp}/in", f"{tmp}/strict", f"{tmp}/strict-ckpt", as_of="2025-12-01")
+    land_json_stream(spark, f"{tmp}/in", f"{tmp}/lake", f"{tmp}/ckpt", as_of="2025-12-01", dead_letter_path=f"{tmp}/dead")
+    lake = spark.read.parquet(f"{tmp}/lake")
+    assert "_corrupt_record" not in lake.columns and {r.id for r in lake.collect()} == {"1", "3"}
+    assert [r.record for r in spark.read.parquet(f"{tmp}/dead").collect()] == ['{"id": 2, "t": ']

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 # Conditions a value must meet before a cast is attempted.  Edges
 # may carry any character that the cast trims (control characters and space).
 _EDGE = r"[\x00-\x20\x7f]*"
-NUMBER_SHAPE = r"\p{Nd}|(?i:nan|inf)"
+NUMBER_SHAPE = "^" + _EDGE + r"[+-]?(?:\p{Nd}|\.|(?i:nan|inf))"
 BOOLEAN_SHAPE = "^" + _EDGE + r"(?i:t|true|y|yes|1|f|false|n|no|0)" + _EDGE + "$"
 DATETIME_SHAPE = "^" + _EDGE + r"[+-]?[0-9]{4}"
 

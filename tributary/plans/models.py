@@ -136,20 +136,30 @@ def int_complaints_unified(*channels: DataFrame) -> DataFrame:
 # M5: dimensions
 # --------------------------------------------------------------------------
 
+def _orderable(dtype: T.DataType) -> bool:
+    """Whether Spark compares values of the type (not maps or variants, at any depth)."""
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def latest_per_key(df: DataFrame, key: str | list[str], order_cols: list[str]) -> DataFrame:
     """M5: the row with the greatest ``order_cols`` (compared in order) per
     key — ``row_number() OVER (PARTITION BY key ORDER BY ... DESC) = 1`` —
     as a ``max_by`` aggregate with map-side partial aggregation.  Text order
     columns compare as dates (:func:`lenient_timestamp`; text that is none
     comes first, then as numbers, then in text order); rows that tie compare by all their
-    columns, so the row chosen does not depend on how the data is split."""
+    columns, in their order, so the row chosen does not depend on how the data is split."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
     if not order_cols:
         raise ValueError("latest_per_key needs the columns that tell which row is later")
     by = [x for c in order_cols for x in (
         [lenient_timestamp(_q(c)), safe_cast(_q(c), "double"), _q(c)] if isinstance(df.schema[c].dataType, T.StringType) else [_q(c)])]
-    ordering = F.struct(*by, *[F.to_json(F.struct(*[_q(c) for c in rest], F.lit(1).alias("__one")))])
+    ties = [_q(c) if _orderable(df.schema[c].dataType) else F.to_json(F.struct(_q(c))) for c in rest if c not in order_cols]
+    ordering = F.struct(*by, *ties)
     picked = df.groupBy(*[_q(k) for k in keys]).agg(
         F.max_by(F.struct(*[_q(c) for c in rest]), ordering).alias("__row")
     )
@@ -175,6 +185,24 @@ def dim_agents(stg_agents_df: DataFrame, order_cols: list[str] | None = None) ->
 # M6: fact
 # --------------------------------------------------------------------------
 
+SPREAD = 1024      # places that rows without a key are dealt to
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join on one key whose rows without a key do not meet in one task.
+
+    A NULL key matches nothing, but a shuffle would send all such rows to the
+    same partition.  Here they carry a made-up key by a hash of the row, and a
+    second join column that no row of the right side has, so they spread and
+    still match nothing.  Rows of a heavy key are split by AQE's skew join."""
+    spread = F.pmod(F.xxhash64(*[_q(c) for c in left.columns if _orderable(left.schema[c].dataType)]), F.lit(SPREAD))
+    key_type = left.schema[left_key].dataType
+    made = spread.cast("string") if isinstance(key_type, T.StringType) else spread.try_cast(key_type)
+    keyed = left.withColumn("__key", F.coalesce(_q(left_key), made)).withColumn("__none", _q(left_key).isNull())
+    other = right.withColumn("__has", F.lit(False))
+    return keyed.join(other, (keyed["__key"] == other[right_key]) & (keyed["__none"] == other["__has"]), "left").drop("__key", "__none", "__has")
+
+
 def fct_complaints(unified: DataFrame, customers_dim: DataFrame, agents_dim: DataFrame) -> DataFrame:
     """M6: complaints with customer and agent names and resolution time.
 
@@ -183,11 +211,7 @@ def fct_complaints(unified: DataFrame, customers_dim: DataFrame, agents_dim: Dat
     """
     c = customers_dim.select(_q("customer_id").alias("__cid"), _q("name").alias("customer_name"))
     a = agents_dim.select(_q("agent_id").alias("__aid"), _q("name").alias("agent_name"))
-    out = (
-        unified
-        .join(c, unified["customer_id"] == c["__cid"], "left")
-        .join(a, unified["agent_id"] == a["__aid"], "left")
-    )
+    out = left_join_spread(left_join_spread(unified, c, "customer_id", "__cid"), a, "agent_id", "__aid")
     return out.select(
         "complaint_id", "source_system", "customer_id", "customer_name", "agent_id", "agent_name",
         "category", "resolution_status", "opened_at", "closed_at",

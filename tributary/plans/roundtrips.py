@@ -25,7 +25,7 @@ from tributary.sinks import audit as audit_sink
 from tributary.sinks.lake import layer_path, write_dated
 from tributary.sinks.warehouse import Warehouse
 from tributary.sources import jdbc
-from tributary.sources.csvsrc import read_csv_files
+from tributary.sources.csvsrc import NULL_VALUES, read_csv_files
 from tributary.sources.files import (
     extract_csv_files, fetch_files, first_match, first_objects, list_objects, verify_landing,
 )
@@ -743,3 +743,69 @@ def q_social_extract(spark, sf):
     meta = [T.StructField("_extraction_timestamp", T.TimestampNTZType()),
             T.StructField("_source_system", T.StringType()), T.StructField("_row_count", T.LongType())]
     return project_to_schema(df, T.StructType(SOCIAL_MEDIA.fields + meta))
+
+
+_MISSING_SQL = ", ".join("'" + w + "'" for w in NULL_VALUES)
+
+
+@register("csv_quoted_breaks", f"""
+select cast(doc_id as varchar) as doc_id, lang, sha256(case when text not in ({_MISSING_SQL}) then text end) as text_sha256,
+       length(case when text not in ({_MISSING_SQL}) then text end)::bigint as n_chars
+from documents
+""")
+def q_csv_quoted_breaks(spark, sf):
+    """Free text with line breaks and quotes inside cells, as two CSV
+    files that byte ranges cut at true records, many tasks a file."""
+    base = scratch_path(spark, "csv-breaks")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    (docs.repartition(2).write.mode("overwrite").options(**_CSV_OUT, escape='"', quoteAll="true", emptyValue="", ignoreLeadingWhiteSpace="false",
+                                                         ignoreTrailingWhiteSpace="false").csv(f"{base}/in"))
+    files = [r["path"] for r in list_objects(spark, f"{base}/in", suffix=".csv").select("path").collect()]
+    back = read_csv_files(spark, files, range_bytes=1 << 18)
+    return back.select("doc_id", "lang", F.sha2("text", 256).alias("text_sha256"), F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register("json_document", """
+select cast(doc_id as varchar) as doc_id, source, sha256(text) as text_sha256, cast(n_chars as varchar) as n_chars from documents
+""")
+def q_json_document(spark, sf):
+    """The documents as one array in one file, cut into its elements by
+    byte ranges (the fixture writes it through one task; the reader does not)."""
+    base = scratch_path(spark, "json-document")
+    docs = table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "source", "text", "n_chars")).alias("value"))
+    ends = [spark.createDataFrame([(v,)], "value string").coalesce(1) for v in ("[", '{"doc_id": null}]')]
+    body = docs.select(F.concat("value", F.lit(",")).alias("value"))
+    ends[0].union(body).union(ends[1]).coalesce(1).write.mode("overwrite").text(f"{base}/in")
+    files = [r["path"] for r in list_objects(spark, f"{base}/in", suffix=".txt").select("path").collect()]
+    back = read_json_files(spark, files, split_bytes=0, range_bytes=1 << 18).where("doc_id is not null")
+    return back.select("doc_id", "source", F.sha2("text", 256).alias("text_sha256"), "n_chars")
+
+
+@register("stream_quarantine", """
+select cast(conv_id as varchar) as conv_id, cast(turn as varchar) as turn, case when turn % 3 = 2 then 'late' end as extra,
+       sha256(case when text <> '' then text end) as text_sha256, case when turn % 3 = 2 then 'dead letters' else 'lake' end as landed
+from conversations
+""")
+def q_stream_quarantine(spark, sf):
+    """A CSV stream over rows of which a third have a cell more than the
+    header.  They go to the dead letters and come back with the widened
+    header; the stream runs twice on one checkpoint and nothing doubles."""
+    from tributary.streaming.landing import land_csv_stream, replay_dead_letters
+    base = scratch_path(spark, "quarantine")
+    line = F.concat(F.col("conv_id"), F.lit(","), F.col("turn"), F.lit(',"'), F.regexp_replace(F.coalesce("text", F.lit("")), '"', '""'),
+                    F.when(F.col("turn") % 3 == 2, F.lit('",late')).otherwise(F.lit('"')))
+
+    def headed(batches):
+        import pandas as pd
+        yield pd.DataFrame({"value": ["conv_id,turn,text"]})
+        yield from batches
+
+    (table(spark, sf, "conversations").select(line.alias("value")).repartition(4).mapInPandas(headed, "value string")
+     .select("value", F.lit("2025-12-01").alias("d")).write.partitionBy("d").mode("overwrite").text(f"{base}/raw"))
+    target, dead, ckpt = f"{base}/lake", f"{base}/dead", f"{base}/checkpoint"
+    for _ in range(2):
+        land_csv_stream(spark, f"{base}/raw", target, ckpt, as_of="2025-12-01", dead_letter_path=dead, null_values=("",), glob="*.txt")
+    lake = spark.read.parquet(target).select("conv_id", "turn", F.lit(None).cast("string").alias("extra"), "text", F.lit("lake").alias("landed"))
+    again = replay_dead_letters(spark, dead, ["conv_id", "turn", "text", "extra"], null_values=("",))
+    both = lake.unionByName(again.select("conv_id", "turn", "extra", "text", F.lit("dead letters").alias("landed")))
+    return both.select("conv_id", "turn", "extra", F.sha2("text", 256).alias("text_sha256"), "landed")

@@ -79,7 +79,7 @@ def files_with_broken_quotes(spark: SparkSession, paths: list[str]) -> list[str]
             .groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n")).orderBy("f").collect()]
 
 
-def _checked_cells(df: DataFrame, names: list[str], too_many, null_values: tuple[str, ...], with_file: bool) -> DataFrame:
+def checked_cells(df: DataFrame, names: list[str], too_many, null_values: tuple[str, ...], with_file: bool) -> DataFrame:
     """One treatment of every record: missing words are NULL, cells beyond the header fail the job with the file's name."""
     told = F.raise_error(F.concat(F.lit("a row has more cells than the header: "), F.col("_file")))
     df = df.where(F.when(too_many, told.cast("boolean")).otherwise(F.lit(True)))
@@ -118,11 +118,11 @@ def read_csv_files(spark: SparkSession, paths: list[str], with_file: bool = Fals
         def by_lines(files, whole):
             df = (spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
                   .option("multiLine", "true" if whole else "false").schema(schema).csv(files).withColumn("_file", F.col("_metadata.file_path")))
-            return _checked_cells(df, names, F.col(_EXTRA).isNotNull(), null_values, with_file)
+            return checked_cells(df, names, F.col(_EXTRA).isNotNull(), null_values, with_file)
 
         def by_ranges(files):
             sizes = spark.read.format("binaryFile").load(files).select(F.col("_metadata.file_path").alias("path"), "length")
-            return _checked_cells(csv_records(sizes, names, range_bytes), names, F.col("_cells") > len(names), null_values, with_file)
+            return checked_cells(csv_records(sizes, names, range_bytes), names, F.col("_cells") > len(names), null_values, with_file)
 
         cut = [broken[_same_path(p)] for p in files if _same_path(p) in broken]
         packed = [p for p in cut if p.lower().endswith(COMPRESSED)]

@@ -146,7 +146,7 @@ def read_json_files(
     """Many JSON files of any of the three shapes, appended by name.
 
     Empty files are skipped; if every file is empty a ``ValueError`` is
-    raised.  Arrays and index-oriented objects larger than ``split_bytes`` are
+    raised.  Text that is not JSON fails the read.  Arrays and index-oriented objects larger than ``split_bytes`` are
     read by byte ranges of ``range_bytes``, many tasks a file; a column-oriented
     document stays one value, so it must be below Spark's limit of a VARIANT.
     """
@@ -170,12 +170,12 @@ def read_json_files(
     arrays = [p for p in arrays if p not in large]
     if arrays:
         frames.append(
-            spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(arrays)
+            spark.read.option("multiLine", "true").option("primitivesAsString", "true").option("mode", "FAILFAST").json(arrays)
             .withColumn("_file", F.col("_metadata.file_path"))
         )
     if lines:  # JSON Lines: one record per line, read splittably
         frames.append(
-            spark.read.option("primitivesAsString", "true").json(lines)
+            spark.read.option("primitivesAsString", "true").option("mode", "FAILFAST").json(lines)
             .withColumn("_file", F.col("_metadata.file_path"))
         )
     if objects:
