@@ -809,3 +809,29 @@ def q_stream_quarantine(spark, sf):
     again = replay_dead_letters(spark, dead, ["conv_id", "turn", "text", "extra"], null_values=("",))
     both = lake.unionByName(again.select("conv_id", "turn", "extra", "text", F.lit("dead letters").alias("landed")))
     return both.select("conv_id", "turn", "extra", F.sha2("text", 256).alias("text_sha256"), "landed")
+
+
+@register("manifest_landing", """
+select cast(event_id as varchar) as call_id, cast(user_id as varchar) as customer_id, case when ts < timestamp '2024-01-15' then 1 else 2 end::int as landing
+from events
+""")
+def q_manifest_landing(spark, sf):
+    """Call logs land in two deliveries of two header shapes;
+    each update of the manifest lists in tasks, opens the new files only and
+    its pending files are read by byte ranges, without a list of paths."""
+    from tributary.sources import manifest
+    base = scratch_path(spark, "manifest")
+    calls = standins.call_logs(spark, sf).withColumn("d", F.date_format("call_start_time", "yyyy-MM-dd"))
+    named = calls.select(*[F.col(f"`{k}`").alias(v) for k, v in _HEADERS_A.items()], "d")
+    early = F.col("call_start_time") < F.lit("2024-01-15").cast("timestamp_ntz")
+    deliveries = (named.where(early), named.where(~early).select(*[F.col(f"`{c}`") for c in _ORDER_B], "d"))
+    landed = []
+    for i, delivery in enumerate(deliveries, 1):
+        delivery.write.partitionBy("d").options(**_CSV_OUT).mode("append").csv(f"{base}/in")
+        batch = manifest.update_manifest(spark, f"{base}/in", f"{base}/manifest", ".csv")
+        rows = manifest.read_csv_manifest(manifest.pending_files(spark, f"{base}/manifest"), range_bytes=1 << 18)
+        path = f"{base}/lake/landing={i}"
+        rows.select(F.col("Call_ID").alias("call_id"), F.col("customer_ID").alias("customer_id")).write.mode("overwrite").parquet(path)
+        manifest.mark_landed(spark, f"{base}/manifest", batch)
+        landed.append(spark.read.parquet(path).withColumn("landing", F.lit(i)))
+    return landed[0].unionByName(landed[1])

@@ -28,12 +28,20 @@ def byte_ranges(files: DataFrame, size: int | None = None) -> DataFrame:
     step = int(size or RANGE)
     starts = files.where("length > 0").select("path", F.col("length").cast("long").alias("size"),
                                               F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(step).cast("long"))).alias("start"))
-    return _dealt(starts.select("path", "start", F.least(F.col("start") + step, F.col("size")).alias("stop"), "size"))
+    return dealt(starts.select("path", "start", F.least(F.col("start") + step, F.col("size")).alias("stop"), "size"), step)
 
 
-def _dealt(ranges: DataFrame) -> DataFrame:
-    """A task for every range, up to ``TASKS``.  (A stated number of partitions: AQE would merge rows as small as these.)"""
-    return ranges.repartition(max(1, min(ranges.count(), TASKS)))
+def dealt(rows: DataFrame, step: int | None = None) -> DataFrame:
+    """``rows`` round robin over tasks: with ``step`` about as many bytes (``stop - start``) to
+    each, without it two rounds of the cluster's tasks; never fewer than the cluster runs
+    at once.  (A stated number of partitions: AQE would merge rows as small as these.)"""
+    at_once = rows.sparkSession.sparkContext.defaultParallelism
+    if step is None:
+        n, wanted = rows.count(), 2 * at_once
+    else:
+        n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()
+        wanted = max(at_once, -(-size // step))
+    return rows.repartition(max(1, min(n, wanted, TASKS)))
 
 
 def _tools():
@@ -171,7 +179,7 @@ def _tools():
     return opened, csv_end, csv_next, csv_body, json_scan
 
 
-def _composed(effects: DataFrame) -> DataFrame:
+def _composed(effects: DataFrame, step: int) -> DataFrame:
     """``path``, ``start``, ``stop``, ``size``, ``state``, ``depth`` and those at ``stop``, from every range's effect
     (``to``: the state after, ``rise``: the depth gained, for each first state; ``body``: where a CSV
     file's records begin after the header).  One row a range, so a group is a file's size over ``RANGE``; kept, so that the files are scanned for it once."""
@@ -186,7 +194,7 @@ def _composed(effects: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["path", "start", "stop", "size", "state", "depth", "state_after", "depth_after", "body"])
 
     placed = effects.groupBy("path").applyInPandas(run, RANGE_SCHEMA + ", state int, depth long, state_after int, depth_after long, body long")
-    return _dealt(cut_lineage(placed))
+    return dealt(cut_lineage(placed), step)
 
 
 def _effects(ranges: DataFrame, kind: str) -> DataFrame:
@@ -220,7 +228,7 @@ def csv_records(files: DataFrame, names: list[str], range_bytes: int | None = No
     fewer than ``names`` leaves the rest NULL, the caller judges more.  An
     empty cell is NULL.  A file that ends inside quotes ends its last record there.
     """
-    placed = _composed(_effects(byte_ranges(files, range_bytes), "csv"))
+    placed = _composed(_effects(byte_ranges(files, range_bytes), "csv"), int(range_bytes or RANGE))
     width = len(names)
 
     def run(batches):
@@ -272,7 +280,7 @@ def json_elements(files: DataFrame, range_bytes: int | None = None) -> DataFrame
     NULL) or the entries of top-level objects, as JSON text; ``at`` is the element's
     byte offset, so it orders them.  ``files``: ``path``, ``length``; each holds one document.
     Text that is not JSON fails where it is parsed, or here if its brackets do not close."""
-    placed = _composed(_effects(byte_ranges(files, range_bytes), "json"))
+    placed = _composed(_effects(byte_ranges(files, range_bytes), "json"), int(range_bytes or RANGE))
 
     def run(batches):
         import json
