@@ -203,8 +203,8 @@ def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key
     return keyed.join(other, (keyed["__key"] == other[right_key]) & (keyed["__none"] == other["__has"]), "left").drop("__key", "__none", "__has")
 
 
-def fct_complaints(unified: DataFrame, customers_dim: DataFrame, agents_dim: DataFrame) -> DataFrame:
-    """M6: complaints with customer and agent names and resolution time.
+def fct_complaints(unified: DataFrame, customers_dim: DataFrame, agents_dim: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """M6: complaints with customer and agent names and resolution time; ``keep``: columns of ``unified`` to carry.
 
     Key ``(complaint_id, source_system)``.  Left joins keep complaints whose
     customer or agent is unknown (D2 reports those).
@@ -216,7 +216,7 @@ def fct_complaints(unified: DataFrame, customers_dim: DataFrame, agents_dim: Dat
         "complaint_id", "source_system", "customer_id", "customer_name", "agent_id", "agent_name",
         "category", "resolution_status", "opened_at", "closed_at",
         F.timestamp_diff("SECOND", F.col("opened_at"), F.col("closed_at")).alias("resolution_seconds"),
-        "channel",
+        "channel", *(keep or []),
     )
 
 
