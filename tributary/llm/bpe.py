@@ -37,7 +37,7 @@ ODD_PAIRS = ("  ", " \n", "\n ", "\n\n")
 ODD_ASCII = "\t\x0b\x0c\r"
 ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
-CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
+CACHE_ENTRIES = 250_000       # fragments a worker remembers in a generation (of two) of each kind
 PART = 1 << 18                # characters of a text that are cut into fragments at once
 CACHED_LENGTH = 64            # longer words are not remembered
 
