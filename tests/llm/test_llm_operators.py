@@ -165,6 +165,7 @@ def test_bpe_of_whole_documents_by_forced_cuts(spark):
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode_texts(docs).collect()}
     assert got == {i: library.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+    assert got == {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode_texts(docs, cut_words=False).collect()}
     own = bpe.byte_bpe(bpe.public_vocabulary())
     assert own.cut_at_blanks
     blanks = sum(len(bpe.CERTAIN.findall(t)) for t in texts.values())

@@ -37,9 +37,10 @@ ODD_PAIRS = ("  ", " \n", "\n ", "\n\n")
 ODD_ASCII = "\t\x0b\x0c\r"
 ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
-CACHE_ENTRIES = 250_000       # fragments a worker remembers in a generation (of two) of each kind
+CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
 PART = 1 << 18                # characters of a text that are cut into fragments at once
 CACHED_LENGTH = 64            # longer words are not remembered
+NO_SPECIAL: set[str] = set()
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -77,7 +78,8 @@ class Fragments(dict):
 class ByteBpe:
     """Encoder and decoder of one vocabulary file (a ``tokenizers`` JSON)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cut_words: bool = True):
+        self.cut_words = cut_words
         with open(path, encoding="utf-8") as fh:
             spec = json.load(fh)
         alphabet = byte_alphabet()
@@ -171,6 +173,8 @@ class ByteBpe:
 
     def encode_fragment(self, text: str) -> bytes:
         """A word, or a run of text, through the pre-tokenizer, the table's cuts and the merges."""
+        if not self.cut_words and self.core and len(text) <= CACHED_LENGTH:
+            return bytes(self.core.encode_to_tiktoken_buffer(text, NO_SPECIAL))
         if (text[1:] if text[:1] == " " else text).isalpha():          # letters alone are one piece
             ids = self._merge_piece(text.encode())
         else:
@@ -240,9 +244,9 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=2)
-def byte_bpe(path: str) -> ByteBpe:
+def byte_bpe(path: str, cut_words: bool = True) -> ByteBpe:
     """One encoder per worker process and vocabulary file."""
-    return ByteBpe(path)
+    return ByteBpe(path, cut_words)
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -255,18 +259,20 @@ def _vocabulary(path: str | None) -> str:
     return path or public_vocabulary()
 
 
-def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, cut_words: bool = True) -> DataFrame:
     """``id_col``, ``ids`` (binary, little-endian unsigned 32-bit ids) per row.
 
     A null text counts as empty, an empty text has no ids; repeated rows and
     null ids stay rows of their own; other columns are not carried.
     ``vocabulary``: path of the file on every executor (None: the public
-    byte-level one).
+    byte-level one).  ``cut_words=False`` leaves words of up to ``CACHED_LENGTH``
+    characters to tiktoken uncut: the same ids for less time, for operators
+    that only need ids.
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        bpe = byte_bpe(_vocabulary(vocabulary))
+        bpe = byte_bpe(_vocabulary(vocabulary), cut_words)
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
@@ -312,7 +318,7 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     end = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
 
     def run(batches):
-        bpe = byte_bpe(_vocabulary(vocabulary))
+        bpe = byte_bpe(_vocabulary(vocabulary), False)      # only the ids count here
         for b in batches:
             rows: list[list] = [[], [], [], [], [], []]
             for key, text in zip(b.column(0), b.column(1)):

@@ -147,7 +147,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_texts
     from .vector_packing import pack_examples
 
-    return pack_examples(encode_texts(table(spark, sf_dir, "documents")), capacity=1024, max_segments=64, end_id=0)
+    return pack_examples(encode_texts(table(spark, sf_dir, "documents"), cut_words=False), capacity=1024, max_segments=64, end_id=0)
 
 
 @query("op12_token_alignment")
