@@ -395,6 +395,19 @@ def test_iblt_peel_fails_then_recovers(spark):
     assert tuple(df.select(small, large).first()) == (None, 60)
 
 
+def test_iblt_next_of_a_hot_id(spark):
+    """An id that holds most rows lies in several ranges, and every row still meets the next one."""
+    rows = [(5, f"text {i}") for i in range(400)] + [(i, f"own {i}") for i in range(60)] + [(None, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = [t for _, t in sorted(rows, key=lambda r: (-(-2 ** 63 if r[0] is None else r[0]), hashes[r[1]]))]
+    out = iblt.with_next(df)
+    got = {r.text: r.next for r in out.collect()}
+    assert got == {t: order[(i + 1) % len(order)] for i, t in enumerate(order)}
+    ranges = out.where("id = 5").select(F.shiftright("key", 40).alias("r")).distinct().count()
+    assert ranges > 8
+
+
 def test_iblt_plan_is_native(spark):
     from conftest import plan_text
 
