@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import date_parts
 from tributary.functions.jsonfn import flatten, json_field
-from tributary.operators import checks, quality
+from tributary.operators import checks, checksums, quality, sketches
 from tributary.operators.columns import clean_email_column, clean_headers, clean_sheet, read_projection
 from tributary.operators.metadata import stamp_metadata, with_row_count
 from tributary.operators.retention import retention_tiers
@@ -455,6 +455,41 @@ def q_consistency(spark, sf):
                                            "user_id", "orders", "events")
 
 
+@register("consistency_differences", """
+with a as (select o_orderkey as k, count(*)::bigint as n_orders from orders group by 1),
+     b as (select l_orderkey as k, 1::bigint as n_lines from lineitem group by 1)
+select coalesce(a.k, b.k) as key, n_orders, n_lines,
+       case when a.k is not null and b.k is not null then 'both'
+            when b.k is null then 'only_orders' else 'only_lines' end as status
+from a full join b on a.k = b.k where n_orders is distinct from n_lines
+""")
+def q_consistency_differences(spark, sf):
+    """Keys of orders and of their lines that do not match, found by bucket checksums."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey").distinct()
+    return checksums.consistency_differences(table(spark, sf, "orders"), "o_orderkey", lines, "l_orderkey", "orders", "lines")
+
+
+@register("distinct_sketches", """
+with k as (select 'event_id' as key, cast(ts as date) as day, event_id as v from events
+           union all select 'user_id', cast(ts as date), user_id from events)
+select key, cast(day as varchar) as part, count(*)::bigint as rows,
+       (count(*) - count(distinct v))::bigint as duplicate_rows
+from k group by all
+""")
+def q_distinct_sketches(spark, sf):
+    """Duplicates per day from stored sketches of two runs, counted exactly where a sketch flags the day."""
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    base = scratch_path(spark, "distinct-sketches")
+    out = None
+    for key in ("event_id", "user_id"):
+        for run in (F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"), F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")):
+            sketches.update_sketches(spark, f"{base}/{key}", events.where(run), "day", [key])
+        found = sketches.partition_duplicates(events, sketches.read_sketches(spark, f"{base}/{key}"), "day", [key])
+        found = found.select(F.lit(key).alias("key"), "part", "rows", "duplicate_rows")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @register("timeliness", """
 select event_type, max(ts) as last_ts,
        cast(date_diff('day', cast(max(ts) as date), date '2024-02-01') as int) as age_days,
