@@ -12,7 +12,9 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from .common import shuffle_width
 
 # The template's control strings.
 HEAD, TAIL = "### ", "</turn>"
@@ -20,6 +22,7 @@ ESCAPE = re.compile(r"\\|#|(?<=<)/(?=turn>)")
 ESCAPED = re.compile(r"\\(.)", re.S)
 TURN = re.compile(r"### ((?:\\.|[^\\\n:])*): ((?:\\.|[^\\<]|<(?!/turn>))*)</turn>\n", re.S)
 OUT_CHARS = 4 << 20     # characters of formatted text in one output batch
+TURNS = 128             # turns whose examples one task writes
 
 
 def escape(text: str) -> str:
@@ -52,129 +55,138 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape_role(m[1]), unescape(m[2])) for m in TURN.finditer(formatted)]
 
 
-def _runs(batches, width: int) -> Iterator[tuple[object, list[list]]]:
-    """Rows of consecutive equal first columns, together with that value."""
-    key, rows = object(), []
+def _rows(batches, types: list) -> Iterator[tuple]:
+    """Rows of Arrow batches; the type of the first column is noted in ``types``."""
     for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            if row[0] != key and rows:
-                yield key, rows
-                rows = []
-            key = row[0]
-            rows.append(row[1:width])
-    if rows:
-        yield key, rows
+        types[0] = b.schema.field(0).type
+        yield from zip(*(c.to_pylist() for c in b.columns))
+
+
+def _same(a, b) -> bool:
+    """Equal ids; null equals null and NaN equals NaN, as in grouping."""
+    return a == b or (a != a and b != b)
+
+
+def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
+    done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+    rows.clear()
+    return done
 
 
 def prefix_target_examples(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                           text_col: str = "text", target: str = "assistant") -> DataFrame:
-    """``conv``, ``example``, ``formatted``, ``loss_start``, ``loss_end`` (code points): an example per
-    target turn, in the order of the turns.
+                           text_col: str = "text", target: str = "assistant", turns: int = TURNS) -> DataFrame:
+    """``conv``, ``example``, ``formatted``, ``loss_start``, ``loss_end`` (code points), ``whole`` (holds all
+    turns): an example per target turn, numbered in the order of the turns.
 
     A conversation's last example is followed by one without a trainable part
     (both bounds 0) if turns come after it, so that the examples together hold
     every turn.  Turns are ordered by ``turn_col`` (null first), then role,
     then text; rows repeated in full are turns of their own.  A null role or
     text is empty; rows with a null id are one conversation.  No rows, no
-    examples; other columns are not read.  A task holds one conversation's
-    turns and a few megabytes of output; the partitions come out with each
-    conversation's examples together and in order.
+    examples; other columns are not read.
+
+    The examples of every ``turns`` turns of a conversation are written by a
+    task of their own, which is sent the turns before them, so a long
+    conversation is dealt over many tasks.  A task holds one example's turns
+    and a few megabytes of output.  What goes through one task by
+    conversation is the numbering of its turns (sorted, on disk if need be):
+    under 2 GB of text, since an example is one string value.
     """
     id_type = df.schema[conv_col].dataType.simpleString()
-    rows = (df.select(F.col(conv_col).alias("conv"), F.coalesce(role_col, F.lit("")).alias("role"),
-                      F.coalesce(text_col, F.lit("")).alias("text"), F.col(turn_col).alias("turn"))
-            .repartition("conv").sortWithinPartitions("conv", "turn", "role", "text"))
+    rows = df.select(F.col(conv_col).alias("conv"), F.coalesce(role_col, F.lit("")).alias("role"),
+                     F.coalesce(text_col, F.lit("")).alias("text"), F.col(turn_col).alias("turn"))
+    one = Window.partitionBy("conv")
+    numbered = rows.select("conv", "role", "text", (F.row_number().over(one.orderBy("turn", "role", "text")) - 1).alias("n"),
+                           F.count(F.lit(1)).over(one).alias("total"))
+    part = F.explode(F.sequence(F.expr(f"n div {turns}"), F.expr(f"(total - 1) div {turns}")))
+    dealt = numbered.select("conv", part.alias("part"), "n", "total", "role", "text")
+    # a fixed number of partitions: the examples are far larger than the rows by which Spark would merge them
+    dealt = dealt.repartition(shuffle_width(df.sparkSession), "conv", "part").sortWithinPartitions("conv", "part", "n")
+    names = ["conv", "example", "formatted", "loss_start", "loss_end", "whole"]
 
     def run(batches):
-        kind = None
-
-        def typed(source):
-            nonlocal kind
-            for b in source:
-                kind = b.schema.field(0).type
-                yield b
-
-        def batch():
-            cols = list(zip(*out))
-            types = [kind, pa.int32(), pa.string(), pa.int64(), pa.int64()]
-            done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["conv", "example", "formatted", "loss_start", "loss_end"])
-            out.clear()
-            return done
-
+        types = [None, pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
         out: list[tuple] = []
-        held = 0
-        for conv, turns in _runs(typed(batches), 3):
-            context, size, n, last = [], 0, 0, False
-            for role, text in turns:
-                formatted, start, end = format_turn(role, text)
-                context.append(formatted)
-                last = role == target
-                if last:
-                    out.append((conv, n, "".join(context), size + start, size + end))
-                    held += size + len(formatted)
-                    n += 1
-                size += len(formatted)
-                if held > OUT_CHARS:
-                    yield batch()
-                    held = 0
-            if not last:
-                out.append((conv, n, "".join(context), 0, 0))
-                held += size
-            if out and (held > OUT_CHARS or len(out) > 5000):
-                yield batch()
+        held, key, key_part = 0, None, None
+        for conv, part, n, total, role, text in _rows(batches, types):
+            if part != key_part or not _same(conv, key):
+                key, key_part, context, size, examples = conv, part, [], 0, 0
+            formatted, start, end = format_turn(role, text)
+            context.append(formatted)
+            trained = role == target
+            if n >= part * turns and (trained or n == total - 1):
+                bounds = (size + start, size + end) if trained else (0, 0)
+                out.append((conv, examples, "".join(context), *bounds, n == total - 1))
+                held += size + len(formatted)
+            examples += trained
+            size += len(formatted)
+            if held > OUT_CHARS or len(out) > 5000:
+                yield _batch(out, types, names)
                 held = 0
         if out:
-            yield batch()
+            yield _batch(out, types, names)
 
-    return rows.mapInArrow(run, f"conv {id_type}, example int, formatted string, loss_start long, loss_end long")
+    return dealt.mapInArrow(run, f"conv {id_type}, example int, formatted string, loss_start long, loss_end long, whole boolean")
 
 
 def read_back(examples: DataFrame) -> DataFrame:
     """Per conversation what its formatted examples say: ``conv``, ``n_turns``,
     ``turns_sha256``, ``loss_chars``, ``loss_sha256``, ``formatted_chars``.
 
-    Reads the partitions as :func:`prefix_target_examples` leaves them (each
-    conversation's examples together and in order): the turns from the last
-    example, the trained text from under every example's mask."""
+    The turns are read from the example that holds them all, the trained text
+    from under every example's mask, in the order of ``example``; how the rows
+    lie in partitions does not matter.  Only the trained texts are shuffled."""
     import hashlib
 
     id_type = examples.schema["conv"].dataType.simpleString()
+    seen_names = ["conv", "example", "trained", "chars", "n_turns", "turns_sha256"]
+    names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-    def run(batches):
-        kind, key, now, rows = None, None, None, []
-
-        def close():
-            turns = read_turns(now["last"])
-            whole = hashlib.sha256()
-            for role, text in turns:
-                whole.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            rows.append((key, len(turns), whole.hexdigest(), now["loss"], now["hash"].hexdigest(), now["chars"]))
-
-        def batch():
-            types = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                              names=["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            rows.clear()
-            return done
-
+    def see(batches):
+        types = [None, pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+        out: list[tuple] = []
+        held = 0
         for b in batches:
-            kind = b.schema.field(0).type
+            types[0] = b.schema.field(0).type
             for i in range(b.num_rows):
-                conv, example, formatted, start, end = (c[i].as_py() for c in b.columns)
-                if now is None or example == 0:
-                    if now is not None:
-                        close()
-                    key, now = conv, {"loss": 0, "hash": hashlib.sha256(), "chars": 0}
-                trained = unescape(formatted[start:end])
-                now["loss"] += len(trained)
-                now["hash"].update(trained.encode("utf-8", "surrogatepass"))
-                now["chars"] += len(formatted)
-                now["last"] = formatted
-            if len(rows) >= 5000:
-                yield batch()
+                conv, example, formatted, start, end, whole = (c[i].as_py() for c in b.columns)
+                n, digest = None, None
+                if whole:
+                    told, n = hashlib.sha256(), 0
+                    for m in TURN.finditer(formatted):
+                        told.update(f"{unescape_role(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
+                        n += 1
+                    digest = told.hexdigest()
+                out.append((conv, example, unescape(formatted[start:end]), len(formatted), n, digest))
+                held += end - start
+                if held > OUT_CHARS or len(out) > 5000:
+                    yield _batch(out, types, seen_names)
+                    held = 0
+        if out:
+            yield _batch(out, types, seen_names)
+
+    def run(batches):
+        types = [None, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        out: list[tuple] = []
+        now = None
+        for conv, _, trained, chars, n, digest in _rows(batches, types):
+            if now is None or not _same(conv, key):
+                if now is not None:
+                    out.append((key, now["n"], now["turns"], now["loss"], now["hash"].hexdigest(), now["chars"]))
+                    if len(out) > 5000:
+                        yield _batch(out, types, names)
+                key, now = conv, {"n": None, "turns": None, "loss": 0, "hash": hashlib.sha256(), "chars": 0}
+            now["loss"] += len(trained)
+            now["hash"].update(trained.encode("utf-8", "surrogatepass"))
+            now["chars"] += chars
+            if digest is not None:
+                now["n"], now["turns"] = n, digest
         if now is not None:
-            close()
-        if rows:
-            yield batch()
+            out.append((key, now["n"], now["turns"], now["loss"], now["hash"].hexdigest(), now["chars"]))
+        if out:
+            yield _batch(out, types, names)
 
-    return examples.mapInArrow(run, f"conv {id_type}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    seen = (examples.select("conv", "example", "formatted", "loss_start", "loss_end", "whole")
+            .mapInArrow(see, f"conv {id_type}, example int, trained string, chars long, n_turns long, turns_sha256 string"))
+    return seen.repartition("conv").sortWithinPartitions("conv", "example").mapInArrow(
+        run, f"conv {id_type}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
