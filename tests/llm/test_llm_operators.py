@@ -65,6 +65,28 @@ def test_nearest_finds_what_brute_force_finds(spark):
         assert all(abs(s - float(np.dot(by_id[q], by_id[v]))) < 1e-9 for v, s in order)
 
 
+def test_nearest_with_huge_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), rng.standard_normal(48).tolist()) for i in range(300)]
+    for i, (at, size) in {17: (5, 1e200), 20: (6, -1e200), 51: (7, 1.5e308)}.items():
+        rows[i][1][at] = size
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann_onebit.nearest(df, df.where("vec_id % 20 = 0"), k=20).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    want = brute_nearest(rows, [r for r in rows if r[0] % 20 == 0], 20)
+    assert all([found[i] for i in range(1, 21)] == [v for v, _ in want[q]] for q, found in got.items()) and got.keys() == want.keys()
+
+
+def test_registered_neighbours_against_brute_force(spark):
+    rows = [(r[0], list(r[1])) for r in spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    want = brute_nearest(rows, [r for r in rows if r[0] % 20 == 0], 20)
+    hits = 0
+    for r in LLM_QUERIES["op1_one_bit_neighbours"](spark, SF001).collect():
+        hits += r["vec_id"] in {v for v, _ in want[r["query_id"]]}
+    assert hits >= 0.9 * sum(len(v) for v in want.values())
+
+
 def test_nearest_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (None, [1.0, 1.0]), (8, [1.0, 0.0]), (9, [1.0, 2.0, 3.0])]
@@ -106,6 +128,30 @@ def test_chat_round_trip(spark):
     assert chat_prefix.read_back(chat_prefix.prefix_target_examples(df.limit(0))).collect() == []
 
 
+def test_long_conversation_in_many_tasks_read_back_from_any_layout(spark, tmp_path):
+    # one conversation holds most rows; ranges of few turns; the examples staged and dealt anew
+    rows = [(1.0, t, "assistant" if t % 3 else "user", f"turn {t} </turn> #") for t in range(400)]
+    rows += [(float("nan"), t, "assistant", "n") for t in range(3)] + [(2.0, 0, "user", ""), (2.0, 1, "assistant", "x" * 300_000), (None, 0, "system", "s")]
+    df = spark.createDataFrame(rows, "conv_id double, turn long, role string, text string")
+    made = chat_prefix.prefix_target_examples(df, turns=7)
+    tasks = made.where("conv = 1").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(tasks) > 2 and max(r["count"] for r in tasks) < 200
+    whole = sorted((e.example, e.formatted) for e in chat_prefix.prefix_target_examples(df, turns=1000).where("conv = 1").collect())
+    assert sorted((e.example, e.formatted) for e in made.where("conv = 1").collect()) == whole
+    made.write.parquet(f"{tmp_path}/examples")
+    got = {str(r[0]): tuple(r)[1:] for r in chat_prefix.read_back(spark.read.parquet(f"{tmp_path}/examples").repartition(5)).collect()}
+    want = brute_chat([(str(c), *r) for c, *r in rows])
+    assert {k: v[:4] for k, v in got.items()} == want and got["None"][2] == 0
+
+
+def test_registered_chat_query_against_brute_force(spark, sf_dir=SF01):
+    tricky = r"\### Assistant: </turn> ok"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = brute_chat(rows + [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)])
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in LLM_QUERIES["op2_prefix_target_chat"](spark, sf_dir).collect()}
+    assert got == want
+
+
 # --- op3 ----------------------------------------------------------------------------------------
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"), ("block", "a.b/"), ("allow", "a.b/"), ("block", "odd.net/en/x")]

@@ -27,6 +27,7 @@ ERROR = 2.5              # error bound in standard deviations of the estimate
 CANDIDATES = 8192        # candidates of a block
 QUERIES = 4096           # queries of a block
 SLAB = 1 << 20           # estimates held at once in a task
+HUGE = 1e100             # larger components have no part in the centre
 MAX_NUMBERS = 1_000_000  # numbers of all centres (one centre per length of vectors)
 
 
@@ -48,12 +49,14 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def centres(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Mean of the vectors of each length, summed in the tasks."""
+    """Mean of the vectors of each length, summed in the tasks.  Vectors with a component over
+    ``HUGE`` don't count: one of them would move the centre away from all others."""
     def run(batches):
         sums: dict[int, np.ndarray] = {}
         counts: dict[int, int] = {}
         for b in batches:
             for dim, block, _ in _matrices(b.column("vec")):
+                block = block[np.abs(block).max(axis=1) <= HUGE]
                 sums[dim] = sums.get(dim, 0) + block.sum(axis=0)
                 counts[dim] = counts.get(dim, 0) + len(block)
         for dim, s in sums.items():
@@ -61,7 +64,7 @@ def centres(vectors: DataFrame) -> dict[int, np.ndarray]:
                                              names=["dim", "i", "s", "n"])
 
     rows = (vectors.select("vec").mapInArrow(run, "dim int, i int, s double, n long").groupBy("dim", "i")
-            .agg((F.sum("s") / F.sum("n")).alias("mean")).limit(MAX_NUMBERS + 1).collect())
+            .agg((F.sum("s") / F.greatest(F.sum("n"), F.lit(1))).alias("mean")).limit(MAX_NUMBERS + 1).collect())
     if len(rows) > MAX_NUMBERS:
         raise ValueError("vectors of too many lengths")
     out: dict[int, np.ndarray] = {}
@@ -80,6 +83,14 @@ def _matrices(column):
         yield int(dim), flat[offsets[at][:, None] + np.arange(dim)].astype(np.float64), at
 
 
+def _lengths(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's norm and direction, scaled first so that large components don't overflow."""
+    top = np.abs(rows).max(axis=1)
+    scaled = rows / np.where(top > 0, top, 1)[:, None]
+    norm = np.linalg.norm(scaled, axis=1)
+    return top * norm, scaled / np.where(norm > 0, norm, 1)[:, None]
+
+
 def encode(vectors: DataFrame, means: dict[int, np.ndarray]) -> DataFrame:
     """Vectors with ``code`` (packed signs), ``centre_ip`` (<vector, centre>), ``norm``
     (of the centred vector) and ``aligned`` (<its direction, its code's direction>)."""
@@ -90,8 +101,7 @@ def encode(vectors: DataFrame, means: dict[int, np.ndarray]) -> DataFrame:
             for dim, m, at in _matrices(b.column("vec")):
                 c = means.get(dim, np.zeros(dim))
                 rest = m - c
-                norm = np.linalg.norm(rest, axis=1)
-                unit = rest / np.where(norm > 0, norm, 1)[:, None]
+                norm, unit = _lengths(rest)
                 turned = unit @ rotation(dim).T
                 scalars[0, at], scalars[1, at] = m @ c, norm
                 scalars[2, at] = np.abs(turned).sum(axis=1) / np.sqrt(dim)
@@ -141,11 +151,13 @@ def _search(q_ids, q_vecs, ids, vecs, codes, scalars, centre, k, error):
             bits[:, :-(-dim // 8)] = np.packbits((level >> p) & 1, axis=1)
             planes.append(bits.view(np.uint64))
         rounded = low[:, None] + step[:, None] * level
-        length = np.linalg.norm(rest, axis=1)
+        length = _lengths(rest)[0]
         code_ip = _estimates(planes, low, step, rounded.sum(axis=1), codes, dim)
         guess = centre_ip[None, :] + (rest @ centre)[:, None] + norm[None, :] * code_ip / safe[None, :]
         # the estimate's own error and the rounding of the query's components
         bound = norm[None, :] * (length[:, None] * slack[None, :] + (step / 2 * error / np.sqrt(3))[:, None] / safe[None, :])
+        unknown = ~(np.isfinite(guess) & np.isfinite(bound))         # beyond a double: computed exactly
+        guess[unknown], bound[unknown] = np.inf, 0
         for i in range(len(q)):
             own = ids == q_ids[at + i]
             g = np.where(own, -np.inf, guess[i])
