@@ -98,10 +98,13 @@ def prefix_target_examples(df: DataFrame, conv_col: str = "conv_id", turn_col: s
     one = Window.partitionBy("conv")
     numbered = rows.select("conv", "role", "text", (F.row_number().over(one.orderBy("turn", "role", "text")) - 1).alias("n"),
                            F.count(F.lit(1)).over(one).alias("total"))
+    short, long = numbered.where(f"total <= {turns}"), numbered.where(f"total > {turns}")
     part = F.explode(F.sequence(F.expr(f"n div {turns}"), F.expr(f"(total - 1) div {turns}")))
-    dealt = numbered.select("conv", part.alias("part"), "n", "total", "role", "text")
     # a fixed number of partitions: the examples are far larger than the rows by which Spark would merge them
-    dealt = dealt.repartition(shuffle_width(df.sparkSession), "conv", "part").sortWithinPartitions("conv", "part", "n")
+    dealt = (long.select("conv", part.alias("part"), "n", "total", "role", "text")
+             .repartition(shuffle_width(df.sparkSession), "conv", "part").sortWithinPartitions("conv", "part", "n"))
+    # a short conversation lies in one partition since its numbering
+    kept = short.select("conv", F.lit(0).cast("long").alias("part"), "n", "total", "role", "text").sortWithinPartitions("conv", "n")
     names = ["conv", "example", "formatted", "loss_start", "loss_end", "whole"]
 
     def run(batches):
@@ -126,7 +129,8 @@ def prefix_target_examples(df: DataFrame, conv_col: str = "conv_id", turn_col: s
         if out:
             yield _batch(out, types, names)
 
-    return dealt.mapInArrow(run, f"conv {id_type}, example int, formatted string, loss_start long, loss_end long, whole boolean")
+    schema = f"conv {id_type}, example int, formatted string, loss_start long, loss_end long, whole boolean"
+    return kept.mapInArrow(run, schema).unionByName(dealt.mapInArrow(run, schema))
 
 
 def read_back(examples: DataFrame) -> DataFrame:
