@@ -22,7 +22,8 @@ from tributary.plans.standins import table
 from tributary.schemas import AGENTS, CALL_LOGS, SOCIAL_MEDIA
 from tributary.session import scratch_path
 from tributary.sinks import audit as audit_sink
-from tributary.sinks.lake import layer_path, write_dated
+from tributary.sinks.lake import PARTITION_COLS, layer_path, write_dated
+from tributary.sinks.versioned import read_version, write_version
 from tributary.sinks.warehouse import Warehouse
 from tributary.sources import jdbc
 from tributary.sources.csvsrc import NULL_VALUES, read_csv_files
@@ -245,6 +246,22 @@ def q_partitioned_rewrite(spark, sf):
     return back.select("event_id", "user_id", "event_type", "year", "month", "day")
 
 
+@register("versioned_rewrite", """
+select event_id, user_id, event_type, cast(year(ts) as int) as year, cast(month(ts) as int) as month,
+       cast(day(ts) as int) as day
+from events
+""")
+def q_versioned_rewrite(spark, sf):
+    """Events of the first days with a wrong type and all others as one snapshot, then those days
+    replaced together by the next."""
+    path = f"{scratch_path(spark, 'versioned')}/events"
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", *date_parts(F.col("ts")))
+    early = F.col("day") < 8
+    write_version(ev.withColumn("event_type", F.when(early, F.lit("wrong")).otherwise(F.col("event_type"))), path, PARTITION_COLS)
+    write_version(ev.where(early), path, PARTITION_COLS, mode="partitions")
+    return read_version(spark, path)
+
+
 @register("static_layer_load", """
 select cast(s_suppkey as varchar) as id, s_name as name, cast(s_acctbal as varchar) as experience,
        cast(s_nationkey as varchar) as state
