@@ -418,17 +418,25 @@ def q_completeness(spark, sf):
 
 
 @register("completeness_empty", """
-select * from (values ('completeness', 0::bigint, null::double), ('uniqueness', 0::bigint, null::double),
+select 'none' as rows_of, * from (values ('completeness', 0::bigint, null::double), ('uniqueness', 0::bigint, null::double),
   ('row_count', (select count(*) from lineitem where l_quantity < 0), 0.0::double)) t(metric, n, share)
+union all select 'all', 'completeness', count(*), count(l_orderkey) / count(*) from lineitem
+union all select 'all', 'uniqueness', count(*), count(distinct l_orderkey) / count(*) from lineitem
+union all select 'all', 'row_count', count(*), count(*)::double from lineitem
 """)
 def q_completeness_empty(spark, sf):
-    """D6/D7/D10 on a table that has no rows: counts of 0 and no share."""
-    none = table(spark, sf, "lineitem").where("l_quantity < 0").select("l_orderkey")
-    c = checks.completeness(none, ["l_orderkey"]).select(F.lit("completeness").alias("metric"), F.col("total").alias("n"), F.col("completeness").alias("share"))
-    u = checks.uniqueness(none, ["l_orderkey"]).select(F.lit("uniqueness").alias("metric"), F.col("rows").alias("n"), F.col("uniqueness").alias("share"))
-    p = checks.profile(none, min_rows=0, completeness_of=["l_orderkey"]).where("metric = 'row_count'").select(
-        "metric", F.col("value").cast("long").alias("n"), F.col("value").alias("share"))
-    return c.unionByName(u).unionByName(p)
+    """D6/D7/D10 on a whole table and on one that has no rows (counts of 0 and no share)."""
+    lines = table(spark, sf, "lineitem")
+    out = None
+    for name, df in (("all", lines), ("none", lines.where("l_quantity < 0"))):
+        df = df.select("l_orderkey")
+        c = checks.completeness(df, ["l_orderkey"]).select(F.lit("completeness").alias("metric"), F.col("total").alias("n"), F.col("completeness").alias("share"))
+        u = checks.uniqueness(df, ["l_orderkey"]).select(F.lit("uniqueness").alias("metric"), F.col("rows").alias("n"), F.col("uniqueness").alias("share"))
+        p = checks.profile(df, min_rows=0, completeness_of=["l_orderkey"]).where("metric = 'row_count'").select(
+            "metric", F.col("value").cast("long").alias("n"), F.col("value").alias("share"))
+        both = c.unionByName(u).unionByName(p).select(F.lit(name).alias("rows_of"), "*")
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 @register("uniqueness", """

@@ -366,7 +366,7 @@ def q_web_forms_extract(spark, sf):
     with ThreadPoolExecutor(max_workers=8) as pool:  # concurrent Spark jobs, one per table
         list(pool.map(lambda d: jdbc.write_table(ev.where(F.col("d") == d).drop("d"), src,
                                                  f"web_form_request_{d}"), days))
-    jdbc.write_table(ev.limit(3).drop("d"), src, "web_form_request_backup")
+    jdbc.write_table(ev.where(F.col("d") == days[0]).drop("d"), src, "web_form_request_backup")
     extracted = src.extract_dated_tables(spark, key="Form ID", as_of=AS_OF_STAMP)
     base = scratch_path(spark, "web-forms")
     reference.load_web_forms(extracted, base, execution_date="2024-02-01", as_of=AS_OF_STAMP)
