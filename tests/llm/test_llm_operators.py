@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -374,6 +376,32 @@ def test_suffix_dedup_rows_repeated_in_full(spark, options):
     assert [by[i] for i, t in once[:2]] == [{(len(t), 0, 0, t.encode())} for _, t in once[:2]]
 
 
+def test_suffix_dedup_repetitive_texts(spark):
+    rnd = random.Random(8)
+    rows = [(i, "".join(rnd.choice("abc") for _ in range(p)) * (700 // p + i)) for i, p in enumerate([1, 1, 2, 3, 7, 40, 99, 100, 101, 250] * 2)]
+    rows += [(50, "x" * 900 + "y" + "x" * 900), (51, "x" * 254), (52, "x" * 255), (53, "z" * 100), (54, "z" * 101)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs_of(spark, plain(rows))).collect()}
+    assert got == brute_repeats(rows, 100)
+
+
+def test_suffix_runs_of_one_letter_are_bounded(spark):
+    n = 8_000_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a" * n]), pa.array([0])], names=["id", "text", "tag"])
+    tracemalloc.start()
+    rows = settled = 0
+    for b in suffix_dedup._runs_of([batch], 100, 24):
+        rows += b.num_rows
+        start, length, _ = suffix_dedup._unpack(b.column(5).to_numpy())
+        settled += int(length[b.column(0).to_numpy(zero_copy_only=False)].sum())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    slabs = -(-n // suffix_dedup.SLAB)
+    assert settled == n - 99 - slabs and rows < n / 200      # one start a slab is left to the shuffle
+    assert peak < 150e6
+    cut = suffix_dedup.remove_repeats(docs_of(spark, plain([(1, "a" * n), (2, "b")]))).select("doc_id", "n_removed", "n_spans", "kept_text").collect()
+    assert sorted(map(tuple, cut)) == [(1, n - 1, 1, "a"), (2, 0, 0, "b")]
+
+
 def test_suffix_dedup_many_texts_of_one_id(spark):
     import xxhash
 
@@ -594,6 +622,38 @@ def test_language_sample_of_repeated_and_letterless_rows(spark):
     assert {lang: len(set(d.split(b"\n"))) for lang, d in learned.items()} == {"de": 10, "en": 10}
 
 
+def test_language_margins(spark):
+    """Random letters are rejected at every length, clean texts hardly ever."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    dictionaries = langid.learn_dictionaries(docs.where(~langid.held_out("doc_id")))
+    rnd = random.Random(1)
+    for words in (30, 100, 400, 3000):
+        rows = [(i, " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(words))) for i in range(100)]
+        assert langid.identify(docs_of(spark, plain(rows)), dictionaries).where("rejected").count() >= 95, words
+    clean = docs.where(langid.held_out("doc_id") & (F.length("text") >= 32))
+    told = langid.identify(clean, dictionaries)
+    assert told.where("rejected").count() <= 0.01 * clean.count()
+    kept = langid.accepted(clean, dictionaries)
+    assert kept.count() == told.where("not rejected").count() and kept.columns == clean.columns
+
+
+def test_language_rows_as_they_come(spark):
+    """Repeated rows, null ids, very long texts, clashing names, ties; a first letter far into a text."""
+    german, english = "der die das und ist nicht mit ein von zu ", "the of and to in is that it was for "
+    train = [(i, " " * 600 * (i % 2) + t * 5 + str(i), lang) for i in range(20) for t, lang in ((german, "de"), (english, "en"))]
+    dictionaries = langid.learn_dictionaries(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    assert all(d.count(b"\n") == 19 for d in dictionaries.values())
+    rows = [(1, german), (1, german), (None, english), (None, english), (2, (german + english[:9]) * 40_000)]
+    df = spark.createDataFrame([(i, t, "x", 0.5, True) for i, t in rows], "doc_id long, text string, lang_pred string, score double, rejected boolean")
+    got = sorted(((r.doc_id, r.lang_pred) for r in langid.identify(df, dictionaries).collect()), key=str)
+    assert got == sorted([(1, "de"), (1, "de"), (None, "en"), (None, "en"), (2, "de")], key=str)
+    assert langid.accepted(df, dictionaries).columns == df.columns
+    same = {"b": dictionaries["de"], "a": dictionaries["de"]}
+    tied = langid.identify(df, same).select("lang_pred", "rejected").distinct().collect()
+    assert [tuple(r) for r in tied] == [("a", True)]
+    assert langid.margin_bars(spark, same) == langid.margin_bars(spark, dict(reversed(same.items())))
+
+
 def test_language_odd_rows(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     dictionaries = langid.learn_dictionaries(docs)

@@ -34,7 +34,9 @@ DEPTH = 100
 GRAM = 24            # bytes of an anchor
 GROUP = 1024         # different runs under one anchor that a task sorts together
 SLAB = 1 << 18       # bytes of text whose anchors are found at once
-ROWS = 1000          # texts whose runs are held at once
+ROWS = 1000          # texts whose runs are held at once,
+RUNS = 200_000       # and about as many runs, whatever the texts
+CUT_BYTES = 1 << 24  # of text whose result is held at once
 WINDOWS = 250_000    # strings a task sorts at once
 DUP, CONTESTED, HOT, FIRST = 0, 1, 2, 3
 
@@ -141,27 +143,54 @@ def _raw(column) -> list[bytes]:
 _NAMES = ["settled", "b", "r", "id", "tag", "at"]
 
 
+def _folded(i, t, at):
+    """Runs of the same texts with runs that follow each other joined, 255 starts a row at most."""
+    start, n, _ = _unpack(at)
+    order = np.lexsort((start, t, i))
+    i, t, start, n = (x[order] for x in (i, t, start, n))
+    opens = np.ones(len(i), bool)
+    opens[1:] = (i[1:] != i[:-1]) | (t[1:] != t[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    first = np.nonzero(opens)[0]
+    length = np.add.reduceat(n, first) if len(first) else n
+    rows = -(-length // 255)
+    of = np.repeat(np.arange(len(first)), rows)
+    skip = 255 * (np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows))
+    first = first[of]
+    return i[first], t[first], _pack(start[first] + skip, np.minimum(length[of] - skip, 255), 0)
+
+
 def _runs_of(batches, depth, gram):
-    """A row per run; one whose equal comes before it in the same ``ROWS`` texts is settled on the spot."""
+    """A row per run; those whose equal comes before them among the runs held together are settled on the
+    spot, and joined where they follow each other.  Held are the runs of up to ``ROWS`` texts, ``RUNS`` or a slab more."""
+
+    def rows_of(found):
+        i, t, at, h, r = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((at, t, i, r, h))
+        i, t, at, h, r = (x[order] for x in (i, t, at, h, r))
+        again = np.zeros(len(h), bool)
+        again[1:] = (h[1:] == h[:-1]) & (r[1:] == r[:-1])
+        done = _folded(i[again], t[again], at[again])
+        dealt = done[0] * np.int64(-7046029254386353131) + done[2]     # settled rows go anywhere
+        new = ~again
+        for settled, columns in ((True, (dealt, np.zeros(len(dealt), np.int64), *done)), (False, (h[new], r[new], i[new], t[new], at[new]))):
+            for lo in range(0, len(columns[0]), 50_000):
+                part = [pa.array(c[lo:lo + 50_000]) for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part[0]), settled)), *part], names=_NAMES)
+
     for b in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
         ids, tags, texts = b.column(0).to_numpy(), b.column(2).to_numpy(), _raw(b.column(1))
-        found = []
+        found, held = [], 0
         for index, place, buf, ends in _slabs(texts, depth):
             first, n, ahead, h, r = anchored_runs(buf, ends, depth, gram)
             part = np.searchsorted(ends, first, "right")
             begin = np.concatenate([[0], ends[:-1]])[part]
             found.append((ids[index[part]], tags[index[part]], _pack(first - begin + place[part], n, ahead), h.view(np.int64), r.view(np.int64)))
-        if not found:
-            continue
-        i, t, at, h, r = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((at, t, i, r, h))
-        i, t, at, h, r = (x[order] for x in (i, t, at, h, r))
-        again = np.zeros(len(h), bool)
-        again[1:] = (h[1:] == h[:-1]) & (r[1:] == r[:-1])
-        dealt = np.where(again, i * np.int64(-7046029254386353131) + at, h)     # settled rows go anywhere
-        for lo in range(0, len(h), 50_000):
-            s = slice(lo, lo + 50_000)
-            yield pa.RecordBatch.from_arrays([pa.array(again[s]), pa.array(dealt[s]), pa.array(r[s]), pa.array(i[s]), pa.array(t[s]), pa.array(at[s])], names=_NAMES)
+            held += len(first)
+            if held >= RUNS:
+                yield from rows_of(found)
+                found, held = [], 0
+        if found:
+            yield from rows_of(found)
 
 
 def _settle(batches, group):
@@ -231,12 +260,14 @@ def _strings(batches, depth, gram):
 
     rows: list[tuple] = []
     for b in batches:
-        for i, text, tag, runs in zip(b.column(0).to_pylist(), _raw(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
-            for one in runs:
-                start, n, ahead = _unpack(one["at"])
-                if one["what"] == CONTESTED:
+        for i, text, tag, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3)):
+            text = text.as_py().encode("utf-8", "surrogatepass")
+            for at, what in ((x, y) for lo in range(0, len(runs), 10_000)
+                             for x, y in zip(*(runs.values.field(c)[lo:lo + 10_000].to_pylist() for c in ("at", "what")))):
+                start, n, ahead = _unpack(at)
+                if what == CONTESTED:
                     g = xxhash.xxh64_intdigest(text[start + ahead:start + ahead + gram])
-                    rows.append((CONTESTED, g - (1 << 63), 0, i, tag, one["at"], text[start:start + n - 1 + depth]))
+                    rows.append((CONTESTED, g - (1 << 63), 0, i, tag, at, text[start:start + n - 1 + depth]))
                 else:
                     for s in range(start, start + n):
                         d = xxhash.xxh3_128_intdigest(text[s:s + depth])
@@ -454,10 +485,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     at = names.index(text_col)
 
     def cut(batches):
+        def rows(lo, hi, out):
+            return pa.RecordBatch.from_arrays([*(b.column(i).slice(lo, hi - lo) for i in range(len(names))),
+                                               *(pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())))],
+                                              names=[*names, *new])
+
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            found_column = b.column(len(names))
-            for text, f in zip(b.column(at), found_column):
+            lo = size = 0
+            for k, (text, f) in enumerate(zip(b.column(at), b.column(len(names)))):
+                if size >= CUT_BYTES:
+                    yield rows(lo, k, out)
+                    out, lo, size = [[], [], [], [], []], k, 0
                 text = text.as_py()
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 spans = []
@@ -468,8 +507,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 told = text if not spans else without(raw, whole_characters(raw, spans)).decode("utf-8", "replace")
                 for o, x in zip(out, (len(raw), len(raw) - len(kept), len(spans), kept, told)):
                     o.append(x)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), *(pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())))],
-                                             names=[*names, *new])
+                size += len(raw)
+            yield rows(lo, b.num_rows, out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*names).schema.fields)
     return joined.mapInArrow(cut, schema + ", n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
