@@ -610,10 +610,25 @@ def q_call_logs_extract(spark, sf):
     from tributary.sources.csvsrc import extract_call_logs
     base = scratch_path(spark, "s7")
     _write_call_log_csvs(spark, sf, f"{base}/bucket/call_logs")
-    df = extract_call_logs(spark, f"{base}/bucket", prefix="call_logs", as_of=AS_OF_STAMP)
+    df = extract_call_logs(spark, f"{base}/bucket", prefix="call_logs", as_of=AS_OF_STAMP, landing=f"{base}/landed")
     return df.drop("_source_location")
 
 
+@register("landed_stamp", """
+select event_id, user_id, ts, strftime(ts, '%Y-%m-%d') as form_date, timestamp '2025-12-01 06:30:00' as _extraction_timestamp,
+       'postgres_web_forms' as _source_system, 'unknown' as _source_location,
+       count(*) over (partition by strftime(ts, '%Y-%m-%d'))::bigint as _row_count
+from events
+""")
+def q_landed_stamp(spark, sf):
+    """Rows landed by day, stamped with their day's row count out of
+    the landed files' footers; the source is read once."""
+    from tributary.operators.metadata import stamp_landed
+    from tributary.schemas import SOURCE_SYSTEMS
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", F.date_format("ts", "yyyy-MM-dd").alias("form_date"))
+    return stamp_landed(ev, scratch_path(spark, "landed-stamp"), SOURCE_SYSTEMS["web_forms"], None, as_of=AS_OF_STAMP, count_by="form_date")
+
+
 @register("csv_passthrough", """
 select cast(c_custkey as int) as customer_id, c_name as name, null::varchar as gender,
        c_name || '@X.COM' as email, cast(c_nationkey as int) as address

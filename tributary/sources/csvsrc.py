@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.operators.columns import add_pandas_index_names, clean_headers
-from tributary.operators.metadata import stamp_metadata
+from tributary.operators.metadata import stamp_landed, stamp_metadata
 from tributary.operators.union import union_by_name
 from tributary.sources.byteranges import csv_records
 from tributary.sources.files import expand_paths, first_match, list_objects, same_path as _same_path, sniff_heads, unreadable
@@ -161,10 +161,11 @@ def extract_customers(spark: SparkSession, root: str, key: str | None = None, as
     return stamp_metadata(df, SOURCE_SYSTEMS["customers"], path, as_of=as_of)
 
 
-def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=None, **read) -> DataFrame:
+def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=None, landing: str | None = None, **read) -> DataFrame:
     """Every ``.csv`` under the prefix whose path contains ``call`` or
     ``logs``; union by name; light clean; stamp.  ``read``: options of
-    :func:`read_csv_files`."""
+    :func:`read_csv_files`.  ``landing``: a folder the rows go to as Parquet at once;
+    every CSV is then parsed one time, and the row count comes from the footers there."""
     listing = list_objects(spark, root, prefix=prefix, suffix=".csv", ignore_case=False)  # suffix match is case-sensitive (S5)
     from tributary.functions.text import path_predicate
     files = [r["path"] for r in listing.where(path_predicate(F.col("path"), contains_any=["call", "logs"]))
@@ -173,6 +174,8 @@ def extract_call_logs(spark: SparkSession, root: str, prefix: str = "", as_of=No
         raise FileNotFoundError("no call log CSV files found")
     df = clean_headers(read_csv_files(spark, files, **read), "light")
     location = f"{root.rstrip('/')}/{prefix}" if prefix else f"{root.rstrip('/')}/"
+    if landing:
+        return stamp_landed(df, landing, SOURCE_SYSTEMS["call_logs"], location, as_of=as_of)
     return stamp_metadata(df, SOURCE_SYSTEMS["call_logs"], location, as_of=as_of)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tributary.functions.jsonfn import flatten
 from tributary.operators.columns import clean_headers
-from tributary.operators.metadata import stamp_metadata
+from tributary.operators.metadata import stamp_landed, stamp_metadata
 from tributary.operators.union import union_by_name
 from tributary.session import scratch_path
 from tributary.sources.byteranges import json_elements
@@ -198,9 +198,10 @@ def read_json(spark: SparkSession, path: str | list[str], **kw) -> DataFrame:
     return read_json_files(spark, [path] if isinstance(path, str) else list(path), **kw)
 
 
-def extract_social_media(spark: SparkSession, root: str, prefix: str = "", as_of=None, **kw) -> DataFrame:
+def extract_social_media(spark: SparkSession, root: str, prefix: str = "", as_of=None, landing: str | None = None, **kw) -> DataFrame:
     """Every ``.json`` under the prefix whose path contains ``social``;
-    union; light header clean; stamp ``s3_social_media``."""
+    union; light header clean; stamp ``s3_social_media``.  ``landing``: a folder the rows go
+    to as Parquet at once; every file is then parsed one time, and the row count comes from the footers there."""
     listing = list_objects(spark, root, prefix=prefix, suffix=".json", ignore_case=False)  # suffix match is case-sensitive (S5)
     files = [r["path"] for r in listing.where(F.lower("path").contains("social")).select("path")
              .orderBy("path").collect()]
@@ -208,4 +209,6 @@ def extract_social_media(spark: SparkSession, root: str, prefix: str = "", as_of
         raise FileNotFoundError("no social media JSON files found")
     df = clean_headers(read_json_files(spark, files, **kw), "light")
     location = f"{root.rstrip('/')}/{prefix}" if prefix else f"{root.rstrip('/')}/"
+    if landing:
+        return stamp_landed(df, landing, SOURCE_SYSTEMS["social_media"], location, as_of=as_of)
     return stamp_metadata(df, SOURCE_SYSTEMS["social_media"], location, as_of=as_of)
