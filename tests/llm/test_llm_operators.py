@@ -559,6 +559,14 @@ def test_near_links_connect_what_brute_force_connects(spark, distance):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
+@pytest.mark.parametrize("thresholds", [[2, 1, -1], [-1, 1, 2], [0, 0, 2], [1, 2], [3, 0]])
+def test_near_links_with_unequal_thresholds(spark, monkeypatch, thresholds):
+    """Parts probed at unequal distances, one not at all, find what brute force finds."""
+    monkeypatch.setattr(simhash, "choose_partition", lambda n, both, distance: (simhash.group_bits(n, both, len(thresholds)), thresholds))
+    assert sum(thresholds) == 4 - len(thresholds) + 1
+    test_near_links_connect_what_brute_force_connects(spark, 4)
+
+
 @pytest.mark.parametrize("distance", [0, 3, 4, 7])
 def test_thresholds_are_enough(distance):
     rng = np.random.default_rng(distance)
