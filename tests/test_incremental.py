@@ -79,3 +79,15 @@ def test_refresh_reads_the_named_partitions(spark, tmp):
     plan = plan_text(models.fct_complaints(spark.read.parquet(f"{tmp}/u").where(F.col("part").isin("d1")),
                                            spark.createDataFrame([("u1", "x")], "customer_id string, name string"), spark.createDataFrame([("a1", "x")], "agent_id string, name string"), keep=["part"]))
     assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ = d1", plan)
+
+
+def test_a_large_partition_is_dealt_over_tasks(spark, tmp):
+    rows = complaints(spark, "big", range(4000)).unionByName(complaints(spark, "small", range(40))).coalesce(1)      # one mapper holds all
+    from tributary.plans.incremental import dealt_by_partition, partition_counts
+    counts = partition_counts(rows, "part")
+    assert counts == {"big": 4000, "small": 40}
+    dealt = dealt_by_partition(rows, "part", counts, rows=200)
+    tasks = dealt.select("part", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert max(r["count"] for r in tasks) <= 1200 and len(tasks) > 5
+    assert dealt.where("part = 'small'").select(F.spark_partition_id()).distinct().count() == 1
+    assert sorted(dealt.collect(), key=repr) == sorted(rows.collect(), key=repr)

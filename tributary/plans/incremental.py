@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tributary.plans.models import _q, fct_complaints, latest_per_key
+from tributary.plans.models import _orderable, _q, fct_complaints, latest_per_key
 from tributary.session import scratch_path
 
 BUCKETS = 64
+ROWS = 500_000     # rows of one partition that a task writes, about
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -29,8 +30,25 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _replace_partitions(df: DataFrame, path: str, column: str) -> None:
     """Write ``df``, replacing the partitions it holds and no others."""
-    (df.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(column).parquet(path))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def partition_counts(df: DataFrame, column: str) -> dict:
+    """Rows of each partition; as many values as there are partitions."""
+    return {r[column]: r["n"] for r in df.groupBy(_q(column)).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def dealt_by_partition(df: DataFrame, column: str, counts: dict, rows: int = ROWS) -> DataFrame:
+    """``df`` dealt for a write partitioned by ``column``: a partition goes to one task, one
+    of more than ``rows`` rows (by ``counts``) to several by a hash of the row, so that no
+    task's share grows with a partition, whichever mappers its rows come from."""
+    pieces = {v: -(-n // rows) for v, n in counts.items() if v is not None and n > rows}
+    tasks = max(1, -(-2 * sum(counts.values()) // rows))
+    if not pieces:
+        return df.repartition(tasks, _q(column))
+    of = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair])
+    piece = F.pmod(F.xxhash64(*[_q(c) for c in df.columns if _orderable(df.schema[c].dataType)]), F.coalesce(of[_q(column)], F.lit(1)))
+    return df.repartition(tasks, _q(column), piece)
 
 
 def update_dimension(spark: SparkSession, path: str, delta: DataFrame, key: str, order_cols: list[str], tracked: list[str],
@@ -58,7 +76,7 @@ def update_dimension(spark: SparkSession, path: str, delta: DataFrame, key: str,
      .select("key").write.parquet(changed_path))
     if new.isEmpty():
         return spark.read.schema(after.select("key").schema).parquet(changed_path)
-    _replace_partitions(new, path, "bucket")
+    _replace_partitions(new.hint("rebalance", F.col("bucket")), path, "bucket")
     return spark.read.schema(after.select("key").schema).parquet(changed_path)
 
 
@@ -87,10 +105,10 @@ def refresh_fact(spark: SparkSession, unified: DataFrame, customers_dim: DataFra
         return []
     rows = unified.where(F.col(part_col).isin(todo))
     made = fct_complaints(rows, customers_dim, agents_dim, keep=[part_col])
-    left = {r[part_col] for r in rows.select(part_col).distinct().collect()}
+    left = partition_counts(rows, part_col)
     if left:
-        _replace_partitions(made, path, part_col)
-    for gone in (set(todo) - left if fact is not None else ()):
+        _replace_partitions(dealt_by_partition(made, part_col, left), path, part_col)
+    for gone in (set(todo) - left.keys() if fact is not None else ()):
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={gone}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return todo

@@ -689,7 +689,7 @@ def q_fct_incremental(spark, sf):
     """K17, M5, M6 by what changed: the fact of the complaints to 1996 with some
     customers under old names; then the later months and the right names come,
     and only their partitions are rewritten.  Equal to the full build."""
-    from tributary.plans.incremental import refresh_fact, update_dimension
+    from tributary.plans.incremental import dealt_by_partition, partition_counts, refresh_fact, update_dimension
     base = scratch_path(spark, "fct-incremental")
     unified = models.int_complaints_unified(
         models.stg_call_logs(standins.call_logs(spark, sf)), models.stg_web_forms(standins.web_forms(spark, sf)),
@@ -700,13 +700,13 @@ def q_fct_incremental(spark, sf):
     agents = standins.agents(spark, sf)
     agents = models.stg_agents(agents).withColumn("__version", F.lit(1))
     for step, rows in enumerate((unified.where(early), unified.where(~early))):
-        rows.repartition("part").write.partitionBy("part").mode("append").parquet(f"{base}/unified")
+        counts = partition_counts(rows, "part")      # as many as there are months
+        dealt_by_partition(rows, "part", counts).write.partitionBy("part").mode("append").parquet(f"{base}/unified")
         came = customers.withColumn("name", F.when(stale, F.lit("old name")).otherwise(F.col("name"))) if step == 0 else customers.where(stale).withColumn("__version", F.lit(2))
         new_customers = update_dimension(spark, f"{base}/customers", came, "customer_id", ["__version"], ["name"], buckets=8)
         new_agents = update_dimension(spark, f"{base}/agents", agents if step == 0 else agents.where("false"), "agent_id", ["__version"], ["name"], buckets=8)
-        parts = [r["part"] for r in rows.select("part").distinct().collect()]      # as many as there are months
         refresh_fact(spark, spark.read.parquet(f"{base}/unified"), spark.read.parquet(f"{base}/customers"), spark.read.parquet(f"{base}/agents"),
-                     f"{base}/fact", parts, changed_customers=new_customers, changed_agents=new_agents)
+                     f"{base}/fact", list(counts), changed_customers=new_customers, changed_agents=new_agents)
     return spark.read.parquet(f"{base}/fact").select(
         "complaint_id", "source_system", "customer_id", "customer_name", "agent_id", "agent_name", "category", "resolution_status", "opened_at", "closed_at",
         "resolution_seconds", "channel")
