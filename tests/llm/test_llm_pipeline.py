@@ -108,3 +108,38 @@ def test_registered_queries_run(spark, name):
 
 def test_suffix_windows_bound():
     assert suffix_dedup.DEPTH - suffix_dedup.GRAM + 1 < 256      # a run's length is kept in a byte
+
+
+def test_tasks_give_their_memory_back(monkeypatch):
+    import ctypes
+    from types import SimpleNamespace
+
+    from tributary.llm.common import tidy
+
+    trims = []
+    monkeypatch.setattr(ctypes, "CDLL", lambda name: SimpleNamespace(malloc_trim=trims.append))
+    assert list(tidy(lambda batches: (2 * b for b in batches))(iter([1, 2, 3]))) == [2, 4, 6] and trims == [0]
+    stopped = tidy(iter)([1, 2])
+    assert next(stopped) == 1
+    stopped.close()                                   # a task that a limit ends early
+    assert trims == [0, 0]
+
+    def fails(batches):
+        yield from batches
+        raise ValueError("told")
+
+    with pytest.raises(ValueError, match="told"):
+        list(tidy(fails)([1]))
+    assert trims == [0, 0, 0]
+    monkeypatch.setattr(ctypes, "CDLL", lambda name: SimpleNamespace())      # another C library
+    assert list(tidy(iter)([1])) == [1]
+
+
+def test_pipeline_operators_tidy_their_tasks(spark, monkeypatch):
+    ship_package(spark)
+    docs = spark.createDataFrame([(1, "a b c d e f " * 30, "en")], "doc_id long, text string, lang string")
+    seen = []
+    was = suffix_dedup.tidy
+    monkeypatch.setattr(suffix_dedup, "tidy", lambda run: seen.append(run) or was(run))
+    suffix_dedup.remove_repeats(docs).collect()
+    assert len(seen) == 5

@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .common import tidy
+
 # The byte-level pre-tokenizer's pattern, and Unicode white space.
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -280,7 +282,7 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [part.column(0), pa.array([bpe.encode(t.as_py() or "") for t in part.column(1)], pa.binary())],
                     names=[id_col, "ids"])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, ids binary")
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"`{id_col}` {id_type}, ids binary")
 
 
 def decode_ids(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
@@ -301,7 +303,7 @@ def decode_ids(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", voca
                     names=[id_col, "n_tokens", "ids_text", "decoded"])
 
     return df.select(F.col(id_col), F.col(ids_col)).mapInArrow(
-        run, f"`{id_col}` {id_type}, n_tokens long, ids_text string, decoded string")
+        tidy(run), f"`{id_col}` {id_type}, n_tokens long, ids_text string, decoded string")
 
 
 def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024,
@@ -336,4 +338,4 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(rows[5], pa.binary())] * with_ids, names=names + ["ids"] * with_ids)
 
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        run, f"`{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+        tidy(run), f"`{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)

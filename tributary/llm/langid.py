@@ -23,7 +23,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import ship_package
+from .common import ship_package, tidy
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
@@ -142,7 +142,7 @@ def margin_bars(spark: SparkSession, dictionaries: dict[str, bytes], level: int
                     points.append((float(np.median(sizes[:, 0])), float(np.quantile((sizes[:, 1] - sizes[:, 0]) / root, 1 - narrow))))
                 yield pa.RecordBatch.from_arrays([pa.array([content[i][0]]), pa.array([[p[0] for p in points]]), pa.array([[p[1] for p in points]])], names=["lang", "size", "bar"])
 
-    rows = (spark.range(0, len(content), 1, len(content)).mapInArrow(run, "lang string, size array<double>, bar array<double>").collect())
+    rows = (spark.range(0, len(content), 1, len(content)).mapInArrow(tidy(run), "lang string, size array<double>, bar array<double>").collect())
     return {r["lang"]: sorted(zip(r["size"], r["bar"])) for r in rows}
 
 
@@ -194,7 +194,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                                              names=[id_col, "lang_pred", "score", "rejected"])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double, rejected boolean")
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"`{id_col}` {id_type}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(df: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", level: int = LEVEL, narrow: float = NARROW) -> DataFrame:
@@ -214,4 +214,4 @@ def accepted(df: DataFrame, dictionaries: dict[str, bytes], text_col: str = "tex
                 keep.append(ok and not _is_narrow(encoded_sizes(text, compressors), names, bars))
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_width, stage
+from .common import shuffle_width, stage, tidy
 
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -54,7 +54,7 @@ def line_hashes(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
 
     return (df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(id_col), F.col(text_col), F.xxhash64(text_col).alias("tk"))
-            .mapInArrow(run, f"h1 long, h2 long, id {id_type}, tk long, at binary, n_lines int"))
+            .mapInArrow(tidy(run), f"h1 long, h2 long, id {id_type}, tk long, at binary, n_lines int"))
 
 
 def _stream(batches, min_docs: int):
@@ -122,7 +122,7 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = hashes.schema["id"].dataType.simpleString()
     dealt = (hashes.repartitionByRange(shuffle_width(spark), "h1", "h2", "id")
              .sortWithinPartitions("h1", "h2", F.desc("id"), "tk"))
-    settled = stage(dealt.mapInArrow(lambda batches: _stream(batches, min_docs),
+    settled = stage(dealt.mapInArrow(tidy(lambda batches: _stream(batches, min_docs)),
                                      f"kind int, h1 long, h2 long, id {id_type}, tk long, at binary, n_lines int, n long"), "line-decisions")
     total = (settled.where("kind = 2").groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.max("id").alias("best"))
              .where(F.col("docs") >= min_docs))
@@ -144,7 +144,7 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     return (dropped.groupBy("id", "tk").agg(F.max("n_lines").alias("n_lines"), F.collect_list("at").alias("parts"))
             .select("id", "tk", "n_lines", "parts")
-            .mapInArrow(bitmap, f"id {id_type}, tk long, n_lines int, n_dropped int, keep binary"))
+            .mapInArrow(tidy(bitmap), f"id {id_type}, tk long, n_lines int, n_dropped int, keep binary"))
 
 
 def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,7 +178,7 @@ def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_lines, pa.int64()), pa.array(lost, pa.int64())], names=[*names, "n_lines", "n_dropped"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", n_lines long, n_dropped long"
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(tidy(cut), schema)
 
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import shuffle_width, stage
+from .common import shuffle_width, stage, tidy
 
 
 def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -154,7 +154,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", or
                                              names=[*kept, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
-    placed = ranked.select(*kept, "__tributary_length", "__tributary_rank").mapInArrow(places, schema)
+    placed = ranked.select(*kept, "__tributary_length", "__tributary_rank").mapInArrow(tidy(places), schema)
     none = F.lit(None).cast("long")
     return placed.unionByName(written.where(F.col("__tributary_length").isNull()).select(*kept, none.alias("sequence_id"), none.alias("offset")))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import shuffle_width, stage, text_key
+from .common import shuffle_width, stage, text_key, tidy
 
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 BLANK = re.compile("[\\x20\\x09-\\x0D]")
@@ -78,7 +78,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     beside = list(KEY) if with_key else []
     keys = [text_key(text_col)[part].alias(c) for c, part in zip(beside, "ab")]
     return (df.select(F.col(id_col), F.col(text_col), *keys)
-            .mapInArrow(run, f"`{id_col}` {id_type}, fp long" + "".join(f", {c} long" for c in beside)))
+            .mapInArrow(tidy(run), f"`{id_col}` {id_type}, fp long" + "".join(f", {c} long" for c in beside)))
 
 
 # --- the partition of the bits and its thresholds ----------------------------------------------
@@ -93,7 +93,7 @@ def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
             n += len(bits)
         yield pa.RecordBatch.from_arrays([pa.array(range(4096), pa.int32()), pa.array(both.ravel()), pa.array([n] * 4096, pa.int64())], names=["cell", "n_both", "n"])
 
-    rows = (fps.select("fp").mapInArrow(run, "cell int, n_both long, n long")
+    rows = (fps.select("fp").mapInArrow(tidy(run), "cell int, n_both long, n long")
             .groupBy("cell").agg(F.sum("n_both").alias("n_both"), F.sum("n").alias("n")).collect())
     both = np.zeros(4096)
     for r in rows:
@@ -235,7 +235,7 @@ def near_links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFra
                             [pa.array([part] * len(fp), pa.int32()), pa.array(value.view(np.int64)), b.column(0), pa.array([int(e > 0)] * len(fp), pa.int32())],
                             names=["part", "value", "fp", "probe"])
 
-    signed = stage(fps.select("fp").mapInArrow(signatures, "part int, value long, fp long, probe int"), "simhash-signatures")
+    signed = stage(fps.select("fp").mapInArrow(tidy(signatures), "part int, value long, fp long, probe int"), "simhash-signatures")
     # buckets worth comparing: a stored fingerprint and another row; a large bucket is cut into blocks
     sizes = (signed.groupBy("part", "value").agg(F.count("*").alias("rows"), F.sum(1 - F.col("probe")).alias("stored"))
              .where((F.col("stored") > 0) & (F.col("rows") > 1))
@@ -286,7 +286,7 @@ def near_links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFra
             out += close(pd.concat(held))
         yield _pairs(out)
 
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(compare), "a long, b long").distinct()
 
 
 def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:

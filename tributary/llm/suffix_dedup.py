@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_width, stage
+from .common import shuffle_width, stage, tidy
 
 DEPTH = 100
 GRAM = 24            # bytes of an anchor
@@ -394,16 +394,16 @@ def repeated_strings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _tag(text_col, repeated).alias("tag")))
     if repeated:        # a row repeated in full must not count as a repeat of itself
         texts = texts.dropDuplicates(["id", "tag"])
-    runs = texts.mapInArrow(lambda bs: _runs_of(bs, depth, gram), "settled boolean, b long, r long, id long, tag long, at long")
+    runs = texts.mapInArrow(tidy(lambda bs: _runs_of(bs, depth, gram)), "settled boolean, b long, r long, id long, tag long, at long")
     known = stage(runs.repartition(width, "b").sortWithinPartitions("settled", "b", "r", "id", "tag", "at")
-                  .mapInArrow(lambda bs: _settle(bs, group), "id long, tag long, at long, what int"), "suffix-runs")
+                  .mapInArrow(tidy(lambda bs: _settle(bs, group)), "id long, tag long, at long, what int"), "suffix-runs")
     # back to the texts of contested runs for their bytes
     open_runs = known.where(F.col("what") != DUP).groupBy("id", "tag").agg(F.collect_list(F.struct("at", "what")).alias("runs"))
     strings = stage(texts.join(open_runs, ["id", "tag"]).select("id", "text", "tag", "runs")
-                    .mapInArrow(lambda bs: _strings(bs, depth, gram), "what int, g long, g2 long, id long, tag long, at long, bytes binary"), "suffix-strings")
+                    .mapInArrow(tidy(lambda bs: _strings(bs, depth, gram)), "what int, g long, g2 long, id long, tag long, at long, bytes binary"), "suffix-strings")
     sorted_out = stage(strings.where(F.col("what") == CONTESTED).select("g", "id", "tag", "at", "bytes")
                        .repartition(width, "g").sortWithinPartitions("g", "id", "tag", "at")
-                       .mapInArrow(lambda bs: _sort_groups(bs, depth), "id long, tag long, at long, what int"), "suffix-sorted")
+                       .mapInArrow(tidy(lambda bs: _sort_groups(bs, depth)), "id long, tag long, at long, what int"), "suffix-sorted")
     firsts = (strings.where(F.col("what") == HOT).groupBy("g", "g2").agg(F.min(F.struct("id", "tag", "at")).alias("m"))
               .select("m.*", F.lit(FIRST).alias("what")))
     found = known.where(F.col("what") != CONTESTED).unionByName(sorted_out).unionByName(firsts)
@@ -511,4 +511,4 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield rows(lo, b.num_rows, out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*names).schema.fields)
-    return joined.mapInArrow(cut, schema + ", n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
+    return joined.mapInArrow(tidy(cut), schema + ", n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
