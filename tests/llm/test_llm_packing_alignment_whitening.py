@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
-from tributary.llm import token_alignment, vector_packing, whitening
+from tributary.llm import bpe, token_alignment, vector_packing, whitening
 from tributary.llm.bpe import encode_texts, public_vocabulary
 from tributary.llm.common import ship_package
 from tributary.llm.queries import LLM_QUERIES
@@ -202,6 +202,29 @@ def test_alignment_of_the_query(spark):
     assert [(r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in got] == [(d.doc_id, *w) for d, w in zip(docs, want)]
 
 
+def test_alignment_encodes_a_slabs_new_words_at_once(monkeypatch):
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def encode(self, *args, **options):
+            self.calls += 1
+            return self.model.encode(*args, **options)
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["the", "naïve", "日本語", "😀", "can't", "x" * 70, "line\nbreak"]) + str(rng.randrange(900)) for _ in range(60)) for _ in range(40)]
+    texts += ["ﬁ ligature", "a  b", None, "", "an <|endoftext|> inside", "tail ", "\nhead", "x▁y z"] + [noisy(rng) for _ in range(40)]
+    al = token_alignment.Aligner(public_vocabulary(), public_vocabulary("piece_bpe_32k.model"))
+    want = [al.tokens(t) for t in texts]
+    counted = Counted(al.b.model)
+    monkeypatch.setattr(al.b, "model", counted)
+    token_alignment.align_slab(al, texts[:40])
+    assert counted.calls == 1                        # one a distinct word before
+    assert al.tokens_of(texts) == want
+    monkeypatch.setattr(bpe.Words, "look_up", lambda self, words: [(b"", b"")] * len(words))
+    assert al.tokens_of(texts) == want               # words that lose bytes: every text is judged whole
+
+
 def test_alignment_limits_change_nothing(spark, monkeypatch):
     rng = random.Random(6)
     texts = [noisy(rng) for _ in range(40)] + ["word " * 400 + "end", "a" * 3000]

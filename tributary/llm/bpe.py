@@ -22,6 +22,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -77,6 +78,48 @@ class Fragments(dict):
         return ids
 
 
+class Words:
+    """What ``encode_all`` gives for words, asked for all new ones of a run of texts at once."""
+
+    def __init__(self, encode_all):
+        self.encode_all = encode_all
+        self.known: dict = {}
+        self.before: dict = {}     # the generation before: what is met again moves up
+
+    def look_up(self, words: list[str]) -> list:
+        """One value per word; the words are distinct."""
+        out = list(map(self.known.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        old = list(map(self.before.get, [words[i] for i in missing])) if self.before else [None] * len(missing)
+        new = [i for i, x in zip(missing, old) if x is None]
+        made = iter(self.encode_all([words[i] for i in new]) if new else ())
+        for i, x in zip(missing, old):
+            out[i] = x = next(made) if x is None else x
+            if len(words[i]) < CACHED_LENGTH:
+                self.known[words[i]] = x
+        if len(self.known) >= CACHE_ENTRIES:
+            self.before, self.known = self.known, {}
+        return out
+
+
+def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words between blanks of some texts: the distinct ones, the number of each word
+    in turn among them, and the bounds of each text's words (one more than texts)."""
+    words = pc.split_pattern(pa.array(texts, pa.string()), " ")
+    coded = words.values.dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), words.offsets.to_numpy()
+
+
+def joined(parts: list[bytes], which: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per text the parts of its words, one after the other."""
+    if len(bounds) < 2:
+        return []
+    laid = pa.array(parts, pa.large_binary()).take(pa.array(which))
+    ends = np.frombuffer(laid.buffers()[1], "<i8", len(laid) + 1, 8 * laid.offset)[bounds].tolist()
+    data = memoryview(laid.buffers()[2] or b"")
+    return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary file (a ``tokenizers`` JSON)."""
 
@@ -102,6 +145,7 @@ class ByteBpe:
         self.fragments = Fragments(self.encode_fragment)
         self.blank_led = Fragments(self.encode_fragment, " ")
         self.break_led = Fragments(self.encode_fragment, "\n")
+        self.width = np.array([len(x) for x in self.bytes_of], np.int64)
 
     @cached_property
     def core(self):
@@ -185,6 +229,18 @@ class ByteBpe:
                 ids += self._merge_piece(piece.encode())
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def encode_led(self, words: list[str]) -> list[bytes]:
+        """Each word with a blank before it.  Short ones, without a blank or other white space at
+        their ends, are merged in one call and parted where their bytes end."""
+        if self.cut_words or not self.core or not self.cut_at_blanks:
+            return [self.encode_fragment(" " + w) for w in words]
+        short = [w for w in words if len(w) < CACHED_LENGTH and w and w[-1] != "\n"]
+        ids = bytes(self.core.encode_to_tiktoken_buffer("".join([" " + w for w in short]), NO_SPECIAL))
+        ends = np.cumsum([len(w.encode()) + 1 for w in short])
+        at = [0, *(4 * (np.searchsorted(np.cumsum(self.width[np.frombuffer(ids, "<u4")]), ends) + 1)).tolist()]
+        parts = (ids[a:b] for a, b in zip(at, at[1:]))
+        return [next(parts) if len(w) < CACHED_LENGTH and w and w[-1] != "\n" else self.encode_fragment(" " + w) for w in words]
+
     def _merge_piece(self, raw: bytes) -> list[int]:
         if self.inside.issuperset(zip(raw, raw[1:])):
             return self._merge_fragment(raw)
@@ -193,13 +249,17 @@ class ByteBpe:
     def _merge_fragment(self, fragment: bytes) -> list[int]:
         return self.core.encode_single_piece(fragment) if len(fragment) <= 200 and self.core else self.merge(fragment)
 
+    @staticmethod
+    def lone_white(text: str) -> bool:
+        """White space is single blanks and single line breaks, none beside another."""
+        return not (any(p in text for p in ODD_PAIRS) or any(c in text for c in ODD_ASCII) or not text.isascii() and ODD_WIDE.search(text))
+
     def _encode_plain(self, text: str) -> bytes:
         """A text without special tokens.  Where white space only ever stands alone, every blank
         and line break opens a fragment; other texts are cut by pattern before runs of white space."""
         if not self.cut_at_blanks:
             return self.encode_fragment(text)
-        if (any(p in text for p in ODD_PAIRS) or any(c in text for c in ODD_ASCII)
-                or not text.isascii() and ODD_WIDE.search(text)):
+        if not self.lone_white(text):
             return b"".join(map(self.fragments.__getitem__, FRAGMENT.findall(text)))
         out: list[bytes] = []
         opening = self.fragments

@@ -16,6 +16,7 @@ of documents, so a pair that almost every document holds is one row a chunk.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import PART, Fragments, byte_bpe, public_vocabulary
+from .bpe import PART, Fragments, Words, byte_bpe, joined, public_vocabulary, words_of
 from .common import ship_package, stage
 
 BLANK = "▁"
@@ -53,6 +54,9 @@ class PieceBpe:
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.model.encode(text), "<u4").tobytes()
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in self.model.encode(words, num_threads=1)]
+
     def _encode_part(self, text: str) -> bytes:
         if "  " in text or text[:1] == " " or text[-1:] == " " or not text:
             return self._encode(text)
@@ -78,7 +82,8 @@ class Aligner:
     """Two vocabularies with the tables that alignment needs."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = byte_bpe(path_a), PieceBpe(path_b)
+        self.a, self.b = byte_bpe(path_a, False), PieceBpe(path_b)      # only the ids count here
+        self.words = Words(self._encode_words)
         self.n_a, self.n_b = len(self.a.bytes_of), len(self.b.bytes_of)
         self.width_a = np.array([len(x) for x in self.a.bytes_of], np.int64)
         self.width_b = np.array([len(x) for x in self.b.bytes_of], np.int64)
@@ -102,6 +107,39 @@ class Aligner:
                 return b"", b""
         return ids_a, ids_b
 
+    def _encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids of both for words with the blank before them; nothing for one whose bytes either loses."""
+        raw = [(" " + w).encode() for w in words]
+        sides = self.a.encode_led(words), self.b.encode_words(words)
+        if all(map(self._gives_back, sides, (self.a.bytes_of, self.b.bytes_of), (self.width_a, self.width_b), (raw, raw))):
+            return list(zip(*sides))
+        return [both if all(map(self._gives_back, [[x] for x in both], (self.a.bytes_of, self.b.bytes_of), (self.width_a, self.width_b), ([r], [r])))
+                else (b"", b"") for r, *both in zip(raw, *sides)]
+
+    @staticmethod
+    def _gives_back(ids: list[bytes], table: list[bytes], width: np.ndarray, raw: list[bytes]) -> bool:
+        """Whether every word's tokens are its bytes."""
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        reach = np.concatenate([[0], np.cumsum(width[flat])])[np.cumsum([len(x) // 4 for x in ids])]
+        return (np.array_equal(reach, np.cumsum([len(r) for r in raw]))
+                and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(raw))
+
+    def tokens_of(self, texts: list) -> list[tuple[bytes, bytes]]:
+        """:meth:`tokens` of each text.  Where single blanks part both tokenizers' words, each distinct
+        word is encoded once; a text with a word that does not give its bytes back is judged whole."""
+        out: list = [None] * len(texts)
+        if self.b.certain and self.a.cut_at_blanks:
+            simple = [i for i, t in enumerate(texts) if t and len(t) <= PART and t[-1] != " " and self.a.lone_white(" " + t)]
+            words, which, bounds = words_of([texts[i] for i in simple])
+            ids = self.words.look_up(words)
+            lost = np.array([not a for a, _ in ids], bool)[which]
+            kept = ~np.logical_or.reduceat(lost, bounds[:-1]) if len(simple) else []
+            sides = [joined([x[k] for x in ids], which, bounds) for k in (0, 1)]
+            for i, whole, *both in zip(simple, kept, *sides):
+                if whole:
+                    out[i] = tuple(both)
+        return [self.tokens(t) if both is None else both for t, both in zip(texts, out)]
+
 
 @lru_cache(maxsize=2)
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -178,7 +216,7 @@ def distinct_pairs(ids_a, ids_b, start_a, start_b, count_a, count_b, doc, n_b):
 def align_slab(al: Aligner, texts: list) -> list[tuple]:
     """Per text ``(n_a, n_b, n_groups, n_links, groups, pairs, times)``: the groups
     written as text, the distinct pairs and how often each is linked, packed."""
-    tokens = [al.tokens(t) for t in texts]
+    tokens = al.tokens_of(texts)
     len_a, len_b = (np.array([len(t[k]) // 4 for t in tokens], np.int64) for k in (0, 1))
     ids_a, ids_b = (np.frombuffer(b"".join(t[k] for t in tokens), "<u4").astype(np.int64) for k in (0, 1))
     if not len(ids_a):
