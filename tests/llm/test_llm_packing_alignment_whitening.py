@@ -184,6 +184,22 @@ def noisy(rng):
     return "".join(rng.choice([rng.choice(words), rng.choice([" ", "  ", "\n", "\t", "", " "])]) for _ in range(rng.randint(0, 60)))
 
 
+def test_texts_encoded_together_equal_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    texts = [t or "" for _, t in ODD] + [noisy(rng) for _ in range(200)] + [" ".join(rng.choice(["one", "Straße", "can't", "x" * 70, "a\nb", "<|endoftext|>"]) for _ in range(30)) for _ in range(50)]
+    coder = bpe.ByteBpe(public_vocabulary(), False)
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(public_vocabulary()).encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode_many(texts) == want and coder.encode_many([]) == []
+    again = []
+    monkeypatch.setattr(coder.words, "encode_all", lambda words: again.extend(words) or coder.encode_led(words))
+    assert coder.encode_many(texts) == want and all(len(w) >= bpe.CACHED_LENGTH for w in again)
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    forgetful = bpe.ByteBpe(public_vocabulary(), False)
+    assert [i for t in texts for i in forgetful.encode_many([t])] == want
+
+
 def test_alignment_equals_brute_force(spark):
     rng = random.Random(5)
     texts = [t for _, t in ODD] + [noisy(rng) for _ in range(150)] + [" ".join(["word"] * 50)] * 3

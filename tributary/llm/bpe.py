@@ -43,6 +43,7 @@ ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
 PART = 1 << 18                # characters of a text that are cut into fragments at once
 CACHED_LENGTH = 64            # longer words are not remembered
+TOGETHER = 1 << 22            # characters whose distinct words are looked up together
 NO_SPECIAL: set[str] = set()
 
 
@@ -145,6 +146,7 @@ class ByteBpe:
         self.fragments = Fragments(self.encode_fragment)
         self.blank_led = Fragments(self.encode_fragment, " ")
         self.break_led = Fragments(self.encode_fragment, "\n")
+        self.words = Words(self.encode_led)
         self.width = np.array([len(x) for x in self.bytes_of], np.int64)
 
     @cached_property
@@ -297,6 +299,16 @@ class ByteBpe:
                 out.append(self._encode_long(part))
         return b"".join(out)
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """:meth:`encode` of each text, each distinct word between blanks of all of them looked up once."""
+        simple = [i for i, t in enumerate(texts) if self.cut_at_blanks and 0 < len(t) <= PART and self.lone_white(t) and not any(s in t for s in self.special)]
+        words, which, bounds = words_of([texts[i] for i in simple])
+        first, which = bounds[:-1], which.copy()
+        opening = [words[w] for w in which[first].tolist()]               # no blank stands before a text's first word
+        which[first] = np.arange(len(words), len(words) + len(opening))
+        ids = dict(zip(simple, joined([*self.words.look_up(words), *map(self.fragments.__getitem__, opening)], which, bounds)))
+        return [ids[i] if i in ids else self.encode(t) for i, t in enumerate(texts)]
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
@@ -321,6 +333,19 @@ def _vocabulary(path: str | None) -> str:
     return path or public_vocabulary()
 
 
+def together(column: pa.Array) -> Iterator[list[str]]:
+    """A column's texts (null: empty) in runs of about ``TOGETHER`` characters."""
+    texts, size = [], 0
+    for t in column:
+        texts.append(t.as_py() or "")
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
+
+
 def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, cut_words: bool = True) -> DataFrame:
     """``id_col``, ``ids`` (binary, little-endian unsigned 32-bit ids) per row.
 
@@ -338,9 +363,10 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([bpe.encode(t.as_py() or "") for t in part.column(1)], pa.binary())],
-                    names=[id_col, "ids"])
+                ids: list[bytes] = []
+                for texts in together(part.column(1)):
+                    ids += map(bpe.encode, texts) if cut_words else bpe.encode_many(texts)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
 
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"`{id_col}` {id_type}, ids binary")
 
