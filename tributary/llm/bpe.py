@@ -43,7 +43,7 @@ ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 CACHE_ENTRIES = 150_000       # fragments a worker remembers in a generation (of two) of each kind
 PART = 1 << 18                # characters of a text that are cut into fragments at once
 CACHED_LENGTH = 64            # longer words are not remembered
-TOGETHER = 1 << 22            # characters whose distinct words are looked up together
+TOGETHER = 1 << 23            # characters whose distinct words are looked up together
 NO_SPECIAL: set[str] = set()
 
 
@@ -361,8 +361,9 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         bpe = byte_bpe(_vocabulary(vocabulary), cut_words)
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            rows = 1000 if cut_words else 4000
+            for at in range(0, b.num_rows, rows):
+                part = b.slice(at, rows)
                 ids: list[bytes] = []
                 for texts in together(part.column(1)):
                     ids += map(bpe.encode, texts) if cut_words else bpe.encode_many(texts)
